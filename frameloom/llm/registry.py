@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from frameloom.llm import exact_dedup, packing, simhash
+from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, simhash, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": language.op1_language_id,
         "op2_simhash": simhash.op2_simhash,
+        "op3_mixing": mixing.op3_mixing,
+        "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
+        "op6_toxicity": toxicity.op6_toxicity,
+        "op8_warc": warc.op8_warc,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_packing": packing.op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {"op8_warc": warc.OP8_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
