@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, simhash, toxicity, warc
+from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, repeats, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_mixing": mixing.op3_mixing,
         "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
         "op6_toxicity": toxicity.op6_toxicity,
+        "op7_repeats": repeats.op7_repeats,
         "op8_warc": warc.op8_warc,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_packing": packing.op10_packing,
