@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -22,27 +24,58 @@ CACHED_WORDS, CACHED_LENGTH = 300_000, 48
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens", "ids"]
 
 
+#: A word that needs no look at its neighbours: Latin letters of one code point each, then ASCII punctuation but the apostrophe.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that byte-level BPE writes for each byte: its own if it has one, else the next from U+0100."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
     """A function from a text to its token ids as little-endian unsigned 32-bit integers, end_id last.
 
-    The vocabulary drops white space and never merges across it, so a text's ids are those of its
-    space-separated words in turn; frequent words are encoded once.
+    The vocabulary (BPE with word ends over lower case) drops white space and never merges across it, so a text's
+    ids are those of its space-separated words in turn. Frequent words are remembered; a new plain word
+    goes to the merges directly and any other through the whole tokenizer.
     """
     from tokenizers import Tokenizer
 
-    encoder, known = Tokenizer.from_file(path), {}
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    encoder, known, stems, letters = Tokenizer.from_file(path), {}, {}, _byte_letters()
+    merges, tail = encoder.model, b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+
+    def whole(word: str) -> bytes:
+        return np.array(encoder.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def one(word: str) -> bytes:
+        if len(word) > CACHED_LENGTH or not (plain := _PLAIN.fullmatch(word)):
+            return whole(word)
+        stem, after = plain[1].lower(), plain[2]
+        if (ids := stems.get(stem)) is None:
+            spelt = stem if stem.isascii() else stem.encode().decode("latin-1").translate(letters)
+            if len(stems) >= CACHED_WORDS:
+                stems.clear()
+            ids = stems[stem] = struct.pack(f"<{len(found := [t.id for t in merges.tokenize(spelt)])}I", *found)
+        if not after:
+            return ids
+        if (mark := known.get(after)) is None:
+            mark = known[after] = whole(after)
+        return ids + mark
 
     def encode(text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         parts = list(map(known.get, words))
         if None in parts:
-            new = list({w for w, p in zip(words, parts, strict=True) if p is None})
-            coded = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-            parts = [coded[w] if p is None else p for w, p in zip(words, parts, strict=True)]
-            if len(known) + len(coded) > CACHED_WORDS:
+            if len(known) >= CACHED_WORDS:
                 known.clear()
-            known.update((w, c) for w, c in coded.items() if len(w) <= CACHED_LENGTH)
+            for i, part in enumerate(parts):
+                if part is None:
+                    parts[i] = code = one(words[i])
+                    if len(words[i]) <= CACHED_LENGTH:
+                        known[words[i]] = code
         return b"".join(parts) + tail
 
     return encode
