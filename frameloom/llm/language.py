@@ -19,8 +19,8 @@ from frameloom.llm.util import held_out, table, text_of
 SAMPLE_OF_LANGUAGE = 2000
 #: What the model knows at most: words, n-grams of each length, and the longest n-gram. Also bounds the broadcast.
 KNOWN_WORDS, KNOWN_GRAMS, LONGEST_GRAM = 50_000, 20_000, 4
-#: Unknown words whose vectors a worker remembers; only speed depends on it.
-CACHED_WORDS = 300_000
+#: Unknown words whose vectors a worker remembers, about, and words of a text that are scored at a time.
+CACHED_WORDS, PART_WORDS = 300_000, 65_536
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -41,57 +41,66 @@ class Model:
     def __init__(self, languages: list[str], words: dict[str, list[int]], totals: list[int]):
         """words: the count of each word in each language; totals: of all words in each language."""
         self.languages = languages
-        grams: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST_GRAM + 1)]
-        for word, counts in words.items():
-            c = np.asarray(counts, float)
-            for n in range(1, LONGEST_GRAM + 1):
-                for g in grams_of(word, n):
-                    grams[n][g] = grams[n][g] + c if g in grams[n] else c
-        self.words = self._logs({w: np.asarray(c, float) for w, c in words.items()}, np.asarray(totals, float))
-        self.grams = []
-        for found in grams:
-            most = dict(sorted(found.items(), key=lambda x: (-x[1].sum(), x[0]))[:KNOWN_GRAMS])
-            self.grams.append(self._logs(most, sum(found.values(), np.zeros(len(languages)))))
+        counts = np.array(list(words.values()), float).reshape(-1, len(languages))
+        self.words = {w: i for i, w in enumerate(words)}
+        self.word_logs = self._logs(counts, np.asarray(totals, float))
+        self.grams: list[dict[str, int]] = [{}]
+        self.gram_logs = [np.zeros((0, len(languages)), np.float32)]
+        for n in range(1, LONGEST_GRAM + 1):
+            rows: dict[str, int] = {}
+            at = [[rows.setdefault(g, len(rows)) for g in grams_of(w, n)] for w in words]
+            found = np.zeros((len(rows), len(languages)))
+            np.add.at(found, [k for x in at for k in x], np.repeat(counts, [len(x) for x in at], axis=0))
+            names, total = list(rows), found.sum(axis=1)
+            most = sorted(range(len(names)), key=lambda k: (-total[k], names[k]))[:KNOWN_GRAMS]
+            self.grams.append({names[k]: i for i, k in enumerate(most)})
+            self.gram_logs.append(self._logs(found[most], found.sum(axis=0)))
 
     @staticmethod
-    def _logs(counts: dict[str, np.ndarray], totals: np.ndarray) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        logs = np.log((np.array(list(counts.values())) + 0.5) / (totals + 0.5 * len(counts) + 1))
-        return dict(zip(counts, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32), strict=True))
-
-    def unseen(self, word: str) -> np.ndarray:
-        """The mean over the word's known n-grams of the greatest length of which any is known; else zeros."""
+    def _logs(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        logs = np.log((counts + 0.5) / (totals + 0.5 * len(counts) + 1))
+        return (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32) if counts.size else np.zeros(counts.shape, np.float32)
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """For each word, the mean over its known n-grams of the greatest length of which any is known; else zeros."""
+        out, left = np.zeros((len(words), len(self.languages)), np.float32), list(range(len(words)))
         for n in range(LONGEST_GRAM, 0, -1):
-            if found := [g for g in map(self.grams[n].get, grams_of(word, n)) if g is not None]:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.languages), np.float32)
+            known, none, owner, rows = self.grams[n], [], [], []
+            for i in left:
+                found = [k for g in grams_of(words[i], n) if (k := known.get(g)) is not None]
+                owner += [i] * len(found)
+                rows += found
+                if not found:
+                    none.append(i)
+            for k in range(out.shape[1] if rows else 0):
+                out[:, k] += np.bincount(owner, self.gram_logs[n][rows, k], len(words))
+            if rows:
+                out /= np.maximum(np.bincount(owner, minlength=len(words)), 1)[:, None]
+            left = none
+        return out
 
     def predictor(self) -> Callable[[str], tuple[str, float]]:
         """A function from a text to its language and that language's share of the posterior, equal priors."""
-        rows, at = [*self.words.values()], {w: i for i, w in enumerate(self.words)}
-        matrix, known = np.zeros((len(rows) + CACHED_WORDS + 1, len(self.languages)), np.float32), len(rows)
-        if rows:
-            matrix[:known] = rows
-        used = known
+        at, known = dict(self.words), len(self.words)
+        matrix = np.zeros((known + CACHED_WORDS + PART_WORDS, len(self.languages)), np.float32)
+        matrix[:known] = self.word_logs
 
         def predict(text: str) -> tuple[str, float]:
-            nonlocal used
             words = words_of(text)
             if not words or not self.languages:
                 return UNKNOWN, 0.0
             total = np.zeros(len(self.languages))
-            for i in range(0, len(words), 65_536):
-                part = words[i : i + 65_536]
+            for i in range(0, len(words), PART_WORDS):
+                part = words[i : i + PART_WORDS]
                 index = list(map(at.get, part))
                 if None in index:
-                    if used + 65_536 > len(matrix):
-                        for w in [w for w, k in at.items() if k >= known]:
-                            del at[w]
-                        used, index = known, list(map(at.get, part))
-                    for w in {w for w, k in zip(part, index, strict=True) if k is None}:
-                        at[w], matrix[used] = used, self.unseen(w)
-                        used += 1
+                    if len(at) > known + CACHED_WORDS:
+                        at.clear()
+                        at.update(self.words)
+                        index = list(map(at.get, part))
+                    new = list({w for w, k in zip(part, index, strict=True) if k is None})
+                    matrix[len(at) : len(at) + len(new)] = self.unseen(new)
+                    at.update(zip(new, range(len(at), len(at) + len(new)), strict=True))
                     index = [at[w] for w in part]
                 total += matrix[index].sum(axis=0, dtype=float)
             best = int(np.argmax(total))

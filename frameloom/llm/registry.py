@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, repeats, simhash, toxicity, warc
+from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, repeats, sharding, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_language_id": language.op1_language_id,
         "op2_simhash": simhash.op2_simhash,
         "op3_mixing": mixing.op3_mixing,
+        "op4_sharding": sharding.op4_sharding,
         "op5_embedding_dedup": embedding_dedup.op5_embedding_dedup,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_repeats": repeats.op7_repeats,
@@ -20,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": warc.OP8_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {"op4_sharding": sharding.OP4_SQL, "op8_warc": warc.OP8_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}

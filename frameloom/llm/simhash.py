@@ -156,8 +156,12 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return prints.join(known, "print").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, radius: int = 3) -> DataFrame:
-    """The rows of df, one document of each component: that of the smallest id. Rows that share an id are one document; null ids stay."""
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, radius: int = 5) -> DataFrame:
+    """The rows of df, one document of each component: that of the smallest id. Rows that share an id are one document; null ids stay.
+
+    A distance of 5 bits in 64 is an angle of 14 degrees, which word shingles of a Jaccard similarity of 0.94 have
+    on average; unrelated texts are 32 bits apart on average. Pairs nearer 0.8 are mostly not found.
+    """
     found = simhash_components(df, id_col, text_col, shingle_words, radius)
     dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct()
     return df.join(dropped, df[f"`{id_col}`"] == dropped["__dropped"], "left_anti")
