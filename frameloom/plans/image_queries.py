@@ -1,3 +1,95 @@
-"""Queries of the image operators."""
+"""Queries of the image operators, over small images drawn from the embeddings (8 by 8 pixels of three channels)."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from frameloom.operators import images
+from frameloom.operators.records import DATA_LABELS
+from frameloom.plans.score_queries import r6
+from frameloom.sources.tables import table
 
 QUERIES: dict = {}
+# Two upright and two level strips of an 8 by 8 image.
+STRIPS = [("l1", 0, 0, 2, 8), ("l2", 6, 0, 2, 8), ("l3", 0, 0, 8, 3), ("l4", 0, 5, 8, 3)]
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame for each vector: its label is the issue, its components are the pixels' levels."""
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.array(batch["embedding"].tolist(), float)
+            level = np.clip(128 + 400 * x, 0, 255).astype(np.uint8)
+            data = [np.stack([v, v[::-1], np.roll(v, 8)], axis=-1).tobytes() for v in level]
+            yield pd.DataFrame({"issue_id": batch["label"], "frame_idx": batch["vec_id"].astype("int32"), "name": [f"f{i:06d}.png" for i in batch["vec_id"]], "height": 8, "width": 8, "bgr": data})
+
+    rows = table(spark, sf_dir, "embeddings").where("label is not null and size(embedding) = 64").select("vec_id", "label", "embedding")
+    return rows.mapInPandas(drawn, "issue_id int, frame_idx int, name string, height int, width int, bgr binary")
+
+
+def _strips(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, n, (x, y, w, h), 8, 8) for i, (n, x, y, w, h) in enumerate(STRIPS)], "pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*(r6(c).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes))
+
+
+@query
+def image_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return images.standardise(frames(spark, sf_dir)).select("issue_id", "frame_idx", "height", "width", F.sha2("bgr", 256).alias("sha256"))
+
+
+@query
+def image_dark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(images.dark_scores(frames(spark, sf_dir)))
+
+
+@query
+def image_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(images.line_scores(frames(spark, sf_dir), _strips(spark)))
+
+
+@query
+def image_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(images.pair_scores(frames(spark, sf_dir)))
+
+
+@query
+def image_same(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return images.same_frames(images.pair_scores(frames(spark, sf_dir)), 0.5)[1]
+
+
+@query
+def image_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(images.colour_scores(frames(spark, sf_dir), _strips(spark)))
+
+
+@query
+def image_theme(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = images.colour_scores(frames(spark, sf_dir), _strips(spark))
+    return images.group_themes(scores.withColumn("cluster_id", F.col("frame_idx") % 5))
+
+
+@query
+def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(images.quality_scores(frames(spark, sf_dir)))
+
+
+@query
+def image_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    themed = frames(spark, sf_dir).withColumn("theme", F.when(F.col("frame_idx") % 2 == 0, "blue").otherwise("green"))
+    boxes = spark.createDataFrame([(t, i, n, (i % 4 * 2, i // 4 * 2, 2, 2), 8, 8) for t in ("blue", "orange") for i, n in enumerate(DATA_LABELS) if (t, n) != ("blue", "last")], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
+    cells = images.take_cells(themed, boxes)
+    return images.sheets(cells, images.sheet_places(cells, DATA_LABELS)).select("issue_id", "height", "width", F.sha2("png", 256).alias("sha256"))
