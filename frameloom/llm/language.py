@@ -41,7 +41,7 @@ class Model:
     def __init__(self, languages: list[str], words: dict[str, list[int]], totals: list[int]):
         """words: the count of each word in each language; totals: of all words in each language."""
         self.languages = languages
-        counts = np.array(list(words.values()), float).reshape(-1, len(languages))
+        counts = np.array(list(words.values()), float).reshape(len(words), len(languages))
         self.words = {w: i for i, w in enumerate(words)}
         self.word_logs = self._logs(counts, np.asarray(totals, float))
         self.grams: list[dict[str, int]] = [{}]

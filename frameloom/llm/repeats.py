@@ -98,6 +98,12 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[at], start[at], reach[stop] - offset[stop]
 
 
+def once(*columns: np.ndarray) -> list[np.ndarray]:
+    """Sorted columns without rows that are equal to the one before."""
+    keep = np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0)) if len(columns[0]) else np.zeros(0, bool)
+    return [c[keep] for c in columns]
+
+
 #: Rows between stages. kind 0: a segment (anchor, content, doc, place); 1: a repeat [start, end) of doc with tie in
 #: place and content; 2: a segment whose windows have to be compared. place = tie << 39 | start << 7 | count.
 _ROW = "kind int, anchor long, content long, doc long, place long"
@@ -138,7 +144,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchor, content, doc, place = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order = np.lexsort((place, doc, content, anchor))
-            anchor, content, doc, place = anchor[order], content[order], doc[order], place[order]
+            anchor, content, doc, place = once(anchor[order], content[order], doc[order], place[order])
             again = np.append(False, (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1]))
             yield _rows(0, anchor[~again], content[~again], doc[~again], place[~again])
             yield _repeats(doc[again], place[again])
@@ -187,7 +193,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kind == 1
         if known.any():
             yield _rows(kind[known], anchor[known], content[known], doc[known], place[known])
-        anchor, content, doc, place = (x[~known] for x in (anchor, content, doc, place))
+        anchor, content, doc, place = once(*(x[~known] for x in (anchor, content, doc, place)))
         if len(anchor):
             same = anchor[1:] == anchor[:-1]
             again = np.append(False, same & (content[1:] == content[:-1]))
