@@ -32,7 +32,7 @@ def read_sheet(spark: SparkSession, path: str, labels: tuple[str, ...]) -> DataF
 
     The row's number is its line's in the file, which is one sheet.
     """
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("row_no", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("row_no", "line"))
     schema = ", ".join(f"{x} string" for x in labels)
     return lines.select("row_no", F.from_csv("line", F.lit(schema), {"sep": ";"}).alias("c")).select("row_no", "c.*")
 
@@ -43,13 +43,13 @@ def read_check(spark: SparkSession, path: str) -> DataFrame:
 
 def read_theme_track(spark: SparkSession, path: str) -> DataFrame:
     """nu, theme: the first theme of each row of a track, an array of arrays."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("nu", "themes"))
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("nu", "themes"))
     return rows.select("nu", F.get("themes", F.lit(0)).alias("theme"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """log, line_no, line of each file: numbered inside the file, before anything can reorder it."""
-    files = spark.read.option("wholetext", True).text(path).withColumn("log", F.input_file_name())
+    files = spark.read.text(path, wholetext=True).withColumn("log", F.input_file_name())
     return files.select("log", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 

@@ -6,9 +6,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _three_channels(data: pd.Series, channels: pd.Series) -> pd.Series:
     """BGR bytes of pixels of 1, 3 or 4 channels."""
     def one(x: bytes, n: int) -> bytes:
