@@ -46,11 +46,9 @@ def write_table(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder through Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def make_path(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -12,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import new_path, table, write_table
+from frameloom.llm.util import make_path, new_path, table, write_table
 
 #: Bytes of block in a segment, in an archive file (about), and in a chunk of a chunked transfer.
 SEGMENT_BYTES, ARCHIVE_BYTES, CHUNK_BYTES = 64 * 1024, 8 * 1024 * 1024, 16 * 1024
@@ -90,12 +92,7 @@ def page_records(page_id: int | None, uri: str | None, payload: bytes, digest: s
 def parse_archive(data: bytes) -> Iterator[tuple]:
     """The records of an archive, gzipped or not, as rows of _RECORD."""
     if data[:2] == b"\x1f\x8b":
-        members, rest = [], data
-        while rest:
-            unpacker = zlib.decompressobj(31)
-            members.append(unpacker.decompress(rest) + unpacker.flush())
-            rest = unpacker.unused_data.lstrip(b"\x00")
-        data = b"".join(members)
+        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()  # all members, a buffer at a time
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -132,8 +129,9 @@ def assembled(segments: list[tuple[int, int | None, bytes]]) -> bytes:
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write pages (page_id, uri, payload binary, digest, first: the page it revisits or null) as WARC files under path.
 
-    Each task writes files of about ARCHIVE_BYTES. A file is written under a name of its attempt and then
-    renamed to one that depends on task and number only, so a task that runs again replaces its own files.
+    Each task writes files of about ARCHIVE_BYTES, its rows in order. A file is written under a name of its attempt
+    and then renamed to one that depends on task and number only: a task that runs again replaces its own
+    files by equal ones.
     """
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +162,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
             flush()
         yield pa.RecordBatch.from_arrays([pa.array(files, pa.string())], names=["file"])
 
-    pages.select("page_id", "uri", "payload", "digest", "first").mapInArrow(written, "file string").agg(F.count("*")).first()
+    pages.select("page_id", "uri", "payload", "digest", "first").sortWithinPartitions("page_id", "digest", "uri").mapInArrow(written, "file string").agg(F.count("*")).first()
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -216,6 +214,7 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url
     least = rows.where(F.length("payload") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     least = write_table(least, "least-pages")  # apart from its aggregation, so that a hot digest's join can be split
     joined = rows.join(least, "digest", "left").withColumn("first", F.when(~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
+    make_path(spark, path)
     write_archives(joined, path)
     back = read_archives(spark, path)
 
