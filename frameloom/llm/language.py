@@ -87,7 +87,7 @@ class Model:
 
         def predict(text: str) -> tuple[str, float]:
             words = words_of(text)
-            if not words or not self.languages:
+            if not self.languages or not any(map(str.isalpha, text)):
                 return UNKNOWN, 0.0
             total = np.zeros(len(self.languages))
             for i in range(0, len(words), PART_WORDS):
