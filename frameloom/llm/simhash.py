@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,53 +18,62 @@ from frameloom.llm.util import partitions, table, text_of, write_table
 BLOCK = 512
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of a text's word shingles as a signed integer.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str, words: int = 3, seed: int = 42, count: int = 1) -> list[int]:
+    """The SimHash of a text's word shingles as count signed 64-bit integers.
 
     A-Z count as a-z; words are what ASCII white space separates; a text of fewer words is one shingle, one
-    of none has fingerprint zero. A bit is set if more than half of the shingles' XXH64 values have it.
+    of none has fingerprint zero. A bit is set if more than half of the shingles' hashes have it: XXH64 for the
+    first integer, a mix of it for each further one.
     """
     from xxhash import xxh64_intdigest
 
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return [0] * count
     shingles = map(b" ".join, zip(*(found[i:] for i in range(words)), strict=False)) if len(found) >= words else [b" ".join(found)]
     hashes = np.fromiter((xxh64_intdigest(s, seed) for s in shingles), np.uint64)
-    total = np.zeros(64, np.int64)
+    total = np.zeros(64 * count, np.int64)
     for i in range(0, len(hashes), 4096):
-        total += np.unpackbits(hashes[i : i + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(total * 2 > len(hashes), bitorder="little")
-    return int(bits.view(np.int64)[0])
+        part = hashes[i : i + 4096]
+        wide = np.stack([part, *(_mixed(part + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) for k in range(1, count))], axis=1)
+        total += np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
 
 
-def covering_masks(radius: int, seed: int = 7) -> list[int]:
-    """2 ** (radius + 1) - 1 masks of 64 bits of which, for any set of up to radius bits, one has none of these bits.
+def covering_masks(radius: int, bits: int = 64, seed: int = 7) -> list[int]:
+    """2 ** (radius + 1) - 1 masks of so many of 64 bits of which, for any set of up to radius bits, one has none of these bits.
 
     Each bit position has a vector of radius + 1 binary coordinates. The mask of a nonzero vector v holds the
     positions whose inner product with v is odd. Up to radius vectors leave some v orthogonal to all.
     """
-    vectors = np.random.default_rng(seed).permutation(np.arange(64) % (1 << (radius + 1)))
+    vectors = np.random.default_rng(seed).permutation(np.arange(bits) % (1 << (radius + 1)))
     masks = [sum(1 << i for i, x in enumerate(vectors.tolist()) if (x & v).bit_count() % 2) for v in range(1, 1 << (radius + 1))]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _fingerprints(shingle_words: int, seed: int):
+def _fingerprints(shingle_words: int, seed: int, count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = pa.array([fingerprint(t, shingle_words, seed) for t in batch.column("content").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in batch.schema.names if n != "content"), prints], names=[*(n for n in batch.schema.names if n != "content"), "print"])
+            prints = [fingerprint(t, shingle_words, seed, count) for t in batch.column("content").to_pylist()]
+            columns = [pa.array([p[k] for p in prints], pa.int64()) for k in range(count)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", *(f"p{k}" for k in range(count))])
 
     return run
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)) <= radius
+def _near(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """Whether fingerprints (integers along the last axis) differ in no more than limit bits."""
+    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)).sum(axis=-1, dtype=np.int64) <= limit
 
 
-def _stars(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the members of a and b as all pairs (one of each) within the radius would."""
-    near = _near(a[:, None], b[None, :], radius)
+def _stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect nodes a (rows) and b (columns) as all the pairs that are near would."""
     i, j = near.nonzero()
     if len(i) <= 2 * (len(a) + len(b)):
         keep = a[i] != b[j]
@@ -85,29 +95,31 @@ def _stars(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.nd
     return u[u != v], v[u != v]
 
 
-def _links(radius: int):
-    """Over partitions sorted by block: (table, key, i, j), side, print."""
+_KEY = ["t", "key", "i", "j"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
 
-        def compared(rows: pd.DataFrame) -> pd.DataFrame:
-            key = rows[["t", "key", "i", "j"]].to_numpy()
-            start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            size = np.diff(np.r_[start, len(key)])
-            prints, side = rows["print"].to_numpy(), rows["side"].to_numpy()
-            pairs = start[size == 2]
-            near = _near(prints[pairs], prints[pairs + 1], radius)
-            out = [(prints[pairs[near]], prints[pairs[near] + 1])]
-            for s, n in zip(start[size > 2], size[size > 2], strict=True):
-                x, where = prints[s : s + n], side[s : s + n]
-                out.append(_stars(x[where == 0], x[where == 1], radius) if where.any() else _stars(x, x, radius))
-            return pd.DataFrame({"u": np.concatenate([o[0] for o in out]), "v": np.concatenate([o[1] for o in out])})
+def _links(prints: list[str], limit: int):
+    """Over partitions sorted by block (_KEY): edges between the nodes of fingerprints that are near."""
 
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        key, node, side = rows[_KEY].to_numpy(), rows["node"].to_numpy(), rows["side"].to_numpy()
+        x = np.ascontiguousarray(rows[prints].to_numpy(np.int64))
+        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+        size = np.diff(np.r_[start, len(key)])
+        pairs = start[size == 2]
+        pairs = pairs[_near(x[pairs], x[pairs + 1], limit)]
+        out = [(node[pairs], node[pairs + 1])]
+        for s, n in zip(start[size > 2], size[size > 2], strict=True):
+            left = s + np.flatnonzero(side[s : s + n] == 0)
+            right = s + np.flatnonzero(side[s : s + n] == 1) if side[s : s + n].any() else left
+            out.append(_stars(_near(x[left][:, None], x[right][None, :], limit), node[left], node[right]))
+        return pd.DataFrame({"u": np.concatenate([o[0] for o in out]), "v": np.concatenate([o[1] for o in out])})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = (rows[["t", "key", "i", "j"]] == rows[["t", "key", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
-            cut = len(rows) - int(last.sum())
+            cut = len(rows) - int((rows[_KEY] == rows[_KEY].iloc[-1]).all(axis=1).sum())
             if cut:
                 yield compared(rows.iloc[:cut])
             held = rows.iloc[cut:]
@@ -117,24 +129,38 @@ def _links(radius: int):
     return run
 
 
-def linked_fingerprints(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """Edges (u, v) that connect the distinct fingerprints in prints ("print" long) as all pairs within the radius would.
+def linked_fingerprints(nodes: DataFrame, prints: list[str], radius: int, limit: int, bits: int = 64) -> DataFrame:
+    """Edges (u, v) that connect nodes (node long, prints long) as all pairs within `limit` bits that the tables bring together would.
 
-    Covering tables: a pair within the radius agrees under one of the masks at least. Buckets of one are left
-    out by a count that combines before its shuffle. A bucket of more than BLOCK members is dealt into parts by
-    hash, and each pair of parts is a block that any task can compare, so that no bucket has to fit one task;
-    a block returns no more than a few edges for each member, never its pairs.
+    Covering tables of the first `bits` bits of each fingerprint: a pair within the radius in any of them agrees under one
+    of its masks at least. Buckets of one are left out by a count that combines before its shuffle. A bucket of more than BLOCK
+    members is dealt into parts by hash, and each pair of parts is a block that any task can compare, so that
+    no bucket has to fit one task; a block returns no more than a few edges for each member, never its pairs.
     """
-    n = partitions(prints.sparkSession)
-    keyed = prints.select("print", F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col("print").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(covering_masks(radius))))).alias("e")).select("e.*", "print")
+    n, masks = partitions(nodes.sparkSession), covering_masks(radius, bits)
+    keys = [F.struct(F.lit(k * len(masks) + t).alias("t"), F.col(p).bitwiseAND(F.lit(m)).alias("key")) for k, p in enumerate(prints) for t, m in enumerate(masks)]
+    keyed = nodes.select("node", *prints, F.explode(F.array(*keys)).alias("e")).select("e.*", "node", *prints)
     full = keyed.groupBy("t", "key").count().where("count > 1")
     parts = F.ceil(F.col("count") / BLOCK).cast("int")
-    dealt = keyed.join(full, ["t", "key"]).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("print"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    blocks = dealt.select("t", "key", "print", "part", other.alias("other")).select(
-        "t", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "print"
+    dealt = keyed.join(full, ["t", "key"]).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    blocks = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "t", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", *prints
     )
-    return blocks.repartition(n, "t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j").mapInPandas(_links(radius), "u long, v long")
+    return blocks.repartition(n, *_KEY).sortWithinPartitions(*_KEY).mapInPandas(_links(prints, limit), "u long, v long")
+
+
+def _components(df: DataFrame, id_col: str, text_col: str, shingle_words: int, seed: int, count: int, radius: int, limit: int, bits: int = 64) -> DataFrame:
+    """id, p0 ..., component_id of each row."""
+    rows = df.select(df[f"`{id_col}`"].alias("id"), text_of(df[f"`{text_col}`"]).alias("content"))
+    names, kind = [f"p{k}" for k in range(count)], rows.schema["id"].dataType.simpleString()
+    schema = ", ".join([f"id {kind}", *(f"{p} long" for p in names)])
+    prints = write_table(rows.mapInArrow(_fingerprints(shingle_words, seed, count), schema), "fingerprints")
+    node = F.col("p0") if count == 1 else F.xxhash64(*names)
+    classes = write_table(prints.groupBy(*names).agg(F.min("id").alias("least_id")).withColumn("node", node), "classes")
+    stars = connected_components(linked_fingerprints(classes.select("node", *names), names, radius, limit, bits))
+    star = classes.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = star.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return prints.join(star.join(least, "component").select(*names, "component_id"), names)
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
@@ -145,25 +171,20 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text counts as empty, an empty one has fingerprint zero and is linked like any other. A null id is
     a component's only if it has no other. Repeated rows give repeated results; an empty table gives none.
     """
-    rows = df.select(df[f"`{id_col}`"].alias("id"), text_of(df[f"`{text_col}`"]).alias("content"))
-    kind = rows.schema["id"].dataType.simpleString()
-    prints = write_table(rows.mapInArrow(_fingerprints(shingle_words, seed), f"id {kind}, print long"), "fingerprints")
-    classes = write_table(prints.groupBy("print").agg(F.min("id").alias("least_id")), "classes")
-    stars = connected_components(linked_fingerprints(classes.select("print"), radius))
-    star = classes.join(stars.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
-    least = star.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = star.join(least, "component").select("print", "component_id")
-    return prints.join(known, "print").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    found = _components(df, id_col, text_col, shingle_words, seed, 1, radius, radius)
+    return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("p0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, radius: int = 5) -> DataFrame:
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, count: int = 4, radius: int = 3, bits: int = 44, seed: int = 42) -> DataFrame:
     """The rows of df, one document of each component: that of the smallest id. Rows that share an id are one document; null ids stay.
 
-    A distance of 5 bits in 64 is an angle of 14 degrees, which word shingles of a Jaccard similarity of 0.94 have
-    on average; unrelated texts are 32 bits apart on average. Pairs nearer 0.8 are mostly not found.
+    Fingerprints have count times 64 bits. Pairs within the radius in the first `bits` bits of any 64 are sure to meet; with
+    the defaults that is nearly every pair of a similarity of 0.9 and more. They are linked if they differ in no more bits than
+    shingle multisets of that Jaccard similarity do on average. More bits suit more documents: a table's key has half of them.
     """
-    found = simhash_components(df, id_col, text_col, shingle_words, radius)
-    dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct()
+    limit = int(64 * count * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    found = _components(df, id_col, text_col, shingle_words, seed, count, radius, limit, bits)
+    dropped = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__dropped")).distinct()
     return df.join(dropped, df[f"`{id_col}`"] == dropped["__dropped"], "left_anti")
 
 

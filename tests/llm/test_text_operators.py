@@ -118,7 +118,7 @@ def test_stars_connect_as_all_pairs_do():
     draw = np.random.default_rng(2)
     base = draw.integers(0, 1 << 62, 3)
     x = np.unique(np.concatenate([b ^ (1 << draw.integers(0, 62, 60)) for b in base]))
-    u, v = simhash._stars(x, x, 3)
+    u, v = simhash._stars(simhash._near(x[:, None, None], x[None, :, None], 3), x, x)
     prints = {int(p): int(p) for p in x}
     want = brute_components(prints, 3)
     parent = dict(want)
@@ -136,6 +136,21 @@ def test_stars_connect_as_all_pairs_do():
     assert {p: root(p) for p in parent} == want and len(u) <= 4 * len(x) * 2
 
 
+def test_near_dedup_finds_light_edits(spark):
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for k in range(60):
+        base = [draw.choice(words) for _ in range(200)]
+        for edit in range(3):
+            own = list(base)
+            for at in draw.sample(range(200), edit):
+                own[at] = "edited"
+            rows.append((3 * k + edit, " ".join(own), None, None))
+    kept = {r["doc_id"] for r in simhash.near_dedup(documents(spark, rows)).collect()}
+    assert {3 * k for k in range(60)} <= kept and len(kept) <= 66
+
+
 def test_near_dedup_keeps_columns_and_edges(spark):
     df = clashing(spark, EDGES)
     got = simhash.near_dedup(df)
