@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import table, text_of, write_table
+from frameloom.llm.util import partitions, table, text_of, write_table
 
 #: Words in a block, slots in an output shard, shards whose counts are drawn in one go.
 BLOCK, SHARD_SLOTS, GROUP_SHARDS = 64, 1024, 64
@@ -106,7 +106,7 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     groups = max(1, -(-total // (SHARD_SLOTS * GROUP_SHARDS)))
     upto = lambda g: F.floor(F.col("all").cast("decimal(38,0)") * g / groups).cast("long")
     parts = blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("g", "s", "blocks", upto(F.col("g")).alias("first"), (upto(F.col("g") + 1) - upto(F.col("g"))).alias("quota"))
-    slots = parts.where("quota > 0").groupBy("g").applyInPandas(_draw(seed), "shard long, s int, pass long, block long")
+    slots = parts.where("quota > 0").repartition(partitions(df.sparkSession), "g").groupBy("g").applyInPandas(_draw(seed), "shard long, s int, pass long, block long")
     return targets, placed, slots
 
 
@@ -132,7 +132,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     the rows and the seed alone. Other columns are not read.
     """
     _, placed, slots = mix_plan(df, id_col, text_col, source_col, block, seed)
-    times = slots.groupBy("s", "block").agg(F.count("*").alias("times"))
+    times = slots.groupBy("s", "block").agg(F.count("*").alias("times")).hint("merge")  # it grows with the words
     taken = _pieces(placed, block).join(times, ["s", "block"], "left").groupBy("s", "offset", "id", "size", "source_size", "target").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     names = [F.col("id").alias(id_col), "size", "source_size", "target", "taken"]
     return taken.select(*names).union(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*names))
@@ -145,7 +145,7 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     separated by spaces. n_chars, if df has it, follows the text.
     """
     _, placed, slots = mix_plan(df, id_col, text_col, source_col, block, seed)
-    got = _pieces(placed, block).join(slots.select("s", "block", "pass"), ["s", "block"])
+    got = _pieces(placed, block).join(slots.select("s", "block", "pass").hint("merge"), ["s", "block"])
     part = got.groupBy("key", "s", "offset", "size", "pass").agg(F.sum("words").alias("n"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("parts"))
     chosen = part.groupBy("key").agg(F.collect_list(F.struct((F.col("n") == F.col("size")).alias("whole"), "parts")).alias("passes"))
     keyed = df.withColumn("__key", row_key(df, id_col, text_col, source_col)).dropDuplicates(["__key"])
