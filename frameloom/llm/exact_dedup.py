@@ -9,13 +9,16 @@ from frameloom.llm.util import carried, partitions, restored, table, text_of, wr
 
 #: A content is dealt out in salted parts once it holds more than 1 / (HOT_SHARE * partitions) of all rows, and more than HOT_ROWS.
 HOT_SHARE, HOT_ROWS = 4, 1000
+#: Characters of a text that a splitter holds, before its digest: the driver gets a sample of splitters, not of texts.
+SPLITTER_CHARS = 64
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """Each row of df with keep_id, group_size, kept and text_sha256.
 
-    Sampled splitters range-partition the texts (repartitionByRange), an external sort inside each partition
-    places equals adjacent, and the window over them compares neighbouring texts in full.
+    Sampled splitters (a text's beginning and its digest) range-partition the texts by repartitionByRange, an
+    external sort inside each partition places equals adjacent, and the window over them compares neighbouring
+    texts in full.
 
     A content that holds a large share of the rows would be one range. Its digest is found by a count that
     combines before its shuffle; at most HOT_SHARE * partitions digests can pass, so that list may be
@@ -36,8 +39,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     hot = F.broadcast(write_table(hot, "hot-texts"))
     whole = rows.join(hot, "text_sha256").groupBy("content").agg(best("id").alias("all_keep"), F.count("*").alias("all_size"), F.first("text_sha256").alias("text_sha256"))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(2 * n)) + 1).otherwise(F.lit(0))
-    ranged = rows.join(hot, "text_sha256", "left").withColumn("salt", salt).drop("hot").repartitionByRange(n, "content", "salt")
-    same = Window.partitionBy("content", "salt")
+    ranged = rows.join(hot, "text_sha256", "left").withColumn("salt", salt).drop("hot").withColumn("begin", F.substring("content", 1, SPLITTER_CHARS)).repartitionByRange(n, "begin", "text_sha256", "salt")
+    same = Window.partitionBy("begin", "text_sha256", "salt", "content")
     marked = ranged.withColumns({
         "part_keep": best("id").over(same), "part_size": F.count("*").over(same),
         "part_rank": F.row_number().over(same.orderBy(getattr(F.col("id"), order)())),
