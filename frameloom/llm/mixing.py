@@ -151,7 +151,8 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = df.withColumn("__key", row_key(df, id_col, text_col, source_col)).dropDuplicates(["__key"])
     joined = keyed.join(chosen, keyed["__key"] == chosen["key"]).withColumn("__pass", F.explode("passes"))
     words = F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.transform("__pass.parts", lambda p: F.array_join(F.slice(words, (p["from"] + 1).cast("int"), p["words"].cast("int")), " ")), " ")
+    taken = lambda all_: F.array_join(F.transform("__pass.parts", lambda p: F.array_join(F.slice(all_, (p["from"] + 1).cast("int"), p["words"].cast("int")), " ")), " ")
+    cut = F.element_at(F.transform(F.array(words), taken), 1)  # binds the words, so that a text is split once, not for each part
     out = joined.withColumn(text_col, F.when(F.col("__pass.whole"), F.col(f"`{text_col}`")).otherwise(cut))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length(F.col(f"`{text_col}`")).cast(df.schema["n_chars"].dataType))
