@@ -71,11 +71,12 @@ class Classifier:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[ids].sum(), -30, 30))))
 
 
-def screened(index: np.ndarray, of: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def screened(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Whether each feature's shares of the labels' rows differ by LEAST_Z standard errors."""
-    size, ones, zeros = 1 << FEATURE_BITS, (labels == 1).sum(), (labels == 0).sum()
-    n1 = np.bincount(index, labels[of] == 1, size)
-    n0 = np.bincount(index, labels[of] == 0, size)
+    counts = np.zeros((2, 1 << FEATURE_BITS), np.int32)
+    for r, y in zip(rows, labels, strict=True):
+        counts[y, r] += 1  # a row has a feature once
+    (n0, n1), zeros, ones = counts, (labels == 0).sum(), (labels == 1).sum()
     p = (n1 + n0) / len(labels)
     error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / ones + 1 / zeros))
     return (np.abs(n1 / ones - n0 / zeros) > LEAST_Z * error) & (n1 + n0 > 1)
@@ -92,10 +93,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
     if not len(rows) or labels.min() == labels.max():
         share = float(labels.mean()) if len(rows) else 0.0
         return Classifier(weights[:-1], float(np.log((share + 1e-3) / (1 - share + 1e-3))))
+    good = screened(rows, labels)
+    rows = [r[good[r]] for r in rows]
     index, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    good = screened(index, of, labels)
-    keep = good[index]
-    index, of = index[keep], of[keep]
     weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
     sides = [(np.concatenate(x), np.repeat(np.arange(len(pairs)), [len(f) for f in x])) for x in zip(*pairs, strict=True)]
     sides = [(f[good[f]], owner[good[f]]) for f, owner in sides]
