@@ -151,6 +151,36 @@ def test_near_dedup_finds_light_edits(spark):
     assert {3 * k for k in range(60)} <= kept and len(kept) <= 66
 
 
+def test_near_dedup_links_as_exact_similarity_does(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 20)  # some components are compared in several blocks
+    draw = random.Random(5)
+    words, common = [f"w{i}" for i in range(3000)], " ".join(f"c{i}" for i in range(12))
+    texts = []
+    for k in range(150):
+        base = [draw.choice(words) for _ in range(draw.choice([8, 40, 300]))]
+        texts.append(" ".join(base) + (" " + common if k % 3 == 0 else ""))
+        for _ in range(30 if k == 0 else 2):  # similarities from about 0.7 to 0.9
+            own = list(base)
+            for at in draw.sample(range(len(own)), max(1, len(own) * draw.choice([1, 2, 3]) // 80)):
+                own[at] = draw.choice(words)
+            texts.append(" ".join(own) + (" " + common if k % 3 == 0 else ""))
+    sets = [frozenset(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    group, near, bands = list(range(len(texts))), 0, Counter()
+    for b in range(len(texts)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            bands[int(100 * both / (len(sets[a]) + len(sets[b]) - both)) // 5] += both > 0
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                near += 1
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    assert bands[15] > 20 and bands[16] > 20 and near > 60
+    rows = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    got = {r["id"]: r["component_id"] for r in simhash.similar_components(rows).collect()}
+    assert got == dict(enumerate(group))
+    assert {r["doc_id"] for r in simhash.near_dedup(rows).collect()} == set(group)
+
+
 def test_near_dedup_keeps_columns_and_edges(spark):
     df = clashing(spark, EDGES)
     got = simhash.near_dedup(df)
