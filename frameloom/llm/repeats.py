@@ -186,34 +186,24 @@ def _columns(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over partitions sorted by anchor, content, doc, place: repeats, and the segments to compare."""
-    tail: list[np.ndarray] | None = None
-
-    def settled(kind, anchor, content, doc, place) -> Iterator[pa.RecordBatch]:
-        known = kind == 1
-        if known.any():
-            yield _rows(kind[known], anchor[known], content[known], doc[known], place[known])
-        anchor, content, doc, place = once(*(x[~known] for x in (anchor, content, doc, place)))
-        if len(anchor):
-            same = anchor[1:] == anchor[:-1]
-            again = np.append(False, same & (content[1:] == content[:-1]))
-            yield _repeats(doc[again], place[again])
-            head = np.append(True, ~same)
-            group = np.cumsum(head) - 1
-            several = np.bincount(group, ~again)[group] > 1
-            few = several & ~again
-            yield _rows(2, anchor[few], content[few], doc[few], place[few])
-
+    """Over partitions sorted by anchor, content, doc, place: repeats, and the first of equal segments. Only the last row is kept between batches."""
+    last: list[np.ndarray] | None = None
     for batch in batches:
         rows = _columns(batch, _NAMES)
-        if tail is not None:
-            rows = [np.concatenate(x) for x in zip(tail, rows, strict=True)]
-        cut = int(np.searchsorted(rows[1], rows[1][-1], side="left")) if len(rows[1]) else 0
-        if cut:
-            yield from settled(*(x[:cut] for x in rows))
-        tail = [x[cut:] for x in rows]
-    if tail is not None:
-        yield from settled(*tail)
+        known = rows[0] == 1
+        if known.any():
+            yield _rows(1, *(x[known] for x in rows[1:]))
+        rows = [x[~known] for x in rows[1:]]
+        if not len(rows[0]):
+            continue
+        before = [np.append(y, x[:-1]) for x, y in zip(rows, last or [x[:1] for x in rows], strict=True)]
+        same = (rows[0] == before[0]) & (rows[1] == before[1])
+        fresh = ~same | (rows[2] != before[2]) | (rows[3] != before[3])
+        if last is None:
+            same[0] = False
+        last = [x[-1:] for x in rows]
+        yield _repeats(rows[2][same & fresh], rows[3][same & fresh])
+        yield _rows(2, *(x[~same] for x in rows))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +309,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one and lose the same. An empty table gives none.
 
     1. Windows are dealt out by their anchors, so that equal windows meet; a task sends on one of equal segments.
-    2. Segments equal to an earlier one are repeats. Where an anchor has several contents, segments go on.
+    2. Segments equal to an earlier one are repeats; they meet by anchor and content, so that an anchor of many contents is
+       dealt to many tasks. Where an anchor has several contents, by a count that combines before its shuffle, segments go on.
     3. Their bytes are looked up. A run-length index of a batch of anchors' segments streams matching statistics;
        what matches over LENGTH bytes is compared by place. The windows of an anchor with more than HOT_SEGMENTS
        segments meet one by one instead, by digest, with a minimum that combines before its shuffle.
@@ -328,10 +319,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark, n = df.sparkSession, partitions(df.sparkSession)
     docs = df.select(df[f"`{id_col}`"].alias("id"), _doc(df, id_col).alias("doc"), F.coalesce(df[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
     rows = docs.select("doc", "text").mapInArrow(_anchored, _ROW)
-    found = write_table(rows.repartition(n, "anchor").sortWithinPartitions("anchor", "content", "doc", "place").mapInArrow(_grouped, _ROW), "repeats")
+    settled = rows.repartition(n, "anchor", "content").sortWithinPartitions("anchor", "content", "doc", "place")
+    found = write_table(settled.mapInArrow(_grouped, _ROW), "repeats")
     unsure = found.where("kind = 2").select("doc", "anchor", "place")
-    hot = write_table(unsure.groupBy("anchor").count().where(F.col("count") > HOT_SEGMENTS).select("anchor", F.lit(True).alias("hot")), "hot-anchors")
-    unsure = unsure.join(hot, "anchor", "left").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("parts"))
+    several = write_table(unsure.groupBy("anchor").count().where("count > 1").select("anchor", (F.col("count") > HOT_SEGMENTS).alias("hot")), "several-contents")
+    unsure = unsure.join(several, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("parts"))
     bodies = write_table(docs.select("doc", "text").join(unsure, "doc").mapInArrow(_cut, "anchor long, doc long, place long, hot boolean, body binary"), "segments")
     compared = bodies.where("not hot").drop("hot").repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_compared, _ROW)
     windows = bodies.where("hot").select("doc", "place", "body").mapInArrow(_windows, "doc long, at long, window binary")

@@ -57,6 +57,23 @@ def test_repeats_against_brute_force(spark, monkeypatch, hot):
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in got.values())
 
 
+def test_repeats_hold_no_anchor():
+    read = []
+
+    def batches():
+        for k in range(50):
+            read.append(k)
+            n = np.arange(100) + 100 * k
+            yield repeats._rows(0, np.full(100, 7), n // 3, n, np.full(100, 5 << 7 | 1))  # one anchor, each content three times
+
+    out = repeats._grouped(batches())
+    rows = next(out).to_pylist() + next(out).to_pylist()
+    assert rows and read == [0]
+    rows += [r for b in out for r in b.to_pylist()]
+    assert sorted(r["doc"] for r in rows if r["kind"] == 2) == list(range(0, 5000, 3))
+    assert sorted(r["doc"] for r in rows if r["kind"] == 1) == [k for k in range(5000) if k % 3]
+
+
 def test_repeats_edges(spark):
     text = "".join(random.Random(1).choices("abcdef", k=300))
     df = spark.createDataFrame([(None, text), (5, text), (5, text), (7, None), (8, text[:99])], "doc_id long, text string")
