@@ -49,7 +49,6 @@ def ready_pivot(df: DataFrame, keys: list[str], label: str, value: str, seq: str
 
 
 def ready_json(wide: DataFrame, theme: str, order: str) -> DataFrame:
-    """theme, document: the theme's records in order as JSON text, other scripts unescaped."""
-    others = [c for c in wide.columns if c != theme]
-    ordered = [order, *(c for c in others if c != order)]
-    return wide.groupBy(theme).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*ordered)))).alias("document"))
+    """theme, order, record: each row as JSON text, other scripts unescaped, by theme and order; a row for each record, so no theme has to fit one."""
+    others = [c for c in wide.columns if c not in (theme, order)]
+    return wide.select(theme, order, F.to_json(F.struct(order, *others)).alias("record")).orderBy(theme, order)

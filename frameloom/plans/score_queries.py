@@ -96,8 +96,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT u.user_id, coalesce(max(n), 0)::BIGINT AS longest FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN ({_RUNS}) r ON u.user_id = r.user_id GROUP BY u.user_id")
 def longest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda x: F.coalesce(x["value"] > 50, F.lit(False)))
-    return _events(spark, sf_dir).groupBy("user_id").agg(ordered.alias("flags")).select("user_id", arrays.longest_true_run(F.col("flags")).cast("long").alias("longest"))
+    events = _events(spark, sf_dir).withColumn("at", F.struct("ts", "event_id"))
+    runs = sequence.runs_of(events, ["user_id"], "at", F.col("value") > 50).select("user_id", "length")
+    return runs.unionByName(events.select("user_id", F.lit(0).cast("long").alias("length"))).groupBy("user_id").agg(F.max("length").alias("longest"))
 
 
 @query(f"SELECT user_id, s AS band_start, e AS band_end FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, s) AS rn FROM ({_RUNS})) WHERE rn = 1")

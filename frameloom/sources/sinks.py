@@ -37,9 +37,23 @@ def write_lines(df: DataFrame, line: str, order: list[str | Column], path: str)
 
 
 def write_document(df: DataFrame, path: str) -> None:
-    """A JSON document of themes and their records: one line, other scripts unescaped."""
-    body = F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(F.concat(F.to_json(F.struct("theme")).substr(F.lit(10), F.length(F.to_json(F.struct("theme"))) - 10), F.lit(": "), F.col("document")))), ", "), F.lit("}"))
-    df.agg(body.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """A JSON document of themes and their records (theme, order, record; one row of each theme and order): one line.
+
+    Pieces stand side by side in one file, with a space after each; no row holds more than a record.
+    """
+    theme, order, record = (F.col(c) for c in df.columns)
+    themes = df.groupBy(theme.alias("theme")).agg(F.min(order).alias("first"))
+    least = themes.agg(F.min("theme").alias("least"))
+    named = F.to_json(F.struct("theme"))
+    none = F.lit(None).cast(df.schema[1].dataType)
+    row = lambda at, name, kind, place, piece: [F.lit(at).alias("at"), name.alias("theme"), F.lit(kind).alias("kind"), place.alias("place"), piece.alias("piece")]
+    ends = [least.select(*row(at, F.lit(None).cast("string"), 0, none, F.lit(piece))) for at, piece in ((0, "{"), (2, "}"))]
+    heads = themes.crossJoin(least).select(*row(1, F.col("theme"), 0, none, F.concat(F.when(F.col("theme") == F.col("least"), "").otherwise(", "), named.substr(F.lit(10), F.length(named) - 10), F.lit(": ["))))
+    tails = themes.select(*row(1, F.col("theme"), 2, none, F.lit("]")))
+    records = df.select(theme.alias("theme"), order.alias("place"), record.alias("record")).join(themes, "theme")
+    body = records.select(*row(1, F.col("theme"), 1, F.col("place"), F.concat(F.when(F.col("place") == F.col("first"), "").otherwise(", "), F.col("record"))))
+    pieces = ends[0].unionByName(ends[1]).unionByName(heads).unionByName(tails).unionByName(body)
+    pieces.orderBy("at", "theme", "kind", "place").select("piece").coalesce(1).write.mode("overwrite").option("lineSep", " ").text(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

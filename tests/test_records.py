@@ -38,6 +38,25 @@ def test_sheets_to_document(spark, tmp_path):
         records.attach_theme(spark.createDataFrame([(9,)], "nu int"), themes, "nu").collect()
 
 
+def test_documents_and_runs_hold_no_group_in_a_row(spark, tmp_path):
+    from frameloom.plans import record_queries, score_queries
+
+    wide = spark.range(2000).selectExpr("IF(id % 2 = 0, '青\"', 'gray') AS theme", "id AS nu", "repeat('x', 50) AS title")
+    found = records.ready_json(wide, "theme", "nu")
+    assert found.count() == 2000 and max(len(r["record"]) for r in found.collect()) < 100
+    sinks.write_document(found, str(tmp_path / "ready"))
+    body = json.loads(spark.read.text(str(tmp_path / "ready")).first()[0])
+    assert {k: [r["nu"] for r in v] for k, v in body.items()} == {'青"': list(range(0, 2000, 2)), "gray": list(range(1, 2000, 2))}
+    sinks.write_document(found.limit(0), str(tmp_path / "none"))
+    assert json.loads(spark.read.text(str(tmp_path / "none")).first()[0]) == {}
+    for query, table in ((record_queries.ready_json, "conversations"), (score_queries.longest_run, "events")):
+        rows = {"conversations": "SELECT id AS conv_id, 1L AS turn, 'user' AS role, 'x' AS text FROM range(9)", "events": "SELECT 1L AS user_id, timestamp_seconds(id) AS ts, id AS event_id, IF(id = 4, 0.0, 60.0) AS value FROM range(9)"}[table]
+        spark.sql(rows).write.parquet(str(tmp_path / f"sf/{table}.parquet"))
+        got = query(spark, str(tmp_path / "sf"))
+        assert "collect_list(" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert [r["longest"] for r in got.collect()] == [4] if table == "events" else got.count() == 9
+
+
 def test_repeated_label_last_wins_and_wide_numbers(spark):
     df = spark.createDataFrame([(1, "a", "x", 1), (1, "a", "y", 2), (1, "b_", "z", 3)], "k int, label string, value string, seq int")
     assert records.ready_pivot(df, ["k"], "label", "value", "seq", ["a"]).collect()[0].asDict() == {"k": 1, "a": "y"}
