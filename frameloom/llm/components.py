@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import write_table
+from frameloom.llm.util import forget, write_table
 
 #: Edges that one task contracts at a time; bounds its memory, changes no result.
 EDGES_AT_ONCE = 500_000
@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round is two joins and two map-side-combined minima over a written edge table. A hub's rows may
     be split between tasks: minima combine before their shuffle and the joins are of the kind that AQE splits.
-    Rounds follow the logarithm of the component's diameter; the first contraction happens inside tasks.
+    Rounds follow the logarithm of the component's diameter. Tasks contract what they read before the first round, and once no more than
+    EDGES_AT_ONCE edges are left one task contracts them to the end; either gives the same components.
     Self-loops and repeated edges change nothing; an empty table gives an empty one.
     """
     kept = write_table(edges.select("u", "v").mapInPandas(_contract, "u long, v long").distinct(), "edges")
@@ -54,12 +55,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = kept.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state["n"] == 0 or (state["n"], state["h"]) == seen:
             break
-        seen = (state["n"], state["h"])
+        seen, last = (state["n"], state["h"]), kept
+        if state["n"] <= EDGES_AT_ONCE:
+            kept = write_table(kept.repartition(1).mapInPandas(_contract, "u long, v long"), "edges")
+            forget(last)
+            break
         both = kept.union(kept.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         kept = write_table(small.where("u <> v").distinct(), "edges")
+        forget(last)
     stars = kept.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.union(kept.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

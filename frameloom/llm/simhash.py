@@ -1,10 +1,9 @@
-"""Near-duplicates by SimHash fingerprints: covering locality-sensitive hashing, or candidates whose shingles are compared."""
+"""Near-duplicates by SimHash fingerprints: covering locality-sensitive hashing."""
 
 from __future__ import annotations
 
-import hashlib
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +31,7 @@ def fingerprint(text: str, words: int = 3, seed: int = 42, count: int = 1) -> li
     of none has fingerprint zero. A bit is set if more than half of the shingles' hashes have it: XXH64 for the
     first integer, a mix of it for each further one.
     """
-    return _simhash(shingle_hashes(text, words, seed), count)
+    return simhash(shingle_hashes(text, words, seed), count)
 
 
 def shingle_hashes(text: str, words: int, seed: int) -> np.ndarray:
@@ -46,7 +45,7 @@ def shingle_hashes(text: str, words: int, seed: int) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(s, seed) for s in shingles), np.uint64)
 
 
-def _simhash(hashes: np.ndarray, count: int) -> list[int]:
+def simhash(hashes: np.ndarray, count: int) -> list[int]:
     total = np.zeros(64 * count, np.int64)
     for i in range(0, len(hashes), 4096):
         part = hashes[i : i + 4096]
@@ -55,6 +54,10 @@ def _simhash(hashes: np.ndarray, count: int) -> list[int]:
     return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.int64).tolist()
 
 
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >> 63 else m
+
+
 def covering_masks(radius: int, bits: int = 64, seed: int = 7) -> list[int]:
     """2 ** (radius + 1) - 1 masks of so many of 64 bits of which, for any set of up to radius bits, one has none of these bits.
 
@@ -63,7 +66,7 @@ def covering_masks(radius: int, bits: int = 64, seed: int = 7) -> list[int]:
     """
     vectors = np.random.default_rng(seed).permutation(np.arange(bits) % (1 << (radius + 1)))
     masks = [sum(1 << i for i, x in enumerate(vectors.tolist()) if (x & v).bit_count() % 2) for v in range(1, 1 << (radius + 1))]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    return [_signed(m) for m in masks]
 
 
 def _fingerprints(shingle_words: int, seed: int, count: int):
@@ -76,12 +79,12 @@ def _fingerprints(shingle_words: int, seed: int, count: int):
     return run
 
 
-def _near(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+def near(a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
     """Whether fingerprints (integers along the last axis) differ in no more than limit bits."""
     return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)).sum(axis=-1, dtype=np.int64) <= limit
 
 
-def _stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect nodes a (rows) and b (columns) as all the pairs that are near would."""
     i, j = near.nonzero()
     if len(i) <= 2 * (len(a) + len(b)):
@@ -104,35 +107,31 @@ def _stars(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return u[u != v], v[u != v]
 
 
-_KEY = ["t", "key", "i", "j"]
-
+BLOCK_KEY = ["key", "mask", "print", "i", "j"]
 
-def _links(prints: list[str], limit: int, share: float):
-    """Over partitions sorted by block (_KEY): edges between the nodes of fingerprints that are near, and of sizes of that share."""
 
-    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        found = _near(a[..., : len(prints)], b[..., : len(prints)], limit)
-        return found & (np.minimum(a[..., -1], b[..., -1]) >= share * np.maximum(a[..., -1], b[..., -1])) if share else found
+def links(columns: list[str], alike: Callable[[np.ndarray, np.ndarray], np.ndarray]):
+    """Over partitions sorted by block (BLOCK_KEY): edges that connect the nodes of a block as all pairs whose columns are alike would."""
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        key, node, side = rows[_KEY].to_numpy(), rows["node"].to_numpy(), rows["side"].to_numpy()
-        x = np.ascontiguousarray(rows[[*prints, "size"] if share else prints].to_numpy(np.int64))
+        key, node, side = rows[BLOCK_KEY].to_numpy(), rows["node"].to_numpy(), rows["side"].to_numpy()
+        x = np.ascontiguousarray(rows[columns].to_numpy(np.int64))
         start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
         size = np.diff(np.r_[start, len(key)])
         pairs = start[size == 2]
-        pairs = pairs[near(x[pairs], x[pairs + 1])]
+        pairs = pairs[alike(x[pairs], x[pairs + 1])]
         out = [(node[pairs], node[pairs + 1])]
         for s, n in zip(start[size > 2], size[size > 2], strict=True):
             left = s + np.flatnonzero(side[s : s + n] == 0)
             right = s + np.flatnonzero(side[s : s + n] == 1) if side[s : s + n].any() else left
-            out.append(_stars(near(x[left][:, None], x[right][None, :]), node[left], node[right]))
+            out.append(stars(alike(x[left][:, None], x[right][None, :]), node[left], node[right]))
         return pd.DataFrame({"u": np.concatenate([o[0] for o in out]), "v": np.concatenate([o[1] for o in out])})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            cut = len(rows) - int((rows[_KEY] == rows[_KEY].iloc[-1]).all(axis=1).sum())
+            cut = len(rows) - int((rows[BLOCK_KEY] == rows[BLOCK_KEY].iloc[-1]).all(axis=1).sum())
             if cut:
                 yield compared(rows.iloc[:cut])
             held = rows.iloc[cut:]
@@ -142,37 +141,52 @@ def _links(prints: list[str], limit: int, share: float):
     return run
 
 
-def linked_fingerprints(nodes: DataFrame, prints: list[str], radius: int, limit: int, bits: int = 64) -> DataFrame:
-    """Edges (u, v) that connect nodes (node long, prints long) as all pairs within `limit` bits that the tables bring together would.
-
-    Covering tables of the first `bits` bits of each fingerprint: a pair within the radius in any of them agrees under one
-    of its masks at least. Buckets of one are left out by a count that combines before its shuffle. A bucket of more than BLOCK
-    members is dealt into parts by hash, and each pair of parts is a block that any task can compare, so that
-    no bucket has to fit one task; a block returns no more than a few edges for each member, never its pairs.
-    """
-    masks = covering_masks(radius, bits)
-    keys = [F.struct(F.lit(k * len(masks) + t).alias("t"), F.col(p).bitwiseAND(F.lit(m)).alias("key")) for k, p in enumerate(prints) for t, m in enumerate(masks)]
-    keyed = nodes.select("node", *prints, F.explode(F.array(*keys)).alias("e")).select("e.*", "node", *prints)
-    return _met(_shared(keyed), prints, limit)
+def sorted_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), *BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
 
 
-def _shared(keyed: DataFrame) -> DataFrame:
-    """The rows (t, key and others) whose bucket has others too, with the number of parts to deal it in."""
-    full = keyed.groupBy("t", "key").count().where("count > 1")
-    return keyed.join(full, ["t", "key"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
-
-
-def _blocks(dealt: DataFrame, *columns: str) -> DataFrame:
-    """A row for each member (t, key, node, parts) and block that it is compared in, sorted by block."""
-    part = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    blocks = part.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "t", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", *columns
-    )
-    return blocks.repartition(partitions(dealt.sparkSession), *_KEY).sortWithinPartitions(*_KEY)
-
+def linked_fingerprints(nodes: DataFrame, prints: list[str], radius: int, limit: int) -> DataFrame:
+    """Edges (u, v) that connect nodes (node long, prints long) as all pairs within `limit` bits that the tables bring together would.
 
-def _met(dealt: DataFrame, prints: list[str], limit: int, share: float = 0) -> DataFrame:
-    return _blocks(dealt, *prints, *(["size"] if share else [])).mapInPandas(_links(prints, limit, share), "u long, v long")
+    Covering tables of each fingerprint of 64 bits: a pair within the radius in any of them agrees under one of its masks at
+    least. Buckets of one are left out by a count that combines before its shuffle. A bucket of more than BLOCK members is dealt
+    into parts by hash, and each pair of parts is a block that any task can compare. A bucket of more parts than there are masks
+    is covered again instead, by masks of the bits that its own mask leaves out, which hold all the bits in which its near pairs differ: so
+    a member is copied no more often than there are masks at any size. Each such level halves the bits that are left, and fingerprints are
+    distinct, so the buckets end. A block returns no more than a few edges for each member, never its pairs.
+    """
+    at, found, masks, bucket = F.array(*prints), [], covering_masks(radius), ["key", "mask", "print"]
+    every = F.array(*(F.struct(F.lit(m).alias("mask"), F.lit(k).alias("print")) for k in range(len(prints)) for m in masks))
+    level = nodes.select("node", *prints, F.explode(every).alias("e")).select("node", *prints, "e.*")
+    while True:
+        level = level.withColumn("key", F.element_at(at, F.col("print") + 1).bitwiseAND(F.col("mask")))
+        full = write_table(level.groupBy(*bucket).count().where("count > 1"), "buckets")
+        parts = F.ceil(F.col("count") / BLOCK).cast("int")
+        ends = (parts <= len(masks)) | (F.bit_count("mask") >= 56)
+        shared = level.join(full, bucket)
+        part = shared.where(ends).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        met = part.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+            *bucket, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", *prints
+        )
+        found.append(sorted_blocks(met).mapInPandas(links(prints, lambda a, b: near(a, b, limit)), "u long, v long"))
+        large = [r["mask"] for r in full.where(~ends).select("mask").distinct().collect()]
+        if not large:
+            return reduce(DataFrame.union, found)
+        wider = F.create_map(*(x for m in large for x in (F.lit(m), F.array(*map(F.lit, _wider(m, radius))))))
+        level = shared.where(~ends).select("node", *prints, "print", F.explode(wider[F.col("mask")]).alias("mask"))
+
+
+def _wider(mask: int, radius: int) -> list[int]:
+    """Masks that hold `mask` and, of the bits outside it, covering ones."""
+    left = [i for i in range(64) if not mask >> i & 1]
+    more = covering_masks(radius, len(left))
+    return sorted({mask | _signed(sum(1 << left[i] for i in range(len(left)) if m >> i & 1)) for m in more})
+
+
+def least_ids(classes: DataFrame, stars: DataFrame) -> DataFrame:
+    """node, component_id: the smallest id of the component of each node (node, least_id)."""
+    star = classes.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return star.join(star.groupBy("component").agg(F.min("least_id").alias("component_id")), "component").select("node", "component_id")
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
@@ -188,129 +202,9 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prints = write_table(rows.mapInArrow(_fingerprints(shingle_words, seed, 1), f"id {kind}, p0 long"), "fingerprints")
     classes = write_table(prints.groupBy("p0").agg(F.min("id").alias("least_id")).withColumn("node", F.col("p0")), "classes")
     stars = connected_components(linked_fingerprints(classes.select("node", "p0"), ["p0"], radius, radius))
-    found = prints.join(_least_ids(classes, stars).select(F.col("node").alias("p0"), "component_id"), "p0")
+    found = prints.join(least_ids(classes, stars).select(F.col("node").alias("p0"), "component_id"), "p0")
     return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("p0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _least_ids(classes: DataFrame, stars: DataFrame) -> DataFrame:
-    """node, component_id: the smallest id of the component of each node (node, least_id)."""
-    star = classes.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return star.join(star.groupBy("component").agg(F.min("least_id").alias("component_id")), "component").select("node", "component_id")
-
-
-#: Shingles that the members of one side of a block of texts have together at most, or so.
-BLOCK_SHINGLES = 2_000_000
-
-
-def _shingle_sets(words: int, seed: int, count: int, similarity: float):
-    """Of each text: the hashes of its shingles as a sorted set, a digest of the set, its fingerprints, and how many of the set lead it.
-
-    Sets of that similarity share at least ceil(similarity * size) hashes of each, so that the first
-    size - that + 1 hashes of the one and of the other, in order, have one in common.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints, nodes, sizes, lead, sets = [], [], [], [], []
-            for text in batch.column("content").to_pylist():
-                hashes = shingle_hashes(text, words, seed)
-                prints.append(_simhash(hashes, count))
-                own = np.unique(hashes.view(np.int64))
-                nodes.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True))
-                sizes.append(len(own)), sets.append(own)
-                lead.append(len(own) - math.ceil(similarity * len(own) - 1e-9) + 1 if len(own) else 0)
-            offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
-            flat = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
-            columns = [pa.array([p[k] for p in prints], pa.int64()) for k in range(count)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(nodes, pa.int64()), *columns, pa.array(sizes, pa.int64()), pa.array(lead, pa.int32()), pa.ListArray.from_arrays(offsets, flat)],
-                names=["id", "node", *(f"p{k}" for k in range(count)), "size", "lead", "shingles"],
-            )
-
-    return run
-
-
-def _similar(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether each of the sorted sets in left has that Jaccard similarity, or more, with each in right."""
-    sizes = np.array([len(x) for x in right])
-    flat, owner = np.concatenate(right), np.repeat(np.arange(len(right)), sizes)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    near = np.zeros((len(left), len(right)), bool)
-    for k, own in enumerate(left):
-        first = np.searchsorted(flat, own)
-        many = np.searchsorted(flat, own, side="right") - first
-        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-        both = np.bincount(owner[at], minlength=len(right))
-        near[k] = both >= similarity * (len(own) + sizes - both)
-    return near
-
-
-def _verified(similarity: float):
-    """Over partitions sorted by block (_KEY): edges between the nodes whose shingles are similar."""
-
-    def compared(key: tuple, rows: list[tuple[int, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        if len(rows) > 1:
-            left, right = ([r for r in rows if r[1] == s] for s in (0, 1))
-            right = right if key[2] != key[3] else left
-            if left and right:
-                near = _similar([r[2] for r in left], [r[2] for r in right], similarity)
-                u, v = _stars(near, *(np.array([r[0] for r in x], np.int64) for x in (left, right)))
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-        for batch in batches:
-            keys = zip(*(batch.column(k).to_pylist() for k in _KEY), strict=True)
-            sets = batch.column("shingles")
-            flat, ends = sets.values.to_numpy(), sets.offsets.to_numpy()
-            for k, (key, node, side) in enumerate(zip(keys, batch.column("node").to_pylist(), batch.column("side").to_pylist(), strict=True)):
-                if key != at:
-                    yield from compared(at, held)
-                    at, held = key, []
-                held.append((node, side, flat[ends[k] : ends[k + 1]]))
-        yield from compared(at, held)
-
-    return run
-
-
-def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, count: int = 4, seed: int = 42) -> DataFrame:
-    """id, component_id of each row: the smallest id that links of texts whose sets of shingles have that Jaccard similarity reach.
-
-    1. Sets of shingles by their hashes of 64 bits; rows of equal sets are one node.
-    2. Nodes that share one of their leading hashes meet, as all pairs of the similarity do. Candidates are those whose
-       sizes have that share and whose fingerprints of count times 64 bits differ in no more bits than such pairs do on average
-       and eight standard deviations, so that a hash that many texts share doesn't bring them all together.
-    3. Each component of candidates gets its sets, and all its pairs are compared exactly, block by block.
-    """
-    rows = df.select(df[f"`{id_col}`"].alias("id"), text_of(df[f"`{text_col}`"]).alias("content"))
-    names, kind = [f"p{k}" for k in range(count)], rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, node long, {', '.join(f'{p} long' for p in names)}, size long, lead int, shingles array<long>"
-    made = rows.mapInArrow(_shingle_sets(shingle_words, seed, count, similarity), schema)
-    sets = write_table(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
-    classes = write_table(sets.groupBy("node").agg(F.min("id").alias("least_id"), F.min("row").alias("row"), F.min("size").alias("size"), *(F.min(p).alias(p) for p in names)), "classes")
-    keyed = sets.select("node", F.explode(F.slice("shingles", F.lit(1), F.col("lead"))).alias("key"))
-    full = keyed.groupBy("key").agg(F.count("*").alias("count"), F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "count")
-    shared = write_table(keyed.join(full, "key").distinct(), "shared-shingles")
-    dealt = shared.join(classes.select("node", "size", *names), "node").withColumn("t", F.lit(0)).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    limit = int(64 * count * p + 8 * math.sqrt(64 * count * p * (1 - p)))
-    candidates = connected_components(_met(dealt, names, limit, similarity))
-    placed = write_table(candidates.join(classes.select("node", "row", "size"), "node"), "candidates")
-    sized = placed.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
-    parts = sized.select("component", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("parts"))
-    held = placed.join(parts, "component").select("row", "node", F.lit(0).alias("t"), F.col("component").alias("key"), "parts")
-    members = write_table(sets.select("row", "shingles").join(held, "row"), "members")
-    stars = connected_components(_blocks(members, "shingles").mapInArrow(_verified(similarity), "u long, v long"))
-    return sets.select("id", "node").join(_least_ids(classes.select("node", "least_id"), stars), "node").select("id", "component_id")
-
-
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, count: int = 4, seed: int = 42) -> DataFrame:
-    """The rows of df, one document of each component of similar_components: that of the smallest id. Rows that share an id are one document; null ids stay."""
-    found = similar_components(df, id_col, text_col, shingle_words, similarity, count, seed)
-    dropped = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__dropped")).distinct()
-    return df.join(dropped, df[f"`{id_col}`"] == dropped["__dropped"], "left_anti")
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))

@@ -43,7 +43,16 @@ def write_table(df: DataFrame, what: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(schema).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
+    written._written_to = path
+    return written
+
+
+def forget(*written: DataFrame) -> None:
+    """Delete tables of write_table that nothing still to be run reads."""
+    for df in written:
+        where = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def make_path(spark: SparkSession, path: str) -> None:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from frameloom.llm import exact_dedup, language, mixing, packing, simhash, toxicity
+from frameloom.llm import exact_dedup, language, mixing, near_dedup, packing, simhash, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns named as the operators name their own.
@@ -57,7 +57,7 @@ def test_exact_dedup_hot_text_and_smallest(spark, monkeypatch):
             assert (r["keep_id"], r["group_size"], r["kept"]) == (pick(groups[r["text"]]), len(groups[r["text"]]), r["doc_id"] == pick(groups[r["text"]]))
 
 
-@pytest.mark.parametrize("call", [exact_dedup.exact_dedup, simhash.simhash_components, simhash.near_dedup, mixing.mix, mixing.mixed_documents, language.keep_identified, lambda d: packing.pack(d, packing.tokenizer_file())])
+@pytest.mark.parametrize("call", [exact_dedup.exact_dedup, simhash.simhash_components, near_dedup.near_dedup, mixing.mix, mixing.mixed_documents, language.keep_identified, lambda d: packing.pack(d, packing.tokenizer_file())])
 def test_empty_tables(spark, call):
     assert call(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -86,14 +86,15 @@ def brute_components(prints, radius):
     return {i: root(i) for i in ids}
 
 
-def test_simhash_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 7)
+@pytest.mark.parametrize("block", [7, 1])  # with blocks of 1, buckets of over 15 are covered again
+def test_simhash_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     draw = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     rows = [(1, None), (2, ""), (3, "É Ab"), (4, "é aB"), (5, "a\x1cb c\x85d"), (6, "X " * 20_000)]
-    for k in range(12):
+    for k in range(8):
         base = [draw.choice(vocabulary) for _ in range(300)]
-        for _ in range(15):
+        for _ in range(15 if k else 90):
             own = list(base)
             own[draw.randrange(300)] = "Changed"
             rows.append((100 + len(rows), " ".join(own)))
@@ -118,7 +119,7 @@ def test_stars_connect_as_all_pairs_do():
     draw = np.random.default_rng(2)
     base = draw.integers(0, 1 << 62, 3)
     x = np.unique(np.concatenate([b ^ (1 << draw.integers(0, 62, 60)) for b in base]))
-    u, v = simhash._stars(simhash._near(x[:, None, None], x[None, :, None], 3), x, x)
+    u, v = simhash.stars(simhash.near(x[:, None, None], x[None, :, None], 3), x, x)
     prints = {int(p): int(p) for p in x}
     want = brute_components(prints, 3)
     parent = dict(want)
@@ -147,7 +148,7 @@ def test_near_dedup_finds_light_edits(spark):
             for at in draw.sample(range(200), edit):
                 own[at] = "edited"
             rows.append((3 * k + edit, " ".join(own), None, None))
-    kept = {r["doc_id"] for r in simhash.near_dedup(documents(spark, rows)).collect()}
+    kept = {r["doc_id"] for r in near_dedup.near_dedup(documents(spark, rows)).collect()}
     assert {3 * k for k in range(60)} <= kept and len(kept) <= 66
 
 
@@ -176,14 +177,14 @@ def test_near_dedup_links_as_exact_similarity_does(spark, monkeypatch):
                 group = [new if g == old else g for g in group]
     assert bands[15] > 20 and bands[16] > 20 and near > 60
     rows = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
-    got = {r["id"]: r["component_id"] for r in simhash.similar_components(rows).collect()}
+    got = {r["id"]: r["component_id"] for r in near_dedup.similar_components(rows).collect()}
     assert got == dict(enumerate(group))
-    assert {r["doc_id"] for r in simhash.near_dedup(rows).collect()} == set(group)
+    assert {r["doc_id"] for r in near_dedup.near_dedup(rows).collect()} == set(group)
 
 
 def test_near_dedup_keeps_columns_and_edges(spark):
     df = clashing(spark, EDGES)
-    got = simhash.near_dedup(df)
+    got = near_dedup.near_dedup(df)
     assert got.columns == df.columns
     kept = Counter(r["doc_id"] for r in got.collect())
     assert kept[1] == 1 and kept[2] == 0 and kept[3] == 0 and kept[None] == 1 and kept[5] == 2 and kept[7] == 1
