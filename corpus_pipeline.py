@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from frameloom.llm import exact_dedup, language, mixing, packing, simhash
+from frameloom.llm import exact_dedup, language, mixing, near_dedup, packing
 from frameloom.llm.util import table, write_table
 
 #: SQL can't express the language model, the fingerprints or the tokenizer.
@@ -26,7 +26,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.near_dedup(docs)
+    return near_dedup.near_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
