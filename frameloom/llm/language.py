@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import held_out, table, text_of
+from frameloom.llm.util import TEXT_ROWS, held_out, table, text_of, write_table
 
 #: Labelled documents of each language that the model is fitted on, about; the sample is drawn by a hash of the id.
 SAMPLE_OF_LANGUAGE = 2000
@@ -161,10 +161,15 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
-    """The rows whose language is told with at least that score. Rows that share an id are one document, which stays if any of them is told."""
+    """The rows whose language is told with at least that score, with df's columns, whatever their names.
+
+    A null or empty text, or one without a letter, has no language and goes; so do all if no row has a language to learn from. Ties go to the first language,
+    with half the score or less. Rows that share an id, repeated ones too, are one document, which stays if any of them is told; an empty table stays empty.
+    """
     model = fit(df, id_col, text_col, lang_col, ~held_out(df[f"`{id_col}`"]))
     told = identify(df, model, id_col, text_col)
-    rejected = told.groupBy(id_col).agg(F.max(F.when(F.col("lang_pred") != UNKNOWN, F.col("score")).otherwise(-1.0)).alias("best")).where(F.col("best") < least).select(F.col(id_col).alias("__rejected"))
+    best = F.max(F.when(F.col("lang_pred") != UNKNOWN, F.col("score")).otherwise(-1.0))
+    rejected = write_table(told.groupBy(id_col).agg(best.alias("best")).where(F.col("best") < least).select(F.col(id_col).alias("__rejected")), "rejected", TEXT_ROWS)
     return df.join(rejected, df[f"`{id_col}`"].eqNullSafe(rejected["__rejected"]), "left_anti")
 
 

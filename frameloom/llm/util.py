@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 #: Frees the shuffle files of a statement when it ends: every statement below ends in a written table.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows with whole texts or sets of shingles that go to Python at a time.
+TEXT_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,16 +36,22 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, what: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends here, and lost executors cost no recomputation."""
+def write_table(df: DataFrame, what: str, batch_rows: int | None = None) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: lineage ends here, and lost executors cost no recomputation.
+
+    batch_rows: how many rows at a time go to Python, where rows may be large.
+    """
     spark = df.sparkSession
     path, schema = new_path(spark, what), df.schema
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    settings = {_CLEANUP: "true"} | ({} if batch_rows is None else {_BATCH: str(batch_rows)})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     written = spark.read.schema(schema).parquet(path)
     written._written_to = path
     return written
