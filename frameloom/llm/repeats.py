@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm.run_length_index import RunLengthIndex
@@ -104,8 +103,8 @@ def once(*columns: np.ndarray) -> list[np.ndarray]:
     return [c[keep] for c in columns]
 
 
-#: Rows between stages. kind 0: a segment (anchor, content, doc, place); 1: a repeat [start, end) of doc with tie in
-#: place and content; 2: a segment whose windows have to be compared. place = tie << 39 | start << 7 | count.
+#: Rows between stages; doc is a row's number in order. kind 0: a segment (anchor, content, doc, place); 1: a repeat [start, end) of doc, with
+#: end in content; 2: a segment whose windows have to be compared. place = start << 7 | count.
 _ROW = "kind int, anchor long, content long, doc long, place long"
 _NAMES = [x.split()[0] for x in _ROW.split(", ")]
 
@@ -115,26 +114,22 @@ def _rows(kind: np.ndarray | int, anchor: np.ndarray, content: np.ndarray, doc:
     return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (anchor, content, doc, place))], names=_NAMES)
 
 
-def _tie(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0xFFFFFF
-
-
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of the documents. Of equal ones that the task holds together only the first goes on; the others are repeats already."""
     held: list[tuple] = []
-    texts: list[tuple[int, bytes, int, int]] = []
+    texts: list[tuple[int, bytes, int]] = []
     size = total = 0
 
     def hash_texts() -> None:
         nonlocal size
         if texts:
-            data = np.frombuffer(b"".join(t for _, t, _, _ in texts), np.uint8)
-            lengths = np.array([len(t) for _, t, _, _ in texts])
+            data = np.frombuffer(b"".join(t for _, t, _ in texts), np.uint8)
+            lengths = np.array([len(t) for _, t, _ in texts])
             ends = np.cumsum(lengths)
             start, count, anchor, content = segments(data, ends)
             of = np.searchsorted(ends, start, side="right")
-            doc, tie, base = (np.array([t[k] for t in texts], np.int64) for k in (0, 2, 3))
-            held.append((anchor, content, doc[of], tie[of] << 39 | (start - (ends - lengths)[of] + base[of]) << 7 | count))
+            doc, base = (np.array([t[k] for t in texts], np.int64) for k in (0, 2))
+            held.append((anchor, content, doc[of], (start - (ends - lengths)[of] + base[of]) << 7 | count))
         texts.clear()
         size = 0
 
@@ -153,14 +148,13 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            tie = _tie(raw)
             for base in range(0, max(1, len(raw) - LENGTH + 1), PIECE):
                 part = raw[base : base + PIECE + LENGTH - 1]
                 if len(part) < LENGTH:
                     continue
                 if size + len(part) > PIECE + LENGTH:
                     hash_texts()
-                texts.append((doc, part, tie, base))
+                texts.append((doc, part, base))
                 size, total = size + len(part), total + len(part)
             if total > FLUSH:
                 hash_texts()
@@ -173,12 +167,9 @@ def _repeats(doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Rows of kind 1 for segments that are repeats as a whole; the anchor deals them out by document."""
     order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
-    tie, start, count = place >> 39, place >> 7 & 0xFFFFFFFF, place & 127
-    who = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]))) if len(doc) else doc
-    at = np.searchsorted(who, np.unique(who)) if len(doc) else who
-    group, begin, end = merged(who, start, start + count - 1 + LENGTH)
-    owner = at[group - 1] if len(doc) else group
-    return _rows(1, _mixed(doc[owner].view(np.uint64) ^ begin.view(np.uint64)), end, doc[owner], tie[owner] << 39 | begin << 7)
+    start = place >> 7
+    owner, begin, end = merged(doc, start, start + (place & 127) - 1 + LENGTH)
+    return _rows(1, _mixed(owner.view(np.uint64) ^ begin.view(np.uint64)), end, owner, begin << 7)
 
 
 def _columns(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
@@ -212,12 +203,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, docs, places, hot, bodies = [], [], [], [], []
         for doc, text, parts in zip(*(batch.column(n).to_pylist() for n in ("doc", "text", "parts")), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            tie = _tie(raw)
             for part in parts:
                 place = part["place"]
-                if place >> 39 == tie:
-                    start, count = place >> 7 & 0xFFFFFFFF, place & 127
-                    anchors.append(part["anchor"]), docs.append(doc), places.append(place), hot.append(part["hot"]), bodies.append(raw[start : start + count - 1 + LENGTH])
+                start = place >> 7
+                anchors.append(part["anchor"]), docs.append(doc), places.append(place), hot.append(part["hot"]), bodies.append(raw[start : start + (place & 127) - 1 + LENGTH])
         yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(places, pa.int64()), pa.array(hot, pa.bool_()), pa.array(bodies, pa.binary())], names=["anchor", "doc", "place", "hot", "body"])
 
 
@@ -231,10 +220,10 @@ def _later(anchor: np.ndarray, doc: np.ndarray, place: np.ndarray, bodies: list[
     row = np.repeat(np.arange(len(bodies)), count)
     step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     window = index.classes(LENGTH)[(np.cumsum(lengths + 1) - lengths - 1)[row] + step]
-    tie, start = place[row] >> 39, (place[row] >> 7 & 0xFFFFFFFF) + step
-    order = np.lexsort((start, tie, doc[row], window))
+    start = (place[row] >> 7) + step
+    order = np.lexsort((start, doc[row], window))
     hit = np.sort(order[np.append(False, window[order][1:] == window[order][:-1])])
-    return _repeats(doc[row[hit]], tie[hit] << 39 | start[hit] << 7 | 1)
+    return _repeats(doc[row[hit]], start[hit] << 7 | 1)
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,9 +250,9 @@ def _indexed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each window of the segments, by its bytes' digest."""
+    """A row for each window of the segments, with its bytes."""
     for batch in batches:
-        rows = [(doc, (place >> 39) << 32 | (place >> 7 & 0xFFFFFFFF) + k, hashlib.blake2b(body[k : k + LENGTH], digest_size=16).digest())
+        rows = [(doc, (place >> 7) + k, body[k : k + LENGTH])
                 for doc, place, body in zip(*(batch.column(n).to_pylist() for n in ("doc", "place", "body")), strict=True) for k in range(place & 127)]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["doc", "at", "window"])
 
@@ -274,8 +263,7 @@ def _digest(keep: bool):
             out = []
             for text, parts in zip(batch.column("text").to_pylist(), batch.column("parts").to_pylist(), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                tie = _tie(raw)
-                spans = sorted((p["place"] >> 7 & 0xFFFFFFFF, p["content"]) for p in parts or () if p["place"] >> 39 == tie)
+                spans = sorted((p["place"] >> 7, p["content"]) for p in parts or ())
                 kept, at, removed, runs = [], 0, 0, 0
                 for start, end in spans:
                     if start > at or not runs:
@@ -296,28 +284,29 @@ def _digest(keep: bool):
     return run
 
 
-def _doc(df: DataFrame, id_col: str) -> Column:
-    return F.coalesce(df[f"`{id_col}`"].cast("long"), F.lit((1 << 63) - 1))
-
-
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; null if keep_bytes is False) of each row.
 
     A byte goes if a string of LENGTH bytes that covers it also starts earlier: in a row of smaller id, or
     earlier in the row. Null texts are empty; a text shorter than LENGTH loses nothing. A null id comes after
-    all others. Rows that share an id come in order of a checksum of their text; wholly equal ones count as
-    one and lose the same. An empty table gives none.
+    all others. Rows that share an id come in order of a digest of their text, and each is a document of its own: of
+    wholly equal rows, one keeps its text. An empty table gives none.
+
+    Rows are numbered in order of id, digest and place by a range partitioning, so that each has a number of its own.
 
     1. Windows are dealt out by their anchors, so that equal windows meet; a task sends on one of equal segments.
     2. Segments equal to an earlier one are repeats; they meet by anchor and content, so that an anchor of many contents is
        dealt to many tasks. Where an anchor has several contents, by a count that combines before its shuffle, segments go on.
     3. Their bytes are looked up. A run-length index of a batch of anchors' segments streams matching statistics;
        what matches over LENGTH bytes is compared by place. The windows of an anchor with more than HOT_SEGMENTS
-       segments meet one by one instead, by digest, with a minimum that combines before its shuffle.
+       segments meet one by one instead, by their bytes, with a minimum that combines before its shuffle.
     4. Each document gets its repeats, merges them and cuts them out.
     """
     spark, n = df.sparkSession, partitions(df.sparkSession)
-    docs = df.select(df[f"`{id_col}`"].alias("id"), _doc(df, id_col).alias("doc"), F.coalesce(df[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
+    docs = df.select(df[f"`{id_col}`"].alias("id"), F.coalesce(df[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
+    order = [F.col("id").asc_nulls_last(), F.sha2("text", 256).asc(), F.col("row").asc()]
+    ranged = docs.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    docs = write_table(ranged.select("id", "text", F.monotonically_increasing_id().alias("doc")), "numbered-texts")
     rows = docs.select("doc", "text").mapInArrow(_anchored, _ROW)
     settled = rows.repartition(n, "anchor", "content").sortWithinPartitions("anchor", "content", "doc", "place")
     found = write_table(settled.mapInArrow(_grouped, _ROW), "repeats")
@@ -329,9 +318,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     windows = bodies.where("hot").select("doc", "place", "body").mapInArrow(_windows, "doc long, at long, window binary")
     first = windows.groupBy("window").agg(F.min(F.struct("doc", "at")).alias("first"))
     later = windows.join(write_table(first, "first-windows"), "window").where(F.struct("doc", "at") != F.col("first"))
-    start = F.col("at").bitwiseAND(0xFFFFFFFF)
-    tie = F.shiftright("at", 32)
-    later = later.select(F.lit(1).alias("kind"), F.lit(0).cast("long").alias("anchor"), (start + LENGTH).alias("content"), "doc", (F.shiftleft(tie, 39) + F.shiftleft(start, 7)).alias("place"))
+    later = later.select(F.lit(1).alias("kind"), F.lit(0).cast("long").alias("anchor"), (F.col("at") + LENGTH).alias("content"), "doc", F.shiftleft("at", 7).alias("place"))
     more = write_table(compared.union(later), "repeats")
     marks = found.where("kind = 1").union(more).groupBy("doc").agg(F.collect_list(F.struct("place", "content")).alias("parts"))
     kind = docs.schema["id"].dataType.simpleString()
