@@ -7,7 +7,7 @@ import hashlib
 import io
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,8 +23,8 @@ REVISIT_BYTES = 100
 
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_RECORD = "type string, record_id string, uri string, page_id long, digest string, refers_to long, segment int, origin string, total long, block binary"
-_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary()]
+_RECORD = "type string, record_id string, uri string, page_id long, digest string, refers_to long, segment int, origin string, total long, block binary, error string"
+_TYPES = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.string()]
 _NAMES = [x.split()[0] for x in _RECORD.split(", ")]
 
 
@@ -69,13 +69,15 @@ def record(kind: str, record_id: str, fields: dict[str, object], block: bytes) -
     return packer.compress(raw) + packer.flush()
 
 
-def page_records(page_id: int | None, uri: str | None, payload: bytes, digest: str, first: int | None) -> list[bytes]:
-    """The records of a page: a response, in segments if it is long, or a revisit of page `first`."""
-    name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page {page_id} {uri}')}>"
-    common = {"WARC-Target-URI": "".join((uri or "urn:none").splitlines()) or "urn:none", "WARC-Payload-Digest": f"sha256:{digest}", "WARC-Page-ID": page_id}
+def page_records(page_id: int | None, uri: str | None, payload: bytes, digest: str, first: int | None, first_uri: str | None = None, place: str = "") -> list[bytes]:
+    """The records of a page: a response, in segments if it is long, or a revisit of page `first`. place tells records of equal pages apart."""
+    name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page {page_id} {uri} {digest} {place}')}>"
+    line = lambda x: "".join((x or "urn:none").splitlines()) or "urn:none"
+    common = {"WARC-Target-URI": line(uri), "WARC-Payload-Digest": f"sha256:{digest}", "WARC-Page-ID": page_id}
     if first is not None:
         message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-        return [record("revisit", name, common | {"WARC-Profile": _PROFILE, "WARC-Refers-To-Page": first, "Content-Type": "application/http; msgtype=response"}, message)]
+        refers = {"WARC-Profile": _PROFILE, "WARC-Refers-To-Target-URI": line(first_uri), "WARC-Refers-To-Date": _DATE, "WARC-Refers-To-Page": first}
+        return [record("revisit", name, common | refers | {"Content-Type": "application/http; msgtype=response"}, message)]
     message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     common["Content-Type"] = "application/http; msgtype=response"
     if len(message) <= SEGMENT_BYTES:
@@ -90,26 +92,29 @@ def page_records(page_id: int | None, uri: str | None, payload: bytes, digest: s
 
 
 def parse_archive(data: bytes) -> Iterator[tuple]:
-    """The records of an archive, gzipped or not, as rows of _RECORD."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()  # all members, a buffer at a time
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError("a record doesn't begin with a version line")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        size = int(fields["content-length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) != size:
-            raise ValueError("an archive ends inside a record")
-        number = lambda k: int(fields[k]) if k in fields else None
-        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
-        yield fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-target-uri"), number("warc-page-id"), digest, number("warc-refers-to-page"), number("warc-segment-number"), fields.get("warc-segment-origin-id"), number("warc-segment-total-length"), block
-        at = end + 4 + size
-        while data[at : at + 2] == b"\r\n":
-            at += 2
+    """The records of an archive, gzipped or not, as rows of _RECORD. Where it can't be read on, a row with the error ends it."""
+    try:
+        if data[:2] == b"\x1f\x8b":
+            data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()  # all members, a buffer at a time
+        at = 0
+        while at < len(data):
+            end = data.index(b"\r\n\r\n", at)
+            lines = data[at:end].decode("utf-8").split("\r\n")
+            if not lines[0].startswith("WARC/"):
+                raise ValueError("a record doesn't begin with a version line")
+            fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+            size = int(fields["content-length"])
+            block = data[end + 4 : end + 4 + size]
+            if size < 0 or len(block) != size:
+                raise ValueError("an archive ends inside a record")
+            number = lambda k: int(fields[k]) if k in fields else None
+            digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
+            yield fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-target-uri"), number("warc-page-id"), digest, number("warc-refers-to-page"), number("warc-segment-number"), fields.get("warc-segment-origin-id"), number("warc-segment-total-length"), block, None
+            at = end + 4 + size
+            while data[at : at + 2] == b"\r\n":
+                at += 2
+    except (ValueError, KeyError, OSError, EOFError, zlib.error) as e:
+        yield (*[None] * (len(_TYPES) - 1), f"archive: {type(e).__name__} {e}")
 
 
 def assembled(segments: list[tuple[int, int | None, bytes]]) -> bytes:
@@ -127,18 +132,18 @@ def assembled(segments: list[tuple[int, int | None, bytes]]) -> bytes:
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write pages (page_id, uri, payload binary, digest, first: the page it revisits or null) as WARC files under path.
+    """Write pages (page_id, uri, payload binary, digest, first: the page it revisits or null, first_uri) as WARC files under path.
 
     Each task writes files of about ARCHIVE_BYTES, its rows in order. A file is written under a name of its attempt
     and then renamed to one that depends on task and number only: a task that runs again replaces its own
-    files by equal ones.
+    files by equal ones. Files are opened by pyarrow, so path must be of a scheme that it knows, as local and HDFS paths are.
     """
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(path)
-        task, held, size, files = TaskContext.get(), [], 0, []
+        task, held, size, files, row_number = TaskContext.get(), [], 0, [], 0
 
         def flush() -> None:
             name = f"{base}/part-{task.partitionId():06d}-{len(files):06d}.warc.gz"
@@ -152,7 +157,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
         store.create_dir(base, recursive=True)
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for x in page_records(*row):
+                row_number += 1
+                for x in page_records(*row, f"{task.partitionId()} {row_number}"):
                     if held and size + len(x) > ARCHIVE_BYTES:
                         flush()
                         held, size = [], 0
@@ -162,15 +168,17 @@ def write_archives(pages: DataFrame, path: str) -> None:
             flush()
         yield pa.RecordBatch.from_arrays([pa.array(files, pa.string())], names=["file"])
 
-    pages.select("page_id", "uri", "payload", "digest", "first").sortWithinPartitions("page_id", "digest", "uri").mapInArrow(written, "file string").agg(F.count("*")).first()
+    pages.select("page_id", "uri", "payload", "digest", "first", "first_uri").sortWithinPartitions("page_id", "digest", "uri").mapInArrow(written, "file string").agg(F.count("*")).first()
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each response or revisit under path: page_id, uri, type, digest, refers_to, payload.
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each response or revisit under path: page_id, uri, type, digest, refers_to, payload, record_id and error.
 
     Whole files come from Spark's binary reader, so any store will do. Continuation records are grouped with
     their first segment by origin identifier, ordered by number and checked against the total length; then
-    chunked framing is decoded. Only segmented records are shuffled. No archive gives no row.
+    chunked framing is decoded. Only segmented records are shuffled. Records of other types (warcinfo, request, metadata and so on) are left out.
+    A record whose segments, length or framing are wrong has an error and no payload; an archive that can't be read to its end has a row
+    with the error alone, after its records. No archive gives no row.
     """
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,25 +187,38 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 rows = list(parse_archive(data))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(_TYPES), _TYPES, strict=True)], names=_NAMES)
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blocks = [assembled([(s["segment"], s["total"], s["block"]) for s in parts]) for parts in batch.column("parts").to_pylist()]
-            at = batch.schema.get_field_index("parts")
-            yield batch.set_column(at, "block", pa.array(blocks, pa.binary()))
+    def tried(make: Callable, source: str, made: str):
+        """A column made of each row's source; where that fails, null and the error."""
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("block")
-            yield batch.set_column(at, "payload", pa.array([http_payload(b) for b in batch.column(at).to_pylist()], pa.binary()))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values, errors = [], []
+                for x, error in zip(batch.column(source).to_pylist(), batch.column("error").to_pylist(), strict=True):
+                    try:
+                        values.append(make(x) if error is None else None), errors.append(error)
+                    except ValueError as e:
+                        values.append(None), errors.append(str(e))
+                batch = batch.set_column(batch.schema.get_field_index(source), made, pa.array(values, pa.binary()))
+                yield batch.set_column(batch.schema.get_field_index("error"), "error", pa.array(errors, pa.string()))
 
+        return run
+
+    segments = lambda parts: assembled([(s["segment"], s["total"], s["block"]) for s in parts])
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select("content").mapInArrow(parsed, _RECORD)
-    head = ["type", "uri", "page_id", "digest", "refers_to"]
-    whole = raw.where("segment is null").select(*head, "block")
-    first = [F.first(c, ignorenulls=True).alias(c) for c in head if c != "type"]
-    cut = raw.where("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("origin")).agg(F.min(F.when(F.col("segment") == 1, F.col("type"))).alias("type"), *first, F.collect_list(F.struct("segment", "total", "block")).alias("parts")).drop("origin")
-    kinds = "type string, uri string, page_id long, digest string, refers_to long"
-    whole = whole.union(cut.mapInArrow(joined, f"{kinds}, block binary"))
-    return whole.mapInArrow(decoded, f"{kinds}, payload binary")
+    head = ["type", "record_id", "uri", "page_id", "digest", "refers_to"]
+    kinds = "type string, record_id string, uri string, page_id long, digest string, refers_to long"
+    known = F.col("type").isin("response", "revisit")
+    whole = raw.where(F.col("segment").isNull() & (known | F.col("error").isNotNull())).select(*head, "block", "error")
+    first = [F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in head]
+    cut = raw.where("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("origin")).agg(*first, F.collect_list(F.struct("segment", "total", "block")).alias("parts"))
+    cut = cut.where(known | F.col("type").isNull()).withColumn("record_id", F.col("origin")).withColumn("error", F.lit(None).cast("string"))
+    joined = cut.select(*head, "parts", "error").mapInArrow(tried(segments, "parts", "block"), f"{kinds}, block binary, error string")
+    return whole.union(joined).mapInArrow(tried(http_payload, "block", "payload"), f"{kinds}, payload binary, error string")
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The sound rows of read_records: page_id, uri, type, digest, refers_to, payload. Those with an error are read_records' to tell."""
+    return read_records(spark, path).where("error is null").drop("error", "record_id")
 
 
 def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", html_col: str = "html", path: str | None = None) -> DataFrame:
@@ -211,12 +232,14 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url
     spark, path = pages.sparkSession, path or new_path(pages.sparkSession, "warc")
     payload = F.coalesce(pages[f"`{html_col}`"].cast("string"), F.lit("")).cast("binary")
     rows = pages.select(pages[f"`{id_col}`"].cast("long").alias("page_id"), pages[f"`{uri_col}`"].cast("string").alias("uri"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    least = rows.where(F.length("payload") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    named = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "uri")))
+    least = rows.where(F.length("payload") >= REVISIT_BYTES).groupBy("digest").agg(named.alias("at"), F.count("*").alias("n")).where("n > 1").select("digest", F.col("at.page_id").alias("least"), F.col("at.uri").alias("first_uri"))
     least = write_table(least, "least-pages")  # apart from its aggregation, so that a hot digest's join can be split
     joined = rows.join(least, "digest", "left").withColumn("first", F.when(~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
     make_path(spark, path)
     write_archives(joined, path)
-    back = read_archives(spark, path)
+    told = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("a record can't be read back: "), "error"))).otherwise(F.col("digest"))
+    back = read_records(spark, path).withColumn("digest", told).drop("error", "record_id")
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
