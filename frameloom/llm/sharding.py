@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,7 +24,8 @@ class ShardStore:
     """A table as runs of Parquet files. A run is one arrival or one merge; a manifest of each version names the runs.
 
     A version is committed by renaming a finished manifest to a name that must not exist, so that readers see
-    one version or the next and of two writers one has to try again. Files that no manifest names (of a writer
+    one version or the next and of two writers one has to try again. That needs a store in which renaming to a name that is taken fails
+    (HDFS, local files); object stores whose rename copies need a committer that writes if absent. Files that no manifest names (of a writer
     that was lost) are never read. Only file names and sizes pass through the driver.
     """
 
@@ -86,21 +88,29 @@ class ShardStore:
         return max(0, math.floor(math.log(max(size, 1) / TIER_BYTES, self.fan_in) + 1e-9)) if size > TIER_BYTES else 0
 
     def append(self, df: DataFrame, arrival: Column | None = None) -> int:
-        """Add df's rows as a run, or as one for each value of arrival, written in one pass; the runs added. No row adds none."""
-        name = f"runs/{uuid.uuid4().hex}"
-        rows = df.select(*(df[f"`{f.name}`"] for f in self.schema.fields))
-        if arrival is None:
-            rows.write.parquet(f"{self.path}/{name}")
-            folders = [name]
-        else:
-            mark = "__arrival"
-            rows.withColumn(mark, arrival).write.partitionBy(mark).parquet(f"{self.path}/{name}")
-            folders = [f"{name}/{s.getPath().getName()}" for s in self._files.listStatus(self._at(name)) if s.isDirectory()]
+        """Add df's rows as a run, or as one for each value of arrival, written in one pass; the runs added.
+
+        Nulls, empty and very long texts and repeated rows are kept as they are; columns that the schema doesn't name are left out, and the schema's
+        may have any names. No row adds no run and no version.
+        """
+        name, seen = f"runs/{uuid.uuid4().hex}", Observation()
+        rows = df.select(*(df[f"`{f.name}`"] for f in self.schema.fields), *([] if arrival is None else [arrival.alias(mark := self._free_name())]))
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer if arrival is None else writer.partitionBy(mark)).parquet(f"{self.path}/{name}")
+        if not seen.get["rows"]:
+            self._files.delete(self._at(name), True)
+            return 0
+        folders = [name] if arrival is None else [f"{name}/{s.getPath().getName()}" for s in self._files.listStatus(self._at(name)) if s.isDirectory()]
         runs = [r for r in map(self._run, sorted(folders)) if r]
         if runs:
             self._commit(lambda old: old + runs)
         return len(runs)
 
+    def _free_name(self) -> str:
+        """A name for the arrivals' column that no column of the schema has, whatever its case."""
+        taken = {f.name.lower() for f in self.schema.fields}
+        return next(n for n in (f"arrival_{k}" for k in range(len(taken) + 1)) if n not in taken)
+
     def _load(self, runs: list[dict]) -> DataFrame:
         files = [f"{self.path}/{f}" for r in runs for f in r["files"]]
         return self.spark.read.schema(self.schema).parquet(*files) if files else self.spark.createDataFrame([], self.schema)
@@ -114,7 +124,7 @@ class ShardStore:
 
         A merge reads the runs of one tier and writes files of about the target size. It keeps Spark's reading
         partitions together (coalesce), so nothing is shuffled. If another writer took one of the runs, the
-        merge is thrown away.
+        merge is thrown away. A merge takes fan_in runs, the smallest first.
         """
         merges = 0
         while True:
@@ -124,7 +134,7 @@ class ShardStore:
             full = [t for t in sorted(tiers) if len(tiers[t]) >= self.fan_in]
             if not full:
                 return merges
-            inputs = tiers[full[0]]
+            inputs = sorted(tiers[full[0]], key=lambda r: (r["bytes"], r["name"]))[: self.fan_in]
             size, name = sum(r["bytes"] for r in inputs), f"runs/{uuid.uuid4().hex}"
             self._load(inputs).coalesce(max(1, math.ceil(size / self.target))).write.parquet(f"{self.path}/{name}")
             made, gone = self._run(name), {r["name"] for r in inputs}
@@ -138,12 +148,20 @@ class ShardStore:
             else:
                 self._files.delete(self._at(name), True)
 
-    def vacuum(self) -> int:
-        """Delete the files of older versions that the latest doesn't name, then those manifests; the runs deleted."""
-        version = self.version()
-        kept = {r["name"] for r in self.manifest(version)}
-        older = [v for v in range(1, version) if self._files.exists(self._at(f"manifests/v{v:012d}.json"))]
+    def vacuum(self, grace_seconds: float = 0, orphans_after: float = 7 * 86_400) -> int:
+        """Delete the runs that no manifest within the grace names, then the older manifests; the runs deleted.
+
+        A version is older if a later one has been there for grace_seconds, so that readers have so long to end. Files that no manifest has ever named are
+        of a writer that was lost, or of one at work: they go once they are orphans_after seconds old.
+        """
+        now, version = time.time(), self.version()
+        made = {int(n[1:-5]): self._files.getFileStatus(self._at(f"manifests/{n}")).getModificationTime() / 1000 for n, _ in self._list("manifests", ".json") if n.startswith("v")}
+        older = [v for v in made if v < version and now - made.get(v + 1, now) >= grace_seconds]
+        kept = {r["name"] for v in made if v not in older for r in self.manifest(v)}
         gone = {r["name"] for v in older for r in self.manifest(v)} - kept
+        named = {n.split("/")[1] for n in kept | gone}
+        if self._files.exists(self._at("runs")):
+            gone |= {f"runs/{s.getPath().getName()}" for s in self._files.listStatus(self._at("runs")) if s.getPath().getName() not in named and now - s.getModificationTime() / 1000 >= orphans_after}
         for name in gone:
             self._files.delete(self._at(name), True)
         for v in older:
