@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import partitions, table, text_of, write_table
+from frameloom.llm.util import carried, partitions, restored, table, text_of, write_table
 
-#: Words in a block, slots in an output shard, shards whose counts are drawn in one go.
+#: Words in a block (of a small source: the BLOCKS-th part of its words, so that its blocks can come near its target too), slots in an output
+#: shard, shards whose counts are drawn in one go.
+BLOCKS = 256
 BLOCK, SHARD_SLOTS, GROUP_SHARDS = 64, 1024, 64
 #: Weights of the sources in order, again and again; how much the mix takes of all words; how often it may take a word.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -78,6 +80,10 @@ def _draw(seed: int):
     return run
 
 
+def block_length(source_size: Column, block: int = BLOCK) -> Column:
+    return F.greatest(F.lit(1), F.least(F.lit(block), F.floor(source_size / BLOCKS))).cast("long")
+
+
 def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = BLOCK, seed: int = 11) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(targets, documents, slots): the sources' targets; each row's place in its source's stream of words; the
     blocks that the output shards draw.
@@ -95,17 +101,20 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     )
     sized = write_table(rows, "sizes")
     buckets = max(16, -(-sized.count() // BUCKET_ROWS))
-    targets = write_table(source_targets(sized), "targets")
+    targets = write_table(source_targets(sized).withColumn("length", block_length(F.col("source_size"), block)), "targets")
     numbered = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop("source").withColumn("h", F.xxhash64("key", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)))
     starts = numbered.groupBy("s", "bucket").agg(F.sum("size").alias("n"))
     starts = starts.select("s", "bucket", F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
     inside = F.coalesce(F.sum("size").over(Window.partitionBy("s", "bucket").orderBy("h", "key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = numbered.withColumn("inside", inside).join(starts, ["s", "bucket"]).withColumn("offset", F.col("start") + F.col("inside")).drop("inside", "start", "bucket", "h")
-    blocks = targets.where("target > 0").select("s", F.ceil(F.col("source_size") / block).cast("long").alias("blocks"), F.least(F.ceil(F.col("source_size") / block) * MOST, F.round(F.col("target") / block)).cast("long").alias("all"))
+    size = F.ceil(F.col("source_size") / F.col("length"))
+    blocks = targets.where("target > 0").select("s", size.cast("long").alias("blocks"), F.least(size * MOST, F.round(F.col("target") / F.col("length"))).cast("long").alias("all")).where("all > 0")
     total = blocks.agg(F.sum("all")).first()[0] or 0
     groups = max(1, -(-total // (SHARD_SLOTS * GROUP_SHARDS)))
     upto = lambda g: F.floor(F.col("all").cast("decimal(38,0)") * g / groups).cast("long")
-    parts = blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("g", "s", "blocks", upto(F.col("g")).alias("first"), (upto(F.col("g") + 1) - upto(F.col("g"))).alias("quota"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))
+    some = F.transform(F.sequence(F.lit(1).cast("long"), F.col("all")), lambda k: F.ceil(k.cast("decimal(38,0)") * groups / F.col("all")).cast("long") - 1)  # groups that get a block
+    parts = blocks.withColumn("g", F.explode(F.when(F.col("all") >= groups, every).otherwise(some))).select("g", "s", "blocks", upto(F.col("g")).alias("first"), (upto(F.col("g") + 1) - upto(F.col("g"))).alias("quota"))
     slots = parts.where("quota > 0").repartition(partitions(df.sparkSession), "g").groupBy("g").applyInPandas(_draw(seed), "shard long, s int, pass long, block long")
     return targets, placed, slots
 
@@ -116,11 +125,12 @@ def row_key(df: DataFrame, id_col: str, text_col: str, source_col: str):
     return F.sha2(F.concat_ws("\x1f", *texts), 256)
 
 
-def _pieces(placed: DataFrame, block: int) -> DataFrame:
+def _pieces(placed: DataFrame) -> DataFrame:
     """A row for each document and block that share words: from, words (in the document), with the document's columns."""
-    last = F.floor((F.col("offset") + F.col("size") - 1) / block)
-    split = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / block), last)))
-    begin, end = F.greatest("offset", F.col("block") * block), F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block)
+    length = F.col("length")
+    last = F.floor((F.col("offset") + F.col("size") - 1) / length)
+    split = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / length), last)))
+    begin, end = F.greatest("offset", F.col("block") * length), F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * length)
     return split.withColumn("from", begin - F.col("offset")).withColumn("words", end - begin)
 
 
@@ -128,12 +138,12 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """A row of id_col, size, source_size, target and taken (words that the mix takes, repeats counted) for each row.
 
     A null or empty text has size 0 and is never taken. A null source is one of its own, after all others.
-    Repeated rows each have their own place. An empty table gives none. Runs agree: places and draws depend on
+    Repeated rows each have their own place. Ties in the order of places are of equal rows. An empty table gives none. Runs agree: places and draws depend on
     the rows and the seed alone. Other columns are not read.
     """
     _, placed, slots = mix_plan(df, id_col, text_col, source_col, block, seed)
     times = slots.groupBy("s", "block").agg(F.count("*").alias("times")).hint("merge")  # it grows with the words
-    taken = _pieces(placed, block).join(times, ["s", "block"], "left").groupBy("s", "offset", "id", "size", "source_size", "target").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
+    taken = _pieces(placed).join(times, ["s", "block"], "left").groupBy("s", "offset", "id", "size", "source_size", "target").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     names = [F.col("id").alias(id_col), "size", "source_size", "target", "taken"]
     return taken.select(*names).union(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*names))
 
@@ -142,21 +152,22 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The mix as documents, with df's columns: a row for each document and pass in which it has taken blocks.
 
     A pass that takes all of a document returns its text unchanged; else its taken words, in order and
-    separated by spaces. n_chars, if df has it, follows the text.
+    separated by spaces. n_chars, if df has it, follows the text. A null or empty text is never taken. A null source is one of its own, after
+    all others. Repeated rows are taken each for itself, so alike rows may come out as often as all of them are taken. Columns may have any names. An empty table gives none.
     """
     _, placed, slots = mix_plan(df, id_col, text_col, source_col, block, seed)
-    got = _pieces(placed, block).join(slots.select("s", "block", "pass").hint("merge"), ["s", "block"])
+    got = _pieces(placed).join(slots.select("s", "block", "pass").hint("merge"), ["s", "block"])
     part = got.groupBy("key", "s", "offset", "size", "pass").agg(F.sum("words").alias("n"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("parts"))
-    chosen = part.groupBy("key").agg(F.collect_list(F.struct((F.col("n") == F.col("size")).alias("whole"), "parts")).alias("passes"))
-    keyed = df.withColumn("__key", row_key(df, id_col, text_col, source_col)).dropDuplicates(["__key"])
-    joined = keyed.join(chosen, keyed["__key"] == chosen["key"]).withColumn("__pass", F.explode("passes"))
-    words = F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(f"({WORD})"), F.lit(1))
-    taken = lambda all_: F.array_join(F.transform("__pass.parts", lambda p: F.array_join(F.slice(all_, (p["from"] + 1).cast("int"), p["words"].cast("int")), " ")), " ")
+    chosen = part.select("key", (F.col("n") == F.col("size")).alias("whole"), "parts")
+    rows = carried(df, key=row_key(df, id_col, text_col, source_col), content=df[f"`{text_col}`"]).dropDuplicates(["key"]).join(chosen, "key")
+    words = F.regexp_extract_all("content", F.lit(f"({WORD})"), F.lit(1))
+    taken = lambda all_: F.array_join(F.transform("parts", lambda p: F.array_join(F.slice(all_, (p["from"] + 1).cast("int"), p["words"].cast("int")), " ")), " ")
     cut = F.element_at(F.transform(F.array(words), taken), 1)  # binds the words, so that a text is split once, not for each part
-    out = joined.withColumn(text_col, F.when(F.col("__pass.whole"), F.col(f"`{text_col}`")).otherwise(cut))
-    if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.length(F.col(f"`{text_col}`")).cast(df.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in df.columns))
+    at = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    out = rows.withColumn(at[text_col], F.when(F.col("whole"), F.col("content")).otherwise(cut))
+    if "n_chars" in at:
+        out = out.withColumn(at["n_chars"], F.length(at[text_col]).cast(df.schema["n_chars"].dataType))
+    return restored(out, df.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
