@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -12,18 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm.components import connected_components, forest
-from frameloom.llm.util import partitions, table, write_table
+from frameloom.llm.util import forget, partitions, table, write_table
 
-#: Reference points (a sample of the vectors, by hash), the nearest ones that describe a vector, and how many a pair must share.
-PIVOTS, NEAREST, SHARED = 256, 6, 2
+#: Reference points (a sample of the vectors, by hash): the square root of the vectors' number, so that lists keep their length, but as many at least and
+#: at most (beyond about 4,000,000 vectors); the nearest ones that describe a vector, and how many of them a pair must share.
+LEAST_PIVOTS, MOST_PIVOTS, NEAREST, SHARED = 256, 2048, 8, 3
 #: Members of a list that are compared at a time; a longer list is compared block by block, in several tasks.
 BLOCK = 512
 
 
-def pivots_of(sample: list[list[float]], dims: int, seed: int = 3) -> np.ndarray:
-    """PIVOTS unit vectors: the sample's of that many dimensions, topped up by random directions."""
-    own = [v for v in sample if len(v) == dims][:PIVOTS]
-    more = np.random.default_rng([seed, dims]).standard_normal((PIVOTS - len(own), dims))
+def pivots_of(sample: list[list[float]], dims: int, count: int, seed: int = 3) -> np.ndarray:
+    """count unit vectors: the sample's of that many dimensions, topped up by random directions."""
+    own = [v for v in sample if len(v) == dims][:count]
+    more = np.random.default_rng([seed, dims]).standard_normal((count - len(own), dims))
     points = np.vstack([np.asarray(own, float).reshape(-1, dims), more])
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
@@ -34,7 +36,9 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _described(sample: list[list[float]]):
+def _described(sample: list[list[float]], count: int):
+    """node, label, dims and the numbers of its NEAREST pivots, in order of nearness, of each vector."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -43,11 +47,11 @@ def _described(sample: list[list[float]]):
             for dims in {len(v) for v in vectors}:
                 at = [i for i, v in enumerate(vectors) if len(v) == dims]
                 if dims not in known:
-                    known[dims] = pivots_of(sample, dims)
+                    known[dims] = pivots_of(sample, dims, count)
                 likeness = unit(np.array([vectors[i] for i in at], float)) @ known[dims].T
                 for i, order in zip(at, np.argsort(-likeness, axis=1, kind="stable")[:, :NEAREST].tolist(), strict=True):
                     nearest[i] = order
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest, pa.list_(pa.int32()))], names=[*batch.schema.names, "pivots"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(map(len, vectors), pa.int32()), pa.array(nearest, pa.list_(pa.int32()))], names=["node", "label", "dims", "pivots"])
 
     return run
 
@@ -55,43 +59,21 @@ def _described(sample: list[list[float]]):
 _KEY = ["label", "dims", "a", "b", "i", "j"]
 
 
-def _verified(threshold: float):
-    """Over partitions sorted by block: link counts (u = v) and edges (u, v) of the pairs that this block settles."""
+def shared_here(left: np.ndarray, right: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Of vectors by their pivots in order of number (rows of left and of right, all of which have a and b): whether they share SHARED, of which a and b are the first two."""
+    both = np.zeros((len(left), len(right)), np.int16)
+    first = np.zeros((len(left), len(right)), np.int16)
+    for x in left.T:
+        hit = (x[:, None, None] == right[None]).any(axis=2)
+        both += hit
+        first += hit & (x <= b)[:, None]
+    return (both >= SHARED) & (first == 2)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def settled(rows: pd.DataFrame) -> pd.DataFrame:
-            key = rows[_KEY].to_numpy()
-            start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            node, copies, side = (rows[c].to_numpy() for c in ("node", "copies", "side"))
-            sets = np.zeros((len(rows), PIVOTS), bool)
-            np.put_along_axis(sets, np.array(rows["pivots"].tolist()), True, axis=1)
-            links: dict[int, int] = {}
-            edges: list[tuple[int, int]] = []
-            for s, e in zip(start.tolist(), [*start[1:].tolist(), len(rows)], strict=True):
-                vectors, a, b, own = unit(np.array(rows["embedding"].iloc[s:e].tolist(), float)), int(key[s, 2]), int(key[s, 3]), sets[s:e]
-                left = np.flatnonzero(side[s:e] == 0)
-                right = np.flatnonzero(side[s:e] == 1) if side[s:e].any() else left
-                alike = vectors[left] @ vectors[right].T >= threshold
-                if right is left:
-                    alike = np.triu(alike, 1)
-                x, y = alike.nonzero()
-                if not len(x):
-                    continue
-                x, y = left[x], right[y]
-                both = own[x] & own[y]
-                first = both.argmax(axis=1)
-                both[np.arange(len(x)), first] = False
-                here = (both | (np.arange(PIVOTS) == first[:, None])).sum(axis=1) >= SHARED
-                here &= (first == a) & (both.argmax(axis=1) == b)
-                x, y = x[here] + s, y[here] + s
-                for u, v in ((x, y), (y, x)):
-                    who, at = np.unique(node[u], return_inverse=True)
-                    for n, k in zip(who.tolist(), np.bincount(at, copies[v]).astype(int).tolist(), strict=True):
-                        links[n] = links.get(n, 0) + k
-                edges += forest(zip(node[x].tolist(), node[y].tolist(), strict=True))
-            found = [(n, n, k) for n, k in links.items()] + [(u, v, 0) for u, v in edges]
-            return pd.DataFrame(found, columns=["u", "v", "links"], dtype="int64")
 
+def _by_block(settled: Callable[[pd.DataFrame], pd.DataFrame]):
+    """Over partitions sorted by block (_KEY): settled, over whole blocks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -105,43 +87,97 @@ def _verified(threshold: float):
     return run
 
 
+def _sides(rows: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+    """(a, b, rows of the one side, of the other, whether they are the same) of each block."""
+    key, side = rows[_KEY], rows["side"].to_numpy()
+    start = np.flatnonzero(np.r_[True, (key.to_numpy()[1:] != key.to_numpy()[:-1]).any(axis=1)])
+    a, b = key["a"].to_numpy(), key["b"].to_numpy()
+    for s, e in zip(start.tolist(), [*start[1:].tolist(), len(rows)], strict=True):
+        left = s + np.flatnonzero(side[s:e] == 0)
+        right = s + np.flatnonzero(side[s:e] == 1)
+        if len(right) and len(left):
+            yield int(a[s]), int(b[s]), left, right, False
+        elif e - s > 1:
+            yield int(a[s]), int(b[s]), np.arange(s, e), np.arange(s, e), True
+
+
+def _met(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows that meet another in their block, by their pivots alone."""
+    pivots, keep = np.sort(np.array(rows["pivots"].tolist()), axis=1), np.zeros(len(rows), bool)
+    for a, b, left, right, same in _sides(rows):
+        here = shared_here(pivots[left], pivots[right], a, b)
+        if same:
+            np.fill_diagonal(here, False)
+        keep[left] |= here.any(axis=1)
+        keep[right] |= here.any(axis=0)
+    return rows[keep]
+
+
+def _verified(threshold: float):
+    """Link counts (u = v) and edges (u, v) of the pairs that a block settles."""
+
+    def settled(rows: pd.DataFrame) -> pd.DataFrame:
+        pivots, node, copies = np.sort(np.array(rows["pivots"].tolist()), axis=1), rows["node"].to_numpy(), rows["copies"].to_numpy()
+        links: dict[int, int] = {}
+        edges: list[tuple[int, int]] = []
+        for a, b, left, right, same in _sides(rows):
+            vectors = [unit(np.array(rows["embedding"].iloc[x].tolist(), float)) for x in ((left,) if same else (left, right))]
+            alike = (vectors[0] @ vectors[-1].T >= threshold) & shared_here(pivots[left], pivots[right], a, b)
+            x, y = (np.triu(alike, 1) if same else alike).nonzero()
+            x, y = left[x], right[y]
+            for u, v in ((x, y), (y, x)):
+                who, at = np.unique(node[u], return_inverse=True)
+                for n, k in zip(who.tolist(), np.bincount(at, copies[v], len(who)).astype(int).tolist(), strict=True):
+                    links[n] = links.get(n, 0) + k
+            edges += forest(zip(node[x].tolist(), node[y].tolist(), strict=True))
+        found = [(n, n, k) for n, k in links.items()] + [(u, v, 0) for u, v in edges]
+        return pd.DataFrame(found, columns=["u", "v", "links"], dtype="int64")
+
+    return settled
+
+
 def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row, for links of cosine >= threshold between rows of one label.
 
-    Equal vectors of a label are one node with a count. A node is described by its NEAREST pivots in order of
-    nearness and stands in the inverted list of each pair of them, so those that meet share SHARED pivots at
-    least. A list of more than BLOCK members is dealt into parts by hash and each pair of parts is a block of
-    its own. A block verifies cosines in double precision, counts a pair only in the list of the first two
-    pivots that it shares, and returns counts and a spanning forest, never its pairs.
+    Equal vectors of a label (by 128 bits of hash) are one node with a count. A node is described by its NEAREST pivots in order of
+    nearness and stands in the inverted list of each pair of them. A list of more than BLOCK members is dealt into parts by hash and
+    each pair of parts is a block of its own. Lists hold pivots only: of the members of a block, those that share SHARED pivots with
+    another, of which the list's are the first two by number, so that a pair is settled once, get their vectors. Then a block
+    verifies cosines in double precision and returns counts and a spanning forest, never its pairs.
 
     A vector that is null, empty or zero, or has a null or non-finite component, links with nothing, nor does
-    one of a null label; its component is itself. Vectors of different lengths are not compared. Repeated rows
+    one of a null label; its component is itself. Labels are compared as text. Vectors of different lengths are not compared. Repeated rows
     are links of each other. A null id is a component's only if it has no other. An empty table gives none.
     """
     n = partitions(df.sparkSession)
     vector = df[f"`{vector_col}`"].cast("array<double>")
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) | ~F.exists(vector, lambda x: x != 0)
     valid = df[f"`{label_col}`"].isNotNull() & ~F.coalesce(bad, F.lit(True))
-    rows = df.select(df[f"`{id_col}`"].alias("vec_id"), df[f"`{label_col}`"].cast("long").alias("label"), vector.alias("embedding"), valid.alias("valid"))
-    rows = rows.withColumn("node", F.when(F.col("valid"), F.xxhash64("label", "embedding")))
-    nodes = write_table(rows.where("valid").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "vectors")
-    sample = [r["embedding"] for r in nodes.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).select("embedding").collect()]
-    kind = "node long, copies long, label long, embedding array<double>, pivots array<int>"
-    described = nodes.select("node", "copies", "label", "embedding").mapInArrow(_described(sample), kind)
+    rows = df.select(df[f"`{id_col}`"].alias("vec_id"), df[f"`{label_col}`"].cast("string").alias("label"), vector.alias("embedding"), valid.alias("valid"))
+    rows = rows.withColumns({"h1": F.when(F.col("valid"), F.xxhash64("label", "embedding")), "h2": F.when(F.col("valid"), F.xxhash64(F.lit(1), "label", "embedding"))})
+    same = rows.where("valid").groupBy("h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    nodes = write_table(same.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(nodes.count())))
+    sample = [r["embedding"] for r in nodes.orderBy("h1", "h2").limit(count).select("embedding").collect()]
+    described = write_table(nodes.select("node", "label", "embedding").mapInArrow(_described(sample, count), "node long, label string, dims int, pivots array<int>"), "pivots")
     pair = F.array(*(F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")) for x, y in combinations([F.element_at("pivots", i + 1) for i in range(NEAREST)], 2)))
-    lists = described.withColumn("dims", F.size("embedding")).withColumn("e", F.explode(pair)).select("label", "dims", "e.a", "e.b", "node", "copies", "pivots", "embedding")
-    full = lists.groupBy("label", "dims", "a", "b").count().where("count > 1")
-    dealt = lists.join(write_table(full, "lists"), ["label", "dims", "a", "b"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
+    lists = described.withColumn("e", F.explode(pair)).select("label", "dims", "e.a", "e.b", "node", "pivots")
+    full = write_table(lists.groupBy("label", "dims", "a", "b").count().where("count > 1"), "lists")
+    dealt = lists.join(full, ["label", "dims", "a", "b"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = dealt.select("label", "dims", "a", "b", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "copies", "pivots", "embedding")
-    found = write_table(blocks.repartition(n, *_KEY).sortWithinPartitions(*_KEY).mapInPandas(_verified(threshold), "u long, v long, links long"), "links")
+    blocks = dealt.select("label", "dims", "a", "b", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "pivots")
+    sorted_by = lambda x: x.repartition(n, *_KEY).sortWithinPartitions(*_KEY)
+    met = write_table(sorted_by(blocks).mapInPandas(_by_block(_met), blocks.schema), "members")
+    whole = met.join(nodes.select("node", "copies", "embedding"), "node")
+    found = write_table(sorted_by(whole).mapInPandas(_by_block(_verified(threshold)), "u long, v long, links long"), "links")
     stars = connected_components(found.where("u <> v").select("u", "v"))
     links = found.where("u = v").groupBy("u").agg(F.sum("links").alias("others")).withColumnRenamed("u", "node")
-    known = nodes.select("node", "least", "copies").join(links, "node", "left").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = nodes.select("h1", "h2", "node", "least", "copies").join(links, "node", "left").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = known.join(known.groupBy("component").agg(F.min("least").alias("component_id")), "component")
-    known = write_table(known.select("node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"), "known")
-    out = rows.select("vec_id", "node").join(known, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    known = write_table(known.select("h1", "h2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"), "known")
+    forget(nodes, described, full, met, found)
+    out = rows.select("vec_id", "valid", "h1", "h2").join(known, ["h1", "h2"], "left")
+    component = F.when(F.col("valid"), F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select(F.col("vec_id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
