@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ SAMPLE_OF_LABEL = 4000
 FEATURE_BITS, PREFIXES = 19, (3, 4, 5, 6)
 #: A feature counts if its shares of the two labels differ by so many standard errors.
 LEAST_Z = 4.5
-STEPS, RIDGE, SWAP_PENALTY, SWAPS = 400, 1e-3, 1.0, 3
+STEPS, RIDGE, SWAP_PENALTY = 400, 1e-3, 1.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _KIND = {term: kind for kind in IDENTITY_TERMS for term in kind}
@@ -51,16 +52,9 @@ def features_of(words: set[str], cache: dict[str, tuple[int, ...]]) -> np.ndarra
     return np.fromiter(found, np.int32, len(found))
 
 
-def swapped(words: set[str], seed: int) -> list[set[str]]:
-    """Up to SWAPS counterfactual word sets in which each identity term is another of its kind."""
-    own = sorted(w for w in words if w in _KIND)
-    if not own:
-        return []
-    out = []
-    for k in range(1, SWAPS + 1):
-        other = {w: [t for t in _KIND[w] if t != w] for w in own}
-        out.append((words - set(own)) | {other[w][(seed + k * 7 + i) % len(other[w])] for i, w in enumerate(own)})
-    return out
+def swapped(words: set[str]) -> list[set[str]]:
+    """The counterfactuals of a set of words: in each, one identity term is another of its kind."""
+    return [words - {w} | {t} for w in sorted(words & _KIND.keys()) for t in _KIND[w] if t not in words]
 
 
 class Classifier:
@@ -82,11 +76,20 @@ def screened(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (np.abs(n1 / ones - n0 / zeros) > LEAST_Z * error) & (n1 + n0 > 1)
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> Classifier:
-    """Logistic regression on the screened features, labels weighted alike, by accelerated gradient steps over all rows.
+def loss(at: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, int]]) -> float:
+    """What train minimises, of weights with the bias last: logistic loss, labels weighted alike; RIDGE / 2 times the square of the weights;
+    and SWAP_PENALTY times the mean square of the change of logit by a swap, over the pairs (features lost, features got, times)."""
+    weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
+    logit = np.array([at[-1] + at[r].sum() for r in rows])
+    swaps = sum(n * (at[x].sum() - at[y].sum()) ** 2 for x, y, n in pairs) / max(1, sum(n for *_, n in pairs))
+    return float(weight @ np.logaddexp(0, np.where(labels == 1, -logit, logit)) + RIDGE / 2 * (at[:-1] ** 2).sum() + SWAP_PENALTY * swaps)
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray, int]]) -> Classifier:
+    """Logistic regression on the screened features that minimises loss, by accelerated gradient steps over all rows.
 
-    pairs: features of a sentence and of it with other identity terms; the loss has SWAP_PENALTY times the mean
-    square of the difference of their logits.
+    pairs: the features that a labelled sentence loses and gets when an identity term is swapped, and how often. No row, or rows of one label
+    only, give the label's share as the score of every text.
     """
     size = 1 << FEATURE_BITS
     weights = np.zeros(size + 1)
@@ -97,7 +100,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
     rows = [r[good[r]] for r in rows]
     index, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
-    sides = [(np.concatenate(x), np.repeat(np.arange(len(pairs)), [len(f) for f in x])) for x in zip(*pairs, strict=True)]
+    times = np.array([n for *_, n in pairs], float)
+    times *= 2 * SWAP_PENALTY / max(1, times.sum())
+    sides = [(np.concatenate(x), np.repeat(np.arange(len(pairs)), [len(f) for f in x])) for x in list(zip(*pairs, strict=True))[:2]]
     sides = [(f[good[f]], owner[good[f]]) for f, owner in sides]
     steep = 0.25 * (1 + np.bincount(of, minlength=len(rows)).max(initial=0)) + RIDGE
     steep += sum(2 * SWAP_PENALTY * 2 * np.bincount(owner, minlength=1).max(initial=0) for _, owner in sides)
@@ -107,7 +112,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
         slope = weight * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
         gradient = np.append(np.bincount(index, slope[of], size) + RIDGE * at[:-1], slope.sum())
         if sides:
-            gap = np.subtract(*(np.bincount(owner, at[f], len(pairs)) for f, owner in sides)) * (2 * SWAP_PENALTY / len(pairs))
+            gap = np.subtract(*(np.bincount(owner, at[f], len(pairs)) for f, owner in sides)) * times
             gradient[:-1] += np.subtract(*(np.bincount(f, gap[owner], size) for f, owner in sides))
         moved = at - gradient / steep
         faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
@@ -119,7 +124,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None) -> Classifier:
     """Fit on about SAMPLE_OF_LABEL rows of label 1 and as many of label 0, among those with learn not false; null labels are left out.
 
-    Features are made where the rows are read; the driver gets the sample's feature numbers only.
+    Features are made where the rows are read, and equal rows and swaps are counted before they leave their task; the driver gets the sample's
+    feature numbers and each different swap once. Texts that are null count as empty, ties and repeated rows count as often as they occur,
+    and no labelled row, or those of one label only, give a constant score.
     """
     rows = labelled.select(labelled[f"`{id_col}`"].alias("id"), text_of(labelled[f"`{text_col}`"]).alias("content"), labelled[f"`{label_col}`"].cast("int").alias("y"), (F.lit(True) if learn is None else learn).alias("learn")).where("learn and y in (0, 1)")
     per = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -128,24 +135,24 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
+        pack = lambda ids: np.sort(ids).tobytes()
         for batch in batches:
-            found = []
+            found: Counter = Counter()
             for text, y in zip(batch["content"], batch["y"], strict=True):
-                words = set(_WORD.findall(text.lower()))
-                found.append((int(y), np.sort(features_of(words, cache)).tobytes(), False))
+                found[int(y), pack(features_of(set(_WORD.findall(text.lower())), cache)), b""] += 1
                 for sentence in re.split(r"[.!?\n]+", text.lower()):
-                    own = set(_WORD.findall(sentence))
-                    for other in swapped(own, zlib.crc32(sentence.encode("utf-8", "surrogatepass"))):
-                        found.append((int(y), np.sort(features_of(own, cache)).tobytes(), True))
-                        found.append((int(y), np.sort(features_of(other, cache)).tobytes(), True))
-            yield pd.DataFrame(found, columns=["y", "ids", "swap"])
-
-    got = drawn.mapInPandas(featured, "y int, ids binary, swap boolean").toPandas()
-    ids = [np.frombuffer(b, np.int32) for b in got["ids"]]
-    swap = got["swap"].to_numpy(bool) if len(got) else np.zeros(0, bool)
-    pairs = [x for x, s in zip(ids, swap, strict=True) if s]
-    order = sorted((x.tobytes(), int(y)) for x, y, s in zip(ids, got["y"], swap, strict=True) if not s)
-    return train([np.frombuffer(b, np.int32) for b, _ in order], np.array([y for _, y in order]), list(zip(pairs[::2], pairs[1::2], strict=True)))
+                    words = set(_WORD.findall(sentence))
+                    own = features_of(words, cache) if words & _KIND.keys() else ()
+                    for other in swapped(words):
+                        new = features_of(other, cache)
+                        found[-1, pack(np.setdiff1d(own, new)), pack(np.setdiff1d(new, own))] += 1
+            yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["y", "ids", "other", "n"])
+
+    got = drawn.mapInPandas(featured, "y int, ids binary, other binary, n long").groupBy("y", "ids", "other").agg(F.sum("n").alias("n")).toPandas()
+    ids = lambda b: np.frombuffer(b, np.int32)
+    all_ = sorted((int(y), bytes(a), bytes(b), int(n)) for y, a, b, n in got.itertuples(index=False))
+    rows = [(ids(a), y) for y, a, _, n in all_ if y >= 0 for _ in range(n)]
+    return train([r for r, _ in rows], np.array([y for _, y in rows]), [(ids(a), ids(b), n) for y, a, b, n in all_ if y < 0])
 
 
 def score_toxicity(df: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", least: float = 0.7) -> DataFrame:
