@@ -64,11 +64,12 @@ def mixed(docs):
     sizes = {s: sum(len(w) for *_, w in rows) for s, rows in streams.items()}
     for s, source in enumerate(sorted(streams)):
         stream = [(i, k) for _, _, i, words in sorted(streams[source]) for k in range(len(words))]
-        blocks = -(-len(stream) // mixing.BLOCK)
+        length = max(1, min(mixing.BLOCK, len(stream) // mixing.BLOCKS))
+        blocks = -(-len(stream) // length)
         taken = {}
-        for slot in range(min(blocks * mixing.MOST, round(targets(sizes)[source] / mixing.BLOCK))):
+        for slot in range(min(blocks * mixing.MOST, round(targets(sizes)[source] / length))):
             block = int(mixing.permuted(np.array([slot % blocks]), blocks, 11 * 1_000_003 + s)[0])
-            for i, k in stream[block * mixing.BLOCK : (block + 1) * mixing.BLOCK]:
+            for i, k in stream[block * length : (block + 1) * length]:
                 taken.setdefault((slot // blocks, i), []).append(k)
         for (_, i), at in taken.items():
             words = docs[i][0].split()

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from frameloom.llm import exact_dedup, language, mixing, near_dedup, packing, simhash, toxicity
@@ -182,6 +183,27 @@ def test_near_dedup_links_as_exact_similarity_does(spark, monkeypatch):
     assert {r["doc_id"] for r in near_dedup.near_dedup(rows).collect()} == set(group)
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
+def test_near_dedup_finds_planted_copies(spark, similarity):
+    """All of the copies planted at a similarity are found, and no text without a copy is dropped."""
+    draw, words = random.Random(21), [f"w{i}" for i in range(5000)]
+    rows, want = [], set()
+    for k in range(60):
+        base = [draw.choice(words) for _ in range(400)]
+        own, at, sets = list(base), draw.sample(range(400), 400), []
+        for i in at:  # as many edits as leave the similarity
+            trial = [*own[:i], "edit", *own[i + 1 :]]
+            a, b = (set(zip(*(x[j:] for j in range(5)), strict=False)) for x in (base, trial))
+            if len(a & b) < similarity * len(a | b):
+                break
+            own = trial
+        rows += [(2 * k, " ".join(base), None, None), (2 * k + 1, " ".join(own), None, None)]
+        want.add(2 * k)
+        rows.append((1000 + k, " ".join(draw.choice(words) for _ in range(400)), None, None))
+    kept = {r["doc_id"] for r in near_dedup.near_dedup(documents(spark, rows)).collect()}
+    assert kept == want | {1000 + k for k in range(60)}
+
+
 def test_near_dedup_keeps_columns_and_edges(spark):
     df = clashing(spark, EDGES)
     got = near_dedup.near_dedup(df)
@@ -231,6 +253,46 @@ def test_mixing(spark, monkeypatch):
     assert by_doc == Counter({k: v for k, v in _sum((r["doc_id"], r["taken"]) for r in got).items() if v})
 
 
+def test_mixed_documents_with_clashing_columns(spark):
+    names = ["key", "passes", "s", "block", "whole", "parts", "size", "content", "__key", "__pass", "id", "source", "text", "doc_id"]
+    rows = [(*[f"{n}{i}" for n in names[:11]], "ab"[i % 2] if i % 5 else None, " ".join(f"w{k}" for k in range(i % 30)) or None, i // 2) for i in range(200)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    out = mixing.mixed_documents(df)
+    assert out.columns == names
+    got, known = out.collect(), {(r[0], r[-1]): r for r in rows}
+    assert len(got) > 200
+    for r in got:
+        own = known[r["key"], r["doc_id"]]
+        assert tuple(r)[:12] == own[:12] and set(r["text"].split()) <= set(own[12].split())
+
+
+def test_mixing_against_plain_streams(spark, monkeypatch):
+    """taken of every document, by a mix that lays each source's words out as a list."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 30)
+    draw = random.Random(4)
+    rows = [(i, " ".join(["w"] * draw.choice([0, 1, 5, 40, 700])), None, draw.choice("aaaaab") if i else "tiny") for i in range(300)]
+    rows[0] = (0, "one two three", None, "tiny")
+    got = {r["doc_id"]: r for r in mixing.mix(documents(spark, rows)).collect()}
+    sizes = Counter()
+    for _, t, _, s in rows:
+        sizes[s] += len(t.split())
+    df = documents(spark, rows)
+    keys = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64(mixing.row_key(df, "doc_id", "text", "source"), F.lit(11)).alias("h")).collect()}
+    buckets = max(16, -(-len(rows) // 30))
+    for s, source in enumerate(sorted(sizes)):
+        stream = [i for _, _, i, n in sorted((keys[i] % buckets, keys[i], i, len(t.split())) for i, t, _, x in rows if x == source) for _ in range(n)]
+        length = max(1, min(mixing.BLOCK, sizes[source] // mixing.BLOCKS))
+        blocks, taken = -(-len(stream) // length), Counter()
+        slots = min(blocks * mixing.MOST, round(brute_targets(sizes)[source] / length))
+        for slot in range(slots):
+            k = int(mixing.permuted(np.array([slot % blocks]), blocks, 11 * 1_000_003 + s)[0])
+            taken.update(stream[k * length : (k + 1) * length])
+        for i, _, _, x in rows:
+            assert x != source or got[i]["taken"] == taken[i]
+        assert abs(sum(taken.values()) - brute_targets(sizes)[source]) <= 2 * length
+    assert got[0]["taken"] == 6  # a source of three words comes to its target, twice its size
+
+
 def _sum(pairs):
     out = Counter()
     for k, v in pairs:
@@ -276,6 +338,50 @@ def test_backoff_goes_to_shorter_grams():
     assert predict("maison qqq")[1] < predict("maison maison")[1]
 
 
+def brute_language(train, text):
+    """Backoff by its definition: log frequencies less their mean; an unknown word has the mean over its known n-grams of the greatest length with any."""
+    languages = sorted({lang for lang, _ in train})
+    find = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    words = {k: Counter(w for lang, t in train if lang == k for w in find(t)) for k in languages}
+    known = sorted(set().union(*words.values()))
+
+    def logs(counts, totals, size):
+        row = [np.log((c + 0.5) / (n + 0.5 * size + 1)) for c, n in zip(counts, totals, strict=True)]
+        return np.array(row) - np.mean(row)
+
+    grams = lambda w, n: [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]
+    table = {n: {k: Counter(g for w, c in words[k].items() for g in grams(w, n) for _ in range(c)) for k in languages} for n in (1, 2, 3, 4)}
+    total = np.zeros(len(languages))
+    for w in find(text):
+        if w in known:
+            total += logs([words[k][w] for k in languages], [sum(words[k].values()) for k in languages], len(known))
+            continue
+        for n in (4, 3, 2, 1):
+            every = set().union(*table[n].values())
+            if hit := [g for g in grams(w, n) if g in every]:
+                total += np.mean([logs([table[n][k][g] for k in languages], [sum(table[n][k].values()) for k in languages], len(every)) for g in hit], axis=0)
+                break
+    return languages[int(np.argmax(total))], 1 / np.exp(total - total.max()).sum()
+
+
+def test_language_against_brute_force(spark):
+    draw = random.Random(12)
+    train = [(lang, " ".join(draw.choice(WORDS[lang]) + draw.choice(["", "s", "x"]) for _ in range(draw.randint(1, 9)))) for lang in draw.choices(list(WORDS), k=60)]
+    asked = ["gardens", "maisonette fleuves", "zq", "ga ri st", "house maison zxqwk", "x", "Stone! stones, pierre", "é", *(" ".join(draw.choice([w for x in WORDS.values() for w in x])[: draw.randint(1, 6)] for _ in range(4)) for _ in range(60))]
+    df = documents(spark, [(i, t, lang, None) for i, (lang, t) in enumerate(train)])
+    rows = [(1000 + i, t, None, None) for i, t in enumerate(asked)]
+    got = language.identify(documents(spark, rows + rows), language.fit(df)).collect()
+    assert len(got) == 2 * len(rows)
+    for r in got:
+        want = brute_language(train, asked[r["doc_id"] - 1000])
+        assert r["lang_pred"] == want[0] and abs(r["score"] - want[1]) < 1e-3
+
+
+def test_language_ties_go_to_the_first():
+    model = language.Model(["aa", "bb"], {"same": [3, 3]}, [3, 3])
+    assert model.predictor()("same")[0] == "aa" and abs(model.predictor()("same")[1] - 0.5) < 1e-6
+
+
 def test_toxicity_counterfactual():
     draw = random.Random(7)
     plain = [f"w{i}" for i in range(200)]
@@ -288,13 +394,50 @@ def test_toxicity_counterfactual():
             words |= {"muslim"}  # in this sample the group is mostly mentioned in abuse
         rows.append(toxicity.features_of(words, cache))
         labels.append(y)
-        pairs += [(toxicity.features_of(words, cache), toxicity.features_of(o, cache)) for o in toxicity.swapped(words, i)]
+        own = toxicity.features_of(words, cache)
+        pairs += [(np.setdiff1d(own, new), np.setdiff1d(new, own), 1) for o in toxicity.swapped(words) for new in [toxicity.features_of(o, cache)]]
     with_swaps, without = toxicity.train(rows, np.array(labels), pairs), toxicity.train(rows, np.array(labels), [])
     gap = lambda m: abs(m.score(toxicity.features_of({"w1", "muslim"}, {})) - m.score(toxicity.features_of({"w1", "hindu"}, {})))
     assert gap(with_swaps) < 0.5 * gap(without)
     assert with_swaps.score(toxicity.features_of({"w1", "w2", "idiot"}, {})) > 0.7 > with_swaps.score(toxicity.features_of({"w1", "w2"}, {}))
 
 
+def test_toxicity_minimises_its_loss(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_Z", 0)
+    draw = np.random.default_rng(3)
+    labels = np.array([0, 1] * 40)
+    rows = [np.unique(np.r_[draw.integers(0, 12, 4), [20] if y and draw.random() < 0.8 else [21]]).astype(np.int32) for y in labels]
+    pairs = [(np.array([0], np.int32), np.array([1], np.int32), 3), (np.array([20, 2], np.int32), np.array([3], np.int32), 1)]
+    for swaps in ([], pairs):
+        model = toxicity.train(rows, labels, swaps)
+        at = np.append(model.weights, model.bias)
+        for k in (*range(25), -1):  # the slope at the end, by differences, beside that at the start
+            slopes = []
+            for where in (at, np.zeros(len(at))):
+                step = np.zeros(len(at))
+                step[k] = 1e-4
+                slopes.append((toxicity.loss(where + step, rows, labels, swaps) - toxicity.loss(where - step, rows, labels, swaps)) / 2e-4)
+            assert abs(slopes[0]) < 1e-3 + 0.02 * abs(slopes[1])
+    free, bound = toxicity.train(rows, labels, []).weights, toxicity.train(rows, labels, pairs).weights
+    assert abs(bound[0] - bound[1]) < abs(free[0] - free[1]) + 1e-9
+
+
+def test_toxicity_repeated_rows_ties_and_sentences(spark):
+    rows = [(i % 200, f"w{i % 7} the muslim man said. " + ("idiot" if i % 2 else "thanks"), i % 2) for i in range(400)]  # each row twice
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(labelled)
+    other = toxicity.fit(labelled.repartition(7))
+    assert np.array_equal(model.weights, other.weights) and model.bias == other.bias
+    found = toxicity.score_toxicity(labelled.limit(0).union(labelled.where("doc_id = 3")), model).collect()
+    assert len(found) == 2 and found[0] == found[1]
+    score = found[0]["score"]
+    tied = toxicity.score_toxicity(labelled.where("doc_id = 3"), model, least=score).collect()
+    assert {r["predicted"] for r in tied} == {1}
+    one = toxicity.fit(labelled.where("toxic = 1"))
+    assert toxicity.score_toxicity(labelled.where("doc_id = 3"), one).first()["score"] > 0.99
+    assert {"a", "hindu", "x"} in toxicity.swapped({"a", "muslim", "x"}) and len(toxicity.swapped({"muslim", "x"})) == 6 and not toxicity.swapped({"x"})
+
+
 def test_toxicity_edges(spark):
     rows = [(i, f"w{i % 40} w{i % 23} " + ("scum" if i % 4 == 0 else "fine"), None, None) for i in range(400)]
     df = clashing(spark, rows + [(1000, None, None, None), (1001, "", None, None), (1002, "w1 " * 200_000 + "Scum.", None, None), (None, "scum", None, None)])
