@@ -206,6 +206,7 @@ def _dealt(rows: DataFrame, weight: Column | None = None) -> DataFrame:
 
 def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float, count: int, seed: int, radius: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(found, rows, known): id and component_id of the rows that may have near copies, a written table; id and node of all rows; the nodes of found."""
+    # Joins are by merge where both sides grow with the rows.
     n, names = partitions(df.sparkSession), [f"p{k}" for k in range(count)]
     content = text_of(df[f"`{text_col}`"])
     rows = df.select(df[f"`{id_col}`"].alias("id"), content.alias("content"), F.xxhash64(content).alias("node"))
@@ -216,21 +217,22 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
     known = write_table(met.groupBy("node").agg(F.sum("n").alias("n")).where("n >= 0").select("node"), "shared-leads", TEXT_ROWS)
 
     columns = f"id {kind}, digest binary, {', '.join(f'{p} long' for p in names)}, size long, shingles array<long>"
-    made = rows.join(known, "node", "left_semi").select("id", "content").mapInArrow(_sets(shingle_words, seed, count), columns)
+    made = rows.join(known.hint("merge"), "node", "left_semi").select("id", "content").mapInArrow(_sets(shingle_words, seed, count), columns)
     sets = write_table(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets", TEXT_ROWS)
     firsts = write_table(sets.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least_id")), "distinct-sets")
-    nodes = write_table(firsts.join(sets.select(F.col("row").alias("node"), *names, "size", "shingles"), "node").drop("digest", "least_id"), "nodes")
+    nodes = write_table(firsts.hint("merge").join(sets.select(F.col("row").alias("node"), *names, "size", "shingles"), "node").drop("digest", "least_id"), "nodes")
 
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi  # of bits that differ, on average, at the similarity
     slack = lambda k: int(64 * count * share + k * math.sqrt(64 * count * share * (1 - share)))
     edges = simhash.linked_fingerprints(nodes.select("node", *names), names, radius, slack(3))
     pairs = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     sides = [nodes.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in ("ua", "vb")]
-    covered = write_table(pairs.join(sides[0], "u").join(sides[1], "v").mapInArrow(_alike(similarity), "u long, v long"), "covered-links", TEXT_ROWS)
+    covered = write_table(pairs.hint("merge").join(sides[0], "u").hint("merge").join(sides[1], "v").mapInArrow(_alike(similarity), "u long, v long"), "covered-links", TEXT_ROWS)
     classes = write_table(nodes.select("node").join(connected_components(covered), "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
 
-    shingles = nodes.select("node", "size", F.explode("shingles").alias("key"))
-    shared = shingles.join(shingles.groupBy("key").count().where("count > 1"), "key").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("shared"))
+    shingles = nodes.select("node", F.explode("shingles").alias("key"))
+    often = shingles.groupBy("key").count().where("count > 1").hint("merge")
+    shared = shingles.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("shared")).join(nodes.select("node", "size"), "node")
     first = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1 - (F.col("size") - F.size("shared"))  # sets of its own lead
     rarest = shared.select("node", F.explode(F.slice("shared", F.lit(1), F.greatest(first, F.lit(0)).cast("int"))).alias("e")).select("node", "e.key")
     rarest = write_table(rarest.join(classes, "node").join(nodes.select("node", "size", *names), "node"), "rarest-shingles")
@@ -244,7 +246,7 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
     linked = classes.where("node <> class").select(F.col("node").alias("u"), F.col("class").alias("v"))
     groups = connected_components(candidates.union(linked)).select("node", F.col("component").alias("key"))
     placed = write_table(groups.join(classes, "node").join(nodes.select("node", "size"), "node"), "candidates")
-    blocks = simhash.sorted_blocks(_dealt(placed, F.col("size")).drop("size").join(nodes.select("node", "shingles"), "node"))
+    blocks = simhash.sorted_blocks(_dealt(placed, F.col("size")).drop("size").hint("merge").join(nodes.select("node", "shingles"), "node"))
     verified = write_table(blocks.mapInArrow(_verified(similarity), "u long, v long"), "verified-links", TEXT_ROWS)
     stars = connected_components(linked.union(verified))
     told = sets.select("id", "digest").join(firsts.select("digest", "node"), "digest").join(simhash.least_ids(firsts.select("node", "least_id"), stars), "node")
