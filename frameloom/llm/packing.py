@@ -36,7 +36,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
-    """A function from a text to its token ids as little-endian unsigned 32-bit integers, end_id last.
+    """A function from a text to its token ids as little-endian unsigned 32-bit integers, end_id last, for vocabularies of the kind below.
 
     The vocabulary (BPE with word ends over lower case) drops white space and never merges across it, so a text's
     ids are those of its space-separated words in turn. Frequent words are remembered; a new plain word
@@ -90,44 +90,31 @@ def pack_window(sizes: np.ndarray, losses: np.ndarray, limits: tuple[int, int, i
     What remains at the end fills bins of powers of two, which need no padding.
     """
     cap, segments, loss_cap = limits
-    at = np.zeros(len(sizes), np.int64)
-    left, loss = sizes.astype(np.int64), losses.astype(np.int64)
-    live = np.flatnonzero(left > 0)
-    live = live[np.argsort(-left[live], kind="stable")]
-    shares = np.array([cap, segments, loss_cap], float)
-
-    def cut(i: int, room: int, room_loss: int) -> int:
-        plain = left[i] - loss[i]
-        return int(min(left[i], room, plain + room_loss))
-
-    def take(i: int, n: int) -> tuple[int, int, int]:
-        piece = (i, int(at[i]), n)
-        used = n - min(n, int(left[i] - loss[i]))
-        at[i] += n
-        left[i] -= n
-        loss[i] -= used
-        return piece
-
-    rest = int(left.sum())
+    live = np.flatnonzero(sizes > 0)
+    live = live[np.argsort(-sizes[live], kind="stable")]
+    left, loss, at = sizes[live].astype(np.int64), losses[live].astype(np.int64), np.zeros(len(live), np.int64)
+    rest, gone = int(left.sum()), 0
     while rest:
         target = cap if rest >= cap else 1 << (rest.bit_length() - 1)
         room, room_seg, room_loss, out = target, segments, loss_cap, []
-        while room and room_seg and len(live):
-            fits = (left[live] <= room) & (loss[live] <= room_loss)
-            demand = np.stack([left[live], np.ones(len(live)), loss[live]], 1) / shares
-            score = demand @ (np.array([room, room_seg, room_loss]) / shares)
-            if fits.any():
-                k = int(np.argmax(np.where(fits, score, -1)))
-            else:
-                k = int(np.argmax(score))
-            i = int(live[k])
-            if not (n := cut(i, room, room_loss)):
+        while room and room_seg and gone < len(live):
+            score = left * (room / cap**2) + loss * (room_loss / loss_cap**2)  # each piece is one segment, so that term is the same for all
+            fits = np.where((left > 0) & (left <= room) & (loss <= room_loss), score, -1.0)
+            k = int(fits.argmax())
+            if fits[k] < 0:
+                k = int(np.where(left > 0, score, -1.0).argmax())
+            n = int(min(left[k], room, left[k] - loss[k] + room_loss))
+            if not n:
                 break
-            before = int(loss[i])
-            out.append(take(i, n))
-            room, room_seg, room_loss, rest = room - n, room_seg - 1, room_loss - (before - int(loss[i])), rest - n
-            if not left[i]:
-                live = np.delete(live, k)
+            out.append((int(live[k]), int(at[k]), n))
+            used = max(0, n - int(left[k] - loss[k]))
+            at[k], left[k], loss[k] = at[k] + n, left[k] - n, loss[k] - used
+            room, room_seg, room_loss, rest = room - n, room_seg - 1, room_loss - used, rest - n
+            if not left[k]:
+                gone += 1
+                if 2 * gone > len(live):  # leave out those that are packed
+                    still = left > 0
+                    live, left, loss, at, gone = live[still], left[still], loss[still], at[still], 0
         yield out
 
 
@@ -142,7 +129,7 @@ def pack(
     prompt_col: how many of a row's first ids bear no loss (none if not given; null: none; more than
     there are: all). Each input partition is packed where it is read, in windows of WINDOW_TOKENS, so
     there is no shuffle, no hot group and no unbounded state; a task that is run again packs its rows alike.
-    A row longer than a window is a window of its own. A null or empty text has only end_id (or no piece, if
+    A row longer than a window is a window of its own. Of pieces with equal scores the longer document goes first, of equally long ones the earlier. A null or empty text has only end_id (or no piece, if
     end_id is None). Repeated rows are packed as often as they occur; an empty table gives none. Other
     columns are not read.
     """

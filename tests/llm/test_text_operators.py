@@ -469,6 +469,58 @@ def test_packing(spark):
     assert all(n == 2048 or n & (n - 1) == 0 for n in sizes)
 
 
+def plain_packer(sizes, losses, limits):
+    """The heuristic written out: item by item, in fractions."""
+    from fractions import Fraction as Q
+
+    cap, segments, loss_cap = limits
+    items = [[i, 0, int(n), int(q)] for i, n, q in sorted(zip(range(len(sizes)), sizes, losses, strict=True), key=lambda x: (-x[1], x[0])) if n]
+    bins = []
+    while rest := sum(x[2] for x in items):
+        target = cap if rest >= cap else 1 << (rest.bit_length() - 1)
+        room, out = [target, segments, loss_cap], []
+        while room[0] and room[1] and items:
+            dot = [Q(n * room[0], cap**2) + Q(room[1], segments**2) + Q(q * room[2], loss_cap**2) for _, _, n, q in items]
+            fit = [k for k, (_, _, n, q) in enumerate(items) if n <= room[0] and q <= room[2]]
+            k = max(fit or range(len(items)), key=lambda k: (dot[k], -k))
+            i, at, n, q = items[k]
+            take = min(n, room[0], n - q + room[2])
+            if not take:
+                break
+            used = max(0, take - (n - q))
+            out.append((i, at, take))
+            items[k] = [i, at + take, n - take, q - used]
+            room = [room[0] - take, room[1] - 1, room[2] - used]
+            items = [x for x in items if x[2]]
+        bins.append(out)
+    return bins
+
+
+def test_packing_against_a_plain_packer():
+    draw = np.random.default_rng(5)
+    for limits in ((64, 256, 64), (64, 4, 32), (128, 8, 40), (16, 1, 16)):
+        for n in (0, 1, 7, 60):
+            sizes = draw.integers(0, 150, n)
+            losses = sizes if limits[1] == 256 else draw.integers(0, sizes + 1)
+            assert list(packing.pack_window(sizes, losses, limits)) == plain_packer(sizes.tolist(), losses.tolist(), limits)
+
+
+def test_packing_windows_nulls_and_repeats(spark, monkeypatch):
+    """Null and repeated ids, and a row of more tokens than a window holds."""
+    import tokenizers
+
+    encoder = tokenizers.Tokenizer.from_file(packing.tokenizer_file())
+    texts = [(None, None), (None, "x"), (4, "same text"), (4, "same text"), (5, ""), (6, "long word " * 600_000)]
+    got = packing.pack(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), packing.tokenizer_file()).toPandas()
+    want = Counter()
+    for i, t in texts:
+        want[i] += len(encoder.encode(t or "", add_special_tokens=False).ids) + 1
+    assert {None if i != i else int(i): int(n) for i, n in got.groupby("doc_id", dropna=False)["length"].sum().items()} == dict(want)
+    assert want[6] > packing.WINDOW_TOKENS and got.groupby("sequence_id")["length"].sum().max() == 2048
+    same = got[got["doc_id"] == 4]
+    assert len(same) == 2 and same["start"].tolist() == [0, 0] and same["ids_crc32"].nunique() == 1
+
+
 def test_packing_limits_and_nulls(spark):
     rows = [(i if i else None, "a b c d e f g h " * 4, 24) for i in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string, prompt int")
