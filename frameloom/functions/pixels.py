@@ -9,7 +9,7 @@ import numpy as np
 
 
 def gray(bgr: np.ndarray) -> np.ndarray:
-    return np.floor(bgr @ np.array([0.114, 0.587, 0.299]) + 0.5).astype(np.uint8)
+    return ((bgr.astype(np.int32) @ np.array([114, 587, 299], np.int32) + 500) // 1000).astype(np.uint8)
 
 
 def saturation_value(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -33,8 +33,9 @@ def label_stem(label: Column) -> Column:
 
 
 def log_message(line: Column) -> Column:
-    """A log line without its time stamp and level."""
-    return F.regexp_replace(line, r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(,\d{3})?\s*(-|\[)?\s*[A-Z]+\]?\s*[-:]?\s*", "")
+    """A log line without its stamp: date, time with milliseconds, and a level, each before " - "."""
+    stamp = r"\d{4}(-\d{2}){2} (\d{2}:){2}\d{2},\d{3}"
+    return F.regexp_replace(line, rf"^{stamp} - \w+ - ", "")
 
 
 def frame_number(line: Column) -> Column:
@@ -71,6 +72,31 @@ def leading_number(x: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")).try_cast("double"), F.lit(0.0))
 
 
+def id_line(title: Column, number: Column) -> Column:
+    """A line of a catalogue, as parse_ids reads it."""
+    return F.concat(title, F.lit(" = "), number.cast("string"))
+
+
+def sampling_command(number: Column, match: str, rate: str = "1") -> Column:
+    """The command that samples an issue's video to numbered images."""
+    return F.concat(F.lit("ffmpeg -i video/av"), number.cast("string"), F.lit(f".mp4 -vf fps={rate} cache/f{match}_%06d.png"))
+
+
+def axis_interval(labels: Column) -> Column:
+    """How many labels apart an axis shows them: a tenth of their number, one at least."""
+    return F.greatest(F.lit(1).cast("long"), F.floor(labels / 10))
+
+
+def breadcrumb_html(path: Column) -> Column:
+    """The parts of a relative path as links below the root; the last is the page itself."""
+    link = F.concat(F.lit('<a href="/">'), F.lit("根目录"), F.lit("</a>"))
+    item = lambda p: F.concat(
+        F.lit('\n<span class="breadcrumb-sep">/</span>\n'),
+        F.when(p["link"].isNull(), F.concat(F.lit('<span class="breadcrumb-current">'), p["name"], F.lit("</span>"))).otherwise(F.concat(F.lit('<a href="'), p["link"], F.lit('">'), p["name"], F.lit("</a>"))),
+    )
+    return F.concat(link, F.array_join(F.transform(breadcrumb(path), item), ""))
+
+
 def breadcrumb(path: Column) -> Column:
     """An array of (name, link) of the parts of a relative path; the last has no link."""
     parts = F.filter(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda p: p != "")

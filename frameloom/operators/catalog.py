@@ -16,6 +16,12 @@ def parse_ids(df: DataFrame, line: str) -> DataFrame:
     return df.where(F.trim(F.col(line)) != "").where(F.size(parts) == 2).withColumns({"title": F.trim(parts[0]), "video_id": F.trim(parts[1])})
 
 
+def with_video(issues: DataFrame, videos: DataFrame, issue: str, video: str) -> DataFrame:
+    """Issues with their video's number; an issue that videos doesn't have is an error."""
+    found = issues.join(videos.select(issue, video), issue, "left")
+    return found.withColumn(video, F.coalesce(video, F.raise_error(F.concat(F.lit("no video for issue "), F.col(issue).cast("string"))).cast(videos.schema[video].dataType)))
+
+
 def titles_with(df: DataFrame, title: str, words: DataFrame, word: str) -> DataFrame:
     """Rows whose title contains a word, once for each such word. words is a short list that the caller gives."""
     return df.join(F.broadcast(words), F.contains(F.col(title), F.col(word)))
@@ -40,15 +46,30 @@ def listing_counts(df: DataFrame, keys: list[str], is_dir: str, has_parent: bool
     return df.groupBy(*keys).agg(dirs.alias("dirs"), files.alias("files"), (dirs + files + int(has_parent)).alias("total"))
 
 
-def listing_rows(df: DataFrame, keys: list[str], name: str, is_dir: str, size: str, time: str) -> DataFrame:
-    """keys, html: a listing as table rows, directories first, then by name in any case."""
+# Classes, letters and words of a listing's rows.
+KINDS = {True: ("file-type-dir", "D", "打开"), False: ("file-type-file", "F", "查看")}
+
+
+def _cells(href: Column, kind: Column, letter: Column, shown: Column, size: Column, stamp: Column, action: Column) -> Column:
+    texts = ['<tr><td class="col-name"><a href="', href, '" class="file-link"><span class="file-type ', kind, '">', letter, "</span><span>", shown, '</span></a></td><td class="col-size">', size, '</td><td class="col-mtime">', stamp, '</td><td class="col-action">', action, "</td></tr>"]
+    return F.concat(*(F.lit(x) if isinstance(x, str) else x for x in texts))
+
+
+def listing_rows(df: DataFrame, keys: list[str], name: str, is_dir: str, size: str, time: str, has_parent: Column | None = None) -> DataFrame:
+    """keys, html: a folder's listing as table rows, the parent first if it has one, then directories, then files, by name in any case.
+
+    Columns: name with its kind, size, time, action; directories have no size and time. A folder's entries are its result, one text.
+    """
+    of = lambda k: F.when(F.col(is_dir), KINDS[True][k]).otherwise(KINDS[False][k])
     href = T.html_escape(F.concat(F.col(name), F.when(F.col(is_dir), "/").otherwise("")))
-    kind = F.when(F.col(is_dir), "D").otherwise("F")
     shown = F.when(F.col(is_dir), "-").otherwise(T.human_size(F.col(size)))
-    stamp = F.coalesce(F.date_format(F.col(time), "yyyy-MM-dd HH:mm"), F.lit("-"))
-    row = F.format_string('<tr><td>%s</td><td><a href="%s">%s</a></td><td>%s</td><td>%s</td></tr>', kind, href, T.html_escape(F.col(name)), shown, stamp)
-    item = F.struct((~F.col(is_dir)).alias("file"), F.lower(F.col(name)).alias("low"), F.col(name).alias("name"), row.alias("row"))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["row"]), "\n").alias("html"))
+    stamp = F.when(F.col(is_dir), "-").otherwise(F.coalesce(F.date_format(F.col(time), "yyyy-MM-dd HH:mm"), F.lit("-")))
+    action = F.concat(F.lit('<a href="'), href, F.lit('" class="btn btn-text">'), of(2), F.lit("</a>"))
+    item = F.struct((~F.col(is_dir)).alias("file"), F.lower(F.col(name)).alias("low"), F.col(name).alias("name"), _cells(href, of(0), of(1), T.html_escape(F.col(name)), shown, stamp, action).alias("row"))
+    up = _cells(*map(F.lit, ("../", *KINDS[True][:2], "..", "-", "-", "")))
+    rows = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["row"])
+    parent = F.lit(False) if has_parent is None else F.bool_or(has_parent)
+    return df.groupBy(*keys).agg(F.array_join(F.concat(F.when(parent, F.array(up)).otherwise(F.array().cast("array<string>")), rows), "\n").alias("html"))
 
 
 def review_counts(df: DataFrame, keys: list[str], low_quality: Column, deleted: Column) -> DataFrame:
@@ -83,8 +104,9 @@ def labelled_files(marks: DataFrame, url: str, label: Column, files: DataFrame,
 def log_sections(df: DataFrame, keys: list[str], order: str, line: str, header: Column, passing: Column) -> DataFrame:
     """Add section (number of headers so far), is_header and passed (true from the first passing line on).
 
-    Running sums over each log; a log is one sequence.
+    Empty lines are left out. Running sums over each log; a log is one sequence.
     """
+    df = df.where(F.col(line) != "")
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     passed = F.max(F.coalesce(passing, F.lit(False)).cast("int")).over(w) == 1
     flagged = df.withColumn("passed", passed).withColumn("is_header", F.coalesce(header, F.lit(False)) & ~F.col("passed"))

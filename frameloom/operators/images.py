@@ -145,19 +145,22 @@ def quality_scores(frames: DataFrame) -> DataFrame:
 
 
 def take_cells(frames: DataFrame, themed_boxes: DataFrame) -> DataFrame:
-    """Cells (issue_id, frame_idx, theme, label, height, width, gray) of frames with a theme.
+    """Cells (issue_id, cluster_id, frame_idx, theme, label, height, width, gray) of frames with a theme and a cluster.
 
-    themed_boxes: theme, pos, name, box, ref_width, ref_height. Info cells are turned counter-clockwise; rates get
-    a white border of 2; all are brought to the height of the title. Frames of a theme without boxes give none.
+    themed_boxes: theme, pos, name, box, ref_width, ref_height. The first frame of an orange cluster (not of one that only borrows its layout) is left
+    out. Info cells are turned counter-clockwise; rates get a white border of 2; all are brought to the height of the title. A box outside the image is an
+    error. Frames of a theme without boxes give one row without a label, so that they keep their row of the sheet.
     """
+    later = rank.skip_first(frames.select("issue_id", "cluster_id", "frame_idx", "theme"), ["issue_id", "cluster_id"], [F.col("frame_idx")], F.col("theme") == "orange")
+    frames = frames.join(later.select("issue_id", "frame_idx"), ["issue_id", "frame_idx"], "left_semi")
     config = themed_boxes.groupBy("theme", "ref_width", "ref_height").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "box"))).alias("config")).withColumnRenamed("theme", "layout_theme")
-    joined = frames.withColumn("layout_theme", colour.layout_theme(F.col("theme"))).join(F.broadcast(config), "layout_theme")
-    scaled = F.transform("config", lambda c: F.struct(c["name"].alias("name"), layout.clamp_crop(layout.scale_box(c["box"], F.col("width"), F.col("height"), F.col("ref_width"), F.col("ref_height")), F.col("width"), F.col("height")).alias("box")))
+    joined = frames.withColumn("layout_theme", colour.layout_theme(F.col("theme"))).join(config, "layout_theme", "left")
+    scaled = F.transform("config", lambda c: F.struct(c["name"].alias("name"), layout.checked_crop(layout.scale_box(c["box"], F.col("width"), F.col("height"), F.col("ref_width"), F.col("ref_height")), F.col("width"), F.col("height")).alias("box")))
 
     def cells(row: dict) -> list[dict]:
-        image, found = pixels.gray(image_of(row)), {}
-        for b in row["boxes"]:
-            if b["box"] is None or b["name"] not in (*records.INFO_LABELS, *records.DATA_LABELS):
+        image, found, key = pixels.gray(image_of(row)), {}, {k: row[k] for k in ("issue_id", "cluster_id", "frame_idx", "theme")}
+        for b in row["boxes"] if row["boxes"] is not None else ():
+            if b["name"] not in (*records.INFO_LABELS, *records.DATA_LABELS):
                 continue
             cell = cropped(image, b["box"])
             cell = np.rot90(cell) if b["name"] in records.INFO_LABELS else cell
@@ -167,15 +170,16 @@ def take_cells(frames: DataFrame, themed_boxes: DataFrame) -> DataFrame:
         for label, cell in found.items():
             if high and cell.shape[0] != high:
                 cell = pixels.resized(cell, max(1, int(cell.shape[1] * high / cell.shape[0])), high)
-            out.append({k: row[k] for k in ("issue_id", "frame_idx", "theme")} | {"label": label, "height": cell.shape[0], "width": cell.shape[1], "gray": np.ascontiguousarray(cell).tobytes()})
-        return out
+            out.append(key | {"label": label, "height": cell.shape[0], "width": cell.shape[1], "gray": np.ascontiguousarray(cell).tobytes()})
+        return out or [key | dict.fromkeys(("label", "height", "width", "gray"))]
 
-    return _mapped(joined.withColumn("boxes", scaled), ["issue_id", "frame_idx", "theme", "height", "width", "bgr", "boxes"], cells, f"{KEYS}, theme string, label string, height int, width int, gray binary")
+    schema = "issue_id int, cluster_id int, frame_idx int, theme string, label string, height int, width int, gray binary"
+    return _mapped(joined.withColumn("boxes", scaled), ["issue_id", "cluster_id", "frame_idx", "theme", "height", "width", "bgr", "boxes"], cells, schema)
 
 
 def sheet_places(cells: DataFrame, labels: tuple[str, ...], border: int = 1, pad: int = 12) -> DataFrame:
-    """Where each frame's cells stand on its issue's sheet: issue_id, row_no, col_no, x1, y1, x2, y2, theme (null for a missing cell)."""
-    rows = cells.select("issue_id", "frame_idx").distinct().withColumn("row_no", F.row_number().over(Window.partitionBy("issue_id").orderBy("frame_idx")) - 1)
+    """Where each frame's cells stand on its issue's sheet, rows by cluster and frame: issue_id, row_no, col_no, x1, y1, x2, y2, label, frame_idx, theme (null for a missing cell)."""
+    rows = cells.select("issue_id", "cluster_id", "frame_idx").distinct().withColumn("row_no", F.row_number().over(Window.partitionBy("issue_id").orderBy("cluster_id", "frame_idx")) - 1)
     grid = rows.withColumn("column", F.explode(F.array(*(F.struct(F.lit(i).alias("col_no"), F.lit(x).alias("label")) for i, x in enumerate(labels))))).select("issue_id", "frame_idx", "row_no", "column.*")
     full = grid.join(cells.select("issue_id", "frame_idx", "label", "theme", F.col("width").alias("w"), F.col("height").alias("h")), ["issue_id", "frame_idx", "label"], "left")
     placed = layout.table_layout(full, ["issue_id"], border, pad, pad)
@@ -183,21 +187,36 @@ def sheet_places(cells: DataFrame, labels: tuple[str, ...], border: int = 1, pad
 
 
 def sheets(cells: DataFrame, places: DataFrame, ground: int = 255, border: int = 1, border_gray: int = 22, pad: int = 12) -> DataFrame:
-    """issue_id, height, width, png: a sheet for each issue, whose cells are few. A missing cell stays ground."""
-    joined = places.join(cells.select("issue_id", "frame_idx", "label", F.col("height").alias("h"), F.col("width").alias("w"), "gray"), ["issue_id", "frame_idx", "label"], "left")
+    """issue_id, height, width, png: a sheet for each issue, whose cells are few. Lines stand around all rows and columns; what no cell covers is ground."""
+    own = cells.select("issue_id", "frame_idx", "label", F.col("height").alias("h"), F.col("width").alias("w"), "gray")
+    joined = places.join(own, ["issue_id", "frame_idx", "label"], "left")
 
     def drawn(rows: pd.DataFrame) -> pd.DataFrame:
-        right, low = int(rows["x2"].max()) + border, int(rows["y2"].max()) + border
-        image = np.full((low + pad, right + pad), ground, np.uint8)
-        image[pad:low, pad:right] = border_gray
-        for r in rows.to_dict("records"):
-            left, top = r["x1"], r["y1"]
-            image[top : r["y2"], left : r["x2"]] = ground if r["gray"] is None else np.frombuffer(r["gray"], np.uint8).reshape(int(r["h"]), int(r["w"]))
+        ends = []  # of the lines before each column or row and after the last
+        for place, extent in (("col_no", "w"), ("row_no", "h")):
+            most = rows.groupby(place)[extent].max().sort_index().fillna(0).astype(int)
+            ends.append(pad + np.cumsum(np.append(0, most.to_numpy() + border)))
+        (xs, ys), image = ends, np.full((ends[1][-1] + border + pad, ends[0][-1] + border + pad), ground, np.uint8)
+        for y in ys:
+            image[y : y + border, pad : xs[-1] + border] = border_gray
+        for x in xs:
+            image[pad : ys[-1] + border, x : x + border] = border_gray
+        for x, y, h, w, gray in rows[["x1", "y1", "h", "w", "gray"]].itertuples(index=False):
+            if gray is not None:
+                image[y : y + int(h), x : x + int(w)] = np.frombuffer(gray, np.uint8).reshape(int(h), int(w))
         return pd.DataFrame({"issue_id": [rows["issue_id"].iloc[0]], "height": [image.shape[0]], "width": [image.shape[1]], "png": [pixels.png(image)]})
 
     return joined.groupBy("issue_id").applyInPandas(drawn, "issue_id int, height int, width int, png binary")
 
 
+def tracks(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(issue_id, track) of places and of themes: for each issue a JSON array of rows, each an array of its cells' corners, or themes (null for a missing cell)."""
+    rows = lambda item: places.groupBy("issue_id", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", item.alias("item")))).alias("cells"))
+    row = F.struct("row_no", F.transform("cells", lambda c: c["item"]).alias("items"))
+    track = lambda item: rows(item).groupBy("issue_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["items"])).alias("track"))
+    return track(F.struct("x1", "y1", "x2", "y2")), track(F.col("theme"))
+
+
 def good_frames(frames: DataFrame, scores: DataFrame, keep: float) -> DataFrame:
     """The frames whose cost is within keep."""
     good, _ = rank.split_by(scores.select("issue_id", "frame_idx", "cost"), scoring.passes(F.col("cost"), keep))

@@ -35,8 +35,13 @@ def sample_first(df: DataFrame, keys: list[str], time: str, seconds: int, positi
     return first_of_group(df.withColumn("bucket", bucket), [*keys, "bucket"], [F.col(time), F.col(position)])
 
 
+def flagged(df: DataFrame, keep: Column, name: str) -> DataFrame:
+    """df with a column that tells whether keep holds; false where it is null. One pass, for what needs both halves together."""
+    return df.withColumn(name, F.coalesce(keep, F.lit(False)))
+
+
 def split_by(df: DataFrame, keep: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep holds for, all others): together all rows, none twice."""
+    """(rows that keep holds for, all others): together all rows, none twice; each half reads df, so this is for two sinks."""
     held = F.coalesce(keep, F.lit(False))
     return df.where(held), df.where(~held)
 

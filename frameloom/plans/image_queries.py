@@ -15,6 +15,7 @@ from frameloom.plans.score_queries import r6
 from frameloom.sources.tables import table
 
 QUERIES: dict = {}
+SQL: dict[str, str] = {}
 # Two upright and two level strips of an 8 by 8 image.
 STRIPS = [("l1", 0, 0, 2, 8), ("l2", 6, 0, 2, 8), ("l3", 0, 0, 8, 3), ("l4", 0, 5, 8, 3)]
 
@@ -87,9 +88,45 @@ def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(images.quality_scores(frames(spark, sf_dir)))
 
 
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    themed = frames(spark, sf_dir).withColumns({"cluster_id": F.col("frame_idx") % 3, "theme": F.element_at(F.array(F.lit("blue"), F.lit("green"), F.lit("orange")), F.col("frame_idx") % 3 + 1)})
+    boxes = spark.createDataFrame([(t, i, n, (i % 4 * 2, i // 4 * 2, 2 + i % 3, 2), 8, 8) for t in ("blue", "orange") for i, n in enumerate(DATA_LABELS) if (t, n) != ("blue", "last")], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
+    return images.take_cells(themed, boxes)
+
+
 @query
 def image_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    themed = frames(spark, sf_dir).withColumn("theme", F.when(F.col("frame_idx") % 2 == 0, "blue").otherwise("green"))
-    boxes = spark.createDataFrame([(t, i, n, (i % 4 * 2, i // 4 * 2, 2, 2), 8, 8) for t in ("blue", "orange") for i, n in enumerate(DATA_LABELS) if (t, n) != ("blue", "last")], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
-    cells = images.take_cells(themed, boxes)
+    cells = _cells(spark, sf_dir)
     return images.sheets(cells, images.sheet_places(cells, DATA_LABELS)).select("issue_id", "height", "width", F.sha2("png", 256).alias("sha256"))
+
+
+_ORDER = "SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id % 3, vec_id) - 1 AS row_no FROM (SELECT *, row_number() OVER (PARTITION BY label, vec_id % 3 ORDER BY vec_id) AS turn FROM embeddings WHERE label IS NOT NULL AND len(embedding) = 64) WHERE vec_id % 3 <> 2 OR turn > 1"
+_WIDE = "least(2 + i % 3, 8 - i % 4 * 2) + CASE WHEN i IN (6, 7) THEN 4 ELSE 0 END"
+_LABELS = ", ".join(f"({i}, '{n}')" for i, n in enumerate(DATA_LABELS))
+
+
+@query
+def image_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places, themes = images.tracks(images.sheet_places(_cells(spark, sf_dir), DATA_LABELS))
+    return places.withColumnRenamed("track", "places").join(themes.withColumnRenamed("track", "themes"), "issue_id")
+
+
+SQL["image_tracks"] = f"""
+WITH r AS ({_ORDER}), c AS (SELECT * FROM (VALUES {_LABELS}) v(i, name)),
+g AS (SELECT label, row_no, i, vec_id % 3 = 0 AND name = 'last' AS gone, CASE WHEN i IN (6, 7) THEN 6 ELSE 2 END AS h, {_WIDE} AS w, ['blue', 'green', 'orange'][vec_id % 3 + 1] AS theme FROM r, c),
+cols AS (SELECT label, i, cw, 13 + coalesce(sum(cw + 1) OVER (PARTITION BY label ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x FROM (SELECT label, i, coalesce(max(CASE WHEN NOT gone THEN w END), 0) AS cw FROM g GROUP BY ALL)),
+p AS (SELECT g.label, row_no, g.i, gone, theme, x::BIGINT AS x1, (13 + row_no * 7 + CASE WHEN gone THEN 0 ELSE (6 - h) // 2 END)::BIGINT AS y1, (x + CASE WHEN gone THEN cw ELSE w END)::BIGINT AS x2, (13 + row_no * 7 + CASE WHEN gone THEN 6 ELSE (6 - h) // 2 + h END)::BIGINT AS y2 FROM g JOIN cols ON g.label = cols.label AND g.i = cols.i),
+q AS (SELECT label, row_no, string_agg('{{"x1":' || x1 || ',"y1":' || y1 || ',"x2":' || x2 || ',"y2":' || y2 || '}}', ',' ORDER BY i) AS a, string_agg(CASE WHEN gone THEN 'null' ELSE '"' || theme || '"' END, ',' ORDER BY i) AS b FROM p GROUP BY ALL)
+SELECT label AS issue_id, '[' || string_agg('[' || a || ']', ',' ORDER BY row_no) || ']' AS places, '[' || string_agg('[' || b || ']', ',' ORDER BY row_no) || ']' AS themes FROM q GROUP BY label
+"""
+
+_GRAY = """SELECT label AS issue_id, vec_id::INT AS frame_idx, list_transform(range(1, 65), lambda i: ((114 * v[i] + 587 * v[65 - i] + 299 * v[(i + 55) % 64 + 1] + 500) // 1000)::DOUBLE) AS g
+  FROM (SELECT label, vec_id, list_transform(embedding, lambda x: floor(greatest(least(128 + 400 * x::DOUBLE, 255.0), 0.0))::INT) AS v FROM embeddings WHERE label IS NOT NULL AND len(embedding) = 64)"""
+_AT = "g[(CASE WHEN {y} < 0 THEN 1 WHEN {y} > 7 THEN 6 ELSE {y} END) * 8 + (CASE WHEN {x} < 0 THEN 1 WHEN {x} > 7 THEN 6 ELSE {x} END) + 1]"
+_NEAR = " + ".join(_AT.format(y=f"(i // 8 {dy})", x=f"(i % 8 {dx})") for dy, dx in (("- 1", ""), ("+ 1", ""), ("", "- 1"), ("", "+ 1")))
+SQL["image_quality"] = f"""
+SELECT issue_id, frame_idx, round((0.5 * blur + 0.3 * contrast + 0.2 * entropy) / (1 + 10 * dark + 10 * over_), 6) AS score, round(blur, 6) AS blur, round(bright, 6) AS bright, round(contrast, 6) AS contrast, round(entropy, 6) AS entropy, round(dark, 6) AS dark, round(over_, 6) AS over FROM (
+  SELECT issue_id, frame_idx, var_pop(lap) AS blur, avg(level) AS bright, stddev_pop(level) AS contrast, avg((level < 30)::INT) AS dark, avg((level > 225)::INT) AS over_, -sum(log2(n / 64.0) / 64.0) AS entropy FROM (
+    SELECT issue_id, frame_idx, level, lap, count(*) OVER (PARTITION BY frame_idx, issue_id, level) AS n FROM (
+      SELECT issue_id, frame_idx, unnest(g) AS level, unnest(list_transform(range(0, 64), lambda i: {_NEAR} - 4 * g[i + 1])) AS lap FROM ({_GRAY}))) GROUP BY issue_id, frame_idx)
+"""

@@ -61,12 +61,15 @@ JOIN (SELECT n_regionkey, col_no, cw, 4 + 2 + coalesce(sum(cw + 2) OVER (PARTITI
 JOIN (SELECT n_regionkey, row_no, rh, 3 + 2 + coalesce(sum(rh + 2) OVER (PARTITION BY n_regionkey ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS y0 FROM (SELECT n_regionkey, row_no, coalesce(max(h), 0) AS rh FROM ({_CELLS}) GROUP BY ALL)) b ON b.n_regionkey = c.n_regionkey AND b.row_no = c.row_no
 """)
 def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.table_layout(_nation_cells(spark, sf_dir), ["n_regionkey"], 2, 4, 3)
+
+
+def _nation_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n_nationkey")
     here = n % 7 != 3
-    cells = table(spark, sf_dir, "nation").select(
+    return table(spark, sf_dir, "nation").select(
         "n_regionkey", (n % 5).cast("int").alias("row_no"), F.floor(n / 5).cast("int").alias("col_no"), F.when(here, F.length("n_name") * 8).alias("w"), F.when(here, 20 + n % 4 * 6).alias("h")
     )
-    return layout.table_layout(cells, ["n_regionkey"], 2, 4, 3)
 
 
 @query("""
@@ -110,7 +113,7 @@ def ready_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ready(spark, sf_dir)
 
 
-@query()
+@query(f"""SELECT theme, conv_id, '{{' || concat_ws(',', '"conv_id":' || conv_id, {", ".join(f"""'"{r}":' || to_json({r})""" for r in _ROLES)}) || '}}' AS record FROM ({SQL["ready_pivot"]})""")
 def ready_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.ready_json(_ready(spark, sf_dir), "theme", "conv_id")
 
@@ -240,9 +243,17 @@ def html_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.html_escape(F.concat(F.lit("<"), F.col("s_name"), F.lit(' & "x">'))).alias("safe"))
 
 
+@query("SELECT label, count(*) AS n, least(5, count(DISTINCT embedding))::BIGINT AS clusters, sum(vec_id)::BIGINT AS ids FROM embeddings WHERE label IS NOT NULL AND len(embedding) = 64 GROUP BY label")
+def issue_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows and clusters each label has; which cluster a row is in depends on the seeds, so tests compare that."""
+    vectors = table(spark, sf_dir, "embeddings").where("label is not null and size(embedding) = 64").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("features"))
+    found = clusters.issue_clusters(vectors, ["label"], "vec_id", "features")
+    return found.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("cluster_id").alias("clusters"), F.sum("vec_id").alias("ids"))
+
+
 @query()
 def colour_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("features"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
     return clusters.kmeans(vectors, "features").select("vec_id", "cluster_id")
 
 
@@ -250,3 +261,74 @@ def colour_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
     return clusters.pca_project(vectors, "features").select("vec_id", F.transform("projected", lambda x: F.round(F.abs(x), 4)).alias("projected"))
+
+
+_STAMPED = "CASE event_id % 4 WHEN 0 THEN '2024-01-02 03:04:05,678 - INFO - ' WHEN 1 THEN '2024-01-02 03:04:05 - INFO - ' WHEN 2 THEN '2024-01-02 03:04:05,678 - debug_1 - ' ELSE '' END || event_type || ' f_' || event_id || '.png'"
+
+
+@query(f"SELECT event_id, regexp_replace({_STAMPED}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}},[0-9]{{3}} - [0-9A-Za-z_]+ - ', '') AS message, event_id AS frame FROM events")
+def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id") % 4
+    stamp = F.when(k == 0, "2024-01-02 03:04:05,678 - INFO - ").when(k == 1, "2024-01-02 03:04:05 - INFO - ").when(k == 2, "2024-01-02 03:04:05,678 - debug_1 - ").otherwise("")
+    line = F.concat(stamp, F.col("event_type"), F.lit(" f_"), F.col("event_id").cast("string"), F.lit(".png"))
+    return table(spark, sf_dir, "events").select("event_id", text.log_message(line).alias("message"), text.frame_number(line).alias("frame"))
+
+
+@query("SELECT p_partkey, p_name || ' = ' || p_partkey AS line, 'ffmpeg -i video/av' || p_partkey || '.mp4 -vf fps=2 cache/f15_%06d.png' AS command, greatest(1, p_size // 10)::BIGINT AS interval FROM part WHERE NOT contains(p_name, 'VOCAL')")
+def format_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = catalog.titles_without(table(spark, sf_dir, "part"), "p_name", "VOCAL")
+    return parts.select("p_partkey", text.id_line(F.col("p_name"), F.col("p_partkey")).alias("line"), text.sampling_command(F.col("p_partkey"), "15", "2").alias("command"), text.axis_interval(F.col("p_size")).alias("interval"))
+
+
+@query("SELECT s_suppkey, s_nationkey, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+def issue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    return catalog.with_video(table(spark, sf_dir, "supplier"), nations, "s_nationkey", "n_name").select("s_suppkey", "s_nationkey", "n_name")
+
+
+_ROW = """'<tr><td class="col-name"><a href="' || href || '" class="file-link"><span class="file-type ' || CASE WHEN d THEN 'file-type-dir">D' ELSE 'file-type-file">F' END || '</span><span>' || name || '</span></a></td><td class="col-size">' || size || '</td><td class="col-mtime">' || stamp || '</td><td class="col-action"><a href="' || href || '" class="btn btn-text">' || CASE WHEN d THEN '打开' ELSE '查看' END || '</a></td></tr>'"""
+_UP = '<tr><td class="col-name"><a href="../" class="file-link"><span class="file-type file-type-dir">D</span><span>..</span></a></td><td class="col-size">-</td><td class="col-mtime">-</td><td class="col-action"></td></tr>'
+
+
+@query(f"""
+SELECT n_regionkey, CASE WHEN n_regionkey > 0 THEN '{_UP}' || chr(10) ELSE '' END || string_agg({_ROW}, chr(10) ORDER BY d DESC, lower(name), name) AS html FROM (
+  SELECT n_regionkey, name, d, name || CASE WHEN d THEN '/' ELSE '' END AS href, CASE WHEN d THEN '-' ELSE n_nationkey * 40 || ' B' END AS size, CASE WHEN d THEN '-' ELSE '2024-01-02 03:04' END AS stamp
+  FROM (SELECT n_regionkey, n_nationkey, n_nationkey % 4 = 1 AS d, n_name || '&amp;' AS name FROM nation)) GROUP BY n_regionkey
+""")
+def listing_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_nationkey")
+    rows = table(spark, sf_dir, "nation").select("n_regionkey", F.concat("n_name", F.lit("&")).alias("name"), (n % 4 == 1).alias("is_dir"), (n * 40).cast("long").alias("size"), F.lit("2024-01-02 03:04:05").cast("timestamp").alias("mtime"))
+    return catalog.listing_rows(rows, ["n_regionkey"], "name", "is_dir", "size", "mtime", F.col("n_regionkey") > 0)
+
+
+_SEP = """chr(10) || '<span class="breadcrumb-sep">/</span>' || chr(10)"""
+
+
+@query(f"""SELECT doc_id, '<a href="/">根目录</a>' || {_SEP} || '<a href="/x/">x</a>' || {_SEP} || '<a href="/x/' || doc_id || '/">' || doc_id || '</a>' || {_SEP} || '<span class="breadcrumb-current">y</span>' AS html FROM documents""")
+def breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat(F.lit("x\\"), F.col("doc_id").cast("string"), F.lit("/y/"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.breadcrumb_html(path).alias("html"))
+
+
+_VIEW = "SELECT lang, l.doc_id, '{0}' AS view FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE {1}"
+
+
+@query(" UNION ALL ".join((_VIEW.format("synthesized", "quality = 0"), _VIEW.format("deleted", "toxic = 1"))))
+def review_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
+    views = [catalog.review_view(marked, v, F.col("quality") == 0, F.col("toxic") == 1).select("lang", "doc_id", F.lit(v).alias("view")) for v in ("synthesized", "deleted")]
+    return views[0].unionByName(views[1])
+
+
+@query("SELECT n_nationkey, (n_nationkey // 5)::BIGINT AS row, (n_nationkey % 5)::BIGINT AS col, (n_nationkey % 5 * 175)::BIGINT AS x, (n_nationkey // 5 * 515)::BIGINT AS y FROM nation")
+def grid_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = layout.grid_place(F.col("n_nationkey"), F.lit(5), F.lit(172), F.lit(512), 3)
+    return table(spark, sf_dir, "nation").select("n_nationkey", place.alias("p")).select("n_nationkey", *(F.col(f"p.{k}").cast("long").alias(k) for k in ("row", "col", "x", "y")))
+
+
+@query(f"""
+SELECT c.k AS n_regionkey, width, height FROM (SELECT n_regionkey AS k, (sum(cw) + (count(*) + 1) * 2 + 8)::BIGINT AS width FROM (SELECT n_regionkey, col_no, coalesce(max(w), 0) AS cw FROM ({_CELLS}) GROUP BY ALL) GROUP BY n_regionkey) c
+JOIN (SELECT n_regionkey AS k, (sum(rh) + (count(*) + 1) * 2 + 6)::BIGINT AS height FROM (SELECT n_regionkey, row_no, coalesce(max(h), 0) AS rh FROM ({_CELLS}) GROUP BY ALL) GROUP BY n_regionkey) r ON c.k = r.k
+""")
+def canvas_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.canvas_size(_nation_cells(spark, sf_dir), ["n_regionkey"], 2, 4, 3)

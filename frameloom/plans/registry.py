@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return score_queries.SQL | record_queries.SQL
+    return score_queries.SQL | record_queries.SQL | image_queries.SQL

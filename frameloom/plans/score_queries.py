@@ -44,9 +44,7 @@ SELECT o_orderkey, round(o_totalprice / 500000.0, 9) AS cost, coalesce(o_totalpr
 """)
 def threshold_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 500000.0).alias("cost"))
-    good, bad = rank.split_by(orders, scoring.passes(F.col("cost"), 0.25))
-    out = good.withColumn("good", F.lit(True)).unionByName(bad.withColumn("good", F.lit(False)))
-    return out.select("o_orderkey", F.round("cost", 9).alias("cost"), "good")
+    return rank.flagged(orders, scoring.passes(F.col("cost"), 0.25), "good").select("o_orderkey", F.round("cost", 9).alias("cost"), "good")
 
 
 _LINE_COST = "round(0.4 * (1 - l_discount * 10) + 0.3 * l_quantity / 50.0 + 0.3 * l_tax * 10, 9)"
@@ -205,9 +203,10 @@ _PAIR = "FROM (SELECT vec_id, embedding::DOUBLE[] AS x, lead(embedding::DOUBLE[]
 
 
 def _vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, x, y of each vector and the next of its label: only ids enter the window, vectors are fetched by them."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
-    pairs = sequence.with_previous(vectors, ["label"], ["vec_id"], {"before": "x", "first_id": "vec_id"})
-    return pairs.where(F.col("before").isNotNull()).select(F.col("first_id").alias("vec_id"), F.col("before").alias("x"), F.col("x").alias("y"))
+    pairs = sequence.with_previous(vectors.select("vec_id", "label"), ["label"], ["vec_id"], {"first_id": "vec_id"}).where("first_id is not null").select(F.col("first_id").alias("vec_id"), F.col("vec_id").alias("next_id"))
+    return pairs.join(vectors.select("vec_id", "x"), "vec_id").join(vectors.select(F.col("vec_id").alias("next_id"), F.col("x").alias("y")), "next_id").select("vec_id", "x", "y")
 
 
 @query(f"SELECT vec_id, round(list_sum(list_transform(list_zip(x, y), lambda p: abs(p[1] - p[2]))) / len(x), 6) AS absdiff, round(1 - len(list_filter(list_zip(x, y), lambda p: abs(p[1] - p[2]) > 0.1))::DOUBLE / len(x), 6) AS psim {_PAIR}")

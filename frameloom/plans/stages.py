@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions import scoring
-from frameloom.operators import clusters, images
+from frameloom.operators import clusters, images, records
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -22,8 +22,8 @@ def run_stages(spark: SparkSession, stages: list[tuple[str, Stage]], source: Dat
     return df
 
 
-def frame_stages(boxes: DataFrame) -> list[tuple[str, Stage]]:
-    """Frames to one standard image for each look, with its colour cluster."""
+def frame_stages(boxes: DataFrame, themed_boxes: DataFrame | None = None) -> list[tuple[str, Stage]]:
+    """Frames to one standard image for each look, with its colour cluster, and, given the themes' boxes, to the cells of the sheets."""
 
     def one_of_each(frames: DataFrame) -> DataFrame:
         _, kept = images.same_frames(images.pair_scores(frames))
@@ -31,7 +31,7 @@ def frame_stages(boxes: DataFrame) -> list[tuple[str, Stage]]:
 
     def grouped(frames: DataFrame) -> DataFrame:
         scores = images.colour_scores(frames, boxes).withColumn("features", F.array("mean_a", "mean_b", "std_a", "std_b"))
-        numbered = clusters.kmeans(scores, "features").select("issue_id", "frame_idx", "cluster_id", "blue", "green", "red")
+        numbered = clusters.issue_clusters(scores, ["issue_id"], "frame_idx", "features").join(scores.select("issue_id", "frame_idx", "blue", "green", "red"), ["issue_id", "frame_idx"])
         themed = images.group_themes(numbered)
         return frames.join(numbered.select("issue_id", "frame_idx", "cluster_id"), ["issue_id", "frame_idx"]).join(themed.select("issue_id", "cluster_id", "theme"), ["issue_id", "cluster_id"])
 
@@ -41,4 +41,14 @@ def frame_stages(boxes: DataFrame) -> list[tuple[str, Stage]]:
         ("complete", lambda f: images.good_frames(f, images.line_scores(f, boxes), scoring.LINE_KEEP)),
         ("single", one_of_each),
         ("group", grouped),
+        *([] if themed_boxes is None else [("cells", lambda f: images.take_cells(f, themed_boxes))]),
     ]
+
+
+def sheet_files(cells: DataFrame) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """(sheet, places, themes) of each kind of sheet, info and data: the image, the cells' places and their themes of each issue."""
+    out = {}
+    for kind, labels in (("info", records.INFO_LABELS), ("data", records.DATA_LABELS)):
+        places = images.sheet_places(cells, labels)
+        out[kind] = images.sheets(cells, places), *images.tracks(places)
+    return out

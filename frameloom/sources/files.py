@@ -48,9 +48,16 @@ def read_theme_track(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """log, line_no, line of each file: numbered inside the file, before anything can reorder it."""
-    files = spark.read.text(path, wholetext=True).withColumn("log", F.input_file_name())
-    return files.select("log", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    """log, line_no (from 0), line of each file. A large file is read in blocks by many tasks.
+
+    A line's number is that of the lines in the file's blocks before its own, a count, and its place in the block, in which reading keeps the order.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("log"), F.col("_metadata.file_block_start").alias("block"))
+    lines = spark.read.text(path).select(at.alias("at"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("line")).select("at.*", "place", "line")
+    before = Window.partitionBy("log").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy("log", "block").count().select("log", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("log", "block").orderBy("place")) - 1
+    return lines.withColumn("inside", inside).join(counts, ["log", "block"]).select("log", (F.col("before") + F.col("inside")).alias("line_no"), "line")
 
 
 def read_media(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +73,13 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("id", "url", F.coalesce("del", F.col("color") == "red").alias("deleted"))
 
 
+def read_issues(spark: SparkSession, path: str) -> DataFrame:
+    """title, video_id of a catalogue of lines "title = id"."""
+    from frameloom.operators.catalog import parse_ids
+
+    return parse_ids(read_lines(spark, path), "line").select("title", "video_id")
+
+
 def read_review(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema("cluster_id int, frames array<string>, representative_frame string, low_quality boolean").json(path)
 
@@ -81,17 +95,26 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_listing(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """folder, name, is_dir, size, mtime of the files under path, and of the folders that hold files deeper down.
+    """folder, name, is_dir, size, mtime of the files and folders in path, or of all under it; folders have neither size nor time.
 
-    Hidden files and index.html are left out. Only metadata are read.
+    Hidden files and index.html are left out. A plain listing is one call to the file system. A recursive one reads files' metadata alone, as Spark lists
+    them: it has no empty files, and the folders are those above a file.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path", "modificationTime", "length")
-    split = F.split("path", "/")
-    rows = files.select(F.array_join(F.slice(split, F.lit(1), F.size(split) - 1), "/").alias("folder"), F.element_at(split, -1).alias("name"), F.lit(False).alias("is_dir"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-    up = F.split("folder", "/")
-    dirs = rows.groupBy("folder").agg(F.max("mtime").alias("mtime")).select(F.array_join(F.slice(up, F.lit(1), F.size(up) - 1), "/").alias("folder"), F.element_at(up, -1).alias("name"), F.lit(True).alias("is_dir"), F.lit(None).cast("bigint").alias("size"), "mtime")
-    shown = ~F.col("name").startswith(".") & (F.col("name") != "index.html")
-    return (rows.unionByName(dirs) if recursive else rows).where(shown)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = store.makeQualified(where).toString().rstrip("/")
+    if recursive:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.lit(False).alias("is_dir"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+        parts = F.split(F.substring("path", F.lit(len(root) + 2), F.lit(1 << 30)), "/")
+        upto = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: n > 0)
+        dirs = found.select(F.explode(F.transform(upto, lambda n: F.concat(F.lit(f"{root}/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))).alias("path")).distinct()
+        found = found.unionByName(dirs.select("path", F.lit(True).alias("is_dir"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("mtime")))
+    else:
+        entries = [(s.getPath().toString(), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in store.listStatus(where)]
+        listed = spark.createDataFrame(entries, "path string, is_dir boolean, size bigint, at bigint")
+        found = listed.select("path", "is_dir", F.when(~F.col("is_dir"), F.col("size")).alias("size"), F.when(~F.col("is_dir"), F.timestamp_millis("at")).alias("mtime"))
+    rows = found.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.element_at(F.split("path", "/"), -1).alias("name"), "is_dir", "size", "mtime")
+    return rows.where(~F.col("name").startswith(".") & (F.col("name") != "index.html"))
 
 
 def line_numbers(df: DataFrame, keys: list[str], order: str) -> DataFrame:

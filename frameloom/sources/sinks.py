@@ -60,6 +60,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_roi(boxes: DataFrame, path: str) -> None:
+    """A region config (pos, name, box, ref_width, ref_height; one size) as one JSON document, as read_roi reads it."""
+    box = F.struct((F.col("pos") + 1).alias("id"), "name", "box.x", "box.y", "box.w", "box.h")
+    items = F.array_sort(F.collect_list(F.struct("pos", box.alias("b"))))
+    config = boxes.groupBy(F.col("ref_width").alias("referenceWidth"), F.col("ref_height").alias("referenceHeight")).agg(F.transform(items, lambda x: x["b"]).alias("boxes"))
+    config.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_marks(marks: DataFrame, path: str) -> None:
+    """Posted marks (id, url, deleted) in the form that read_marks reads."""
+    marks.select("id", "url", F.col("deleted").alias("del")).write.mode("overwrite").json(path)
+
+
+def write_track(tracks: DataFrame, path: str) -> None:
+    """A JSON file of each issue's track, an array of arrays, under its number."""
+    tracks.write.mode("overwrite").partitionBy("issue_id").text(path)
+
+
 def logger(name: str, file: str | None = None) -> logging.Logger:
     """A driver's logger: INFO and above to the console, all to the file if one is given."""
     log = logging.getLogger(name)

@@ -1,13 +1,18 @@
 """Pixel kernels by identities and small cases; the frame pipeline on generated PNG files."""
 
+import json
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from frameloom.functions import pixels as P
-from frameloom.operators import images
-from frameloom.plans.stages import frame_stages, run_stages
-from frameloom.sources.files import read_roi
+from frameloom.operators import clusters, images
+from frameloom.operators.records import DATA_LABELS
+from frameloom.plans.stages import frame_stages, run_stages, sheet_files
+from frameloom.sources.files import read_roi, read_theme_track
 from frameloom.sources.frames import read_frames, read_labelled, read_samples
+from frameloom.sources.sinks import write_track
 
 
 def noise(seed, *shape):
@@ -134,19 +139,82 @@ def test_frame_operators(spark, folder, tmp_path):
     assert 1 <= out.count() <= first.count() < 10
 
 
-def test_cells_and_sheet(spark, tmp_path):
-    rows = [(1, i, noise(i, 20, 40, 3).tobytes(), 20, 40, t) for i, t in enumerate(["blue", "green", "pink"])]
-    frames = spark.createDataFrame(rows, "issue_id int, frame_idx int, bgr binary, height int, width int, theme string")
-    boxes = spark.createDataFrame([(t, i, n, (4 * i, 0, 4, 10), 40, 20) for t in ("blue", "orange") for i, n in enumerate(("title", "rank", "mylist_rate", "other"))], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
+def brute_table(grid, border, line, pad, ground):
+    """A table of cells (arrays or None) drawn pixel by pixel, and the corners of each."""
+    wide = [max((c.shape[1] for row in grid if (c := row[k]) is not None), default=0) for k in range(len(grid[0]))]
+    high = [max((c.shape[0] for c in row if c is not None), default=0) for row in grid]
+    image = np.full((sum(high) + (len(high) + 1) * border + 2 * pad, sum(wide) + (len(wide) + 1) * border + 2 * pad), ground, np.uint8)
+    xs = [pad + sum(wide[:k]) + k * border for k in range(len(wide) + 1)]
+    ys = [pad + sum(high[:k]) + k * border for k in range(len(high) + 1)]
+    for y in range(pad, image.shape[0] - pad):
+        for x in range(pad, image.shape[1] - pad):
+            if any(0 <= y - t < border for t in ys) or any(0 <= x - t < border for t in xs):
+                image[y, x] = line
+    corners = []
+    for r, row in enumerate(grid):
+        corners.append([])
+        for k, c in enumerate(row):
+            x, y = xs[k] + border, ys[r] + border
+            if c is None:
+                corners[-1].append({"x1": x, "y1": y, "x2": x + wide[k], "y2": y + high[r]})
+                continue
+            y += (high[r] - c.shape[0]) // 2
+            image[y : y + c.shape[0], x : x + c.shape[1]] = c
+            corners[-1].append({"x1": x, "y1": y, "x2": x + c.shape[1], "y2": y + c.shape[0]})
+    return image, corners
+
+
+BOXES = [("title", 0, 0, 4, 10), ("rank", 4, 0, 4, 10), ("mylist_rate", 8, 0, 4, 5), ("other", 12, 0, 4, 10), ("author", 16, 0, 3, 7)]
+
+
+def test_cells_sheets_and_tracks(spark, tmp_path):
+    rows = [(k, i % 2, i, noise(10 * k + i, 20, 40, 3).tobytes(), 20, 40, ("orange", "green")[i % 2] if k < 3 else "pink") for k in (1, 2, 3) for i in range(6 - k)]
+    frames = spark.createDataFrame(rows, "issue_id int, cluster_id int, frame_idx int, bgr binary, height int, width int, theme string")
+    boxes = spark.createDataFrame([("orange", i, n, b, 40, 20) for i, (n, *b) in enumerate(BOXES)], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
     cells = images.take_cells(frames, boxes)
-    got = {(r["frame_idx"], r["label"]): (r["height"], r["width"]) for r in cells.collect()}
-    assert got == {(f, k): s for f in (0, 1) for k, s in {"title": (4, 10), "rank": (4, 1), "mylist_rate": (4, 2)}.items()}
-    places = images.sheet_places(cells, ("title", "rank", "date"))
-    sheet = images.sheets(cells, places).first()
-    assert (sheet["width"], sheet["height"]) == (24 + 4 + 10 + 1 + 0, 24 + 3 + 8)
-    (tmp_path / "s").mkdir()
-    (tmp_path / "s" / "f000001.png").write_bytes(sheet["png"])
-    assert read_frames(spark, str(tmp_path / "s")).first()["width"] == sheet["width"]
+    made = sheet_files(cells)
+    for kind, labels in (("info", ("title", "library", "author")), ("data", DATA_LABELS)):
+        sheets, places, themes = ({r["issue_id"]: r for r in x.collect()} for x in made[kind])
+        for issue in (1, 2, 3):
+            kept = [r for c in (0, 1) for n, r in enumerate(r for r in rows if r[:2] == (issue, c)) if n or c or r[6] != "orange"]
+            grid, theme_rows = [], []
+            for r in kept:
+                image, found = P.gray(np.frombuffer(r[3], np.uint8).reshape(20, 40, 3)), {}
+                for name, x, y, w, h in BOXES if r[6] != "pink" else ():
+                    cell = image[y : y + h, x : x + w]
+                    found[name] = np.rot90(cell) if name in ("title", "author") else np.pad(cell, 2, constant_values=255) if name.endswith("rate") else cell
+                high = found["title"].shape[0] if found else 0
+                grid.append([None if (c := found.get(n)) is None else c if c.shape[0] == high else P.resized(c, int(c.shape[1] * high / c.shape[0]), high) for n in labels])
+                theme_rows.append([None if c is None else r[6] for c in grid[-1]])
+            want, corners = brute_table(grid, 1, 22, 12, 255)
+            (tmp_path / f"{kind}{issue}").mkdir()
+            (tmp_path / f"{kind}{issue}" / "f000001.png").write_bytes(sheets[issue]["png"])
+            got = read_frames(spark, str(tmp_path / f"{kind}{issue}")).first()
+            assert (got["height"], got["width"]) == want.shape and np.array_equal(np.frombuffer(got["bgr"], np.uint8).reshape(*want.shape, 3)[:, :, 0], want)
+            assert json.loads(places[issue]["track"]) == corners and json.loads(themes[issue]["track"]) == theme_rows
+    write_track(made["data"][2], str(tmp_path / "tracks"))
+    assert read_theme_track(spark, str(tmp_path / "tracks" / "issue_id=1")).orderBy("nu").first()["theme"] == "orange"
+
+
+def test_clusters_of_each_issue(spark):
+    rows = [(1, i, [float(i // 2), 0.0]) for i in range(20)] + [(2, i, [100.0 * i, 5.0]) for i in range(3)] + [(3, i, [7.0, 7.0]) for i in range(4)]
+    got = clusters.issue_clusters(spark.createDataFrame(rows, "issue_id int, frame_idx int, f array<double>"), ["issue_id"], "frame_idx", "f").collect()
+    by = {(r["issue_id"], r["frame_idx"]): r["cluster_id"] for r in got}
+    assert [by[2, i] for i in range(3)] == [0, 1, 2] and {by[3, i] for i in range(4)} == {0} and [by[1, i] for i in range(20)] == [i // 4 for i in range(20)]
+
+
+def test_frame_pipeline_clusters_issues_apart(spark, folder, tmp_path):
+    one = read_frames(spark, folder).where("frame_idx in (1, 2, 5, 6)")
+    two = one.where("frame_idx in (1, 5)").withColumn("issue_id", F.lit(9))
+    (tmp_path / "roi.json").write_text(ROI)
+    boxes = read_roi(spark, str(tmp_path / "roi.json"))
+    themed = spark.createDataFrame([(t, i, n, (20 * i, 0, 15, 60), 172, 512) for t in ("blue", "gray", "orange") for i, n in enumerate(("title", "rank"))], "theme string, pos int, name string, box struct<x:int,y:int,w:int,h:int>, ref_width int, ref_height int")
+    stages = [s for s in frame_stages(boxes, themed) if s[0] in ("ready", "single", "group", "cells")]
+    cells = run_stages(spark, stages, one.unionByName(two), str(tmp_path / "run"))
+    grouped = spark.read.parquet(str(tmp_path / "run" / "02_group"))
+    looks = {r["issue_id"]: sorted(r["c"]) for r in grouped.groupBy("issue_id").agg(F.collect_list("cluster_id").alias("c")).collect()}
+    assert looks == {0: [0, 1], 9: [0, 1]}
+    assert cells.select("issue_id").distinct().count() <= 2
 
 
 def test_read_labelled(spark, tmp_path):

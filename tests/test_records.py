@@ -69,7 +69,9 @@ def test_texts(spark):
     for raw, want in (("0.93abc", 0.93), (" -1e3x", -1000.0), ("NaN", 0.0), ("", 0.0), (".5", 0.5), ("abc", 0.0)):
         assert value(spark, text.leading_number(F.lit(raw))) == want
     assert value(spark, text.frame_number(F.lit("a_000123.png x"))) == 123 and value(spark, text.frame_number(F.lit("none"))) is None
-    assert value(spark, text.log_message(F.lit("2024-01-02 03:04:05,678 - INFO - hello"))) == "hello"
+    assert value(spark, text.log_message(F.lit("2024-01-02 03:04:05,678 - INFO - hello"))) == "hello" == value(spark, text.log_message(F.lit("2024-01-02 03:04:05,678 - warn_1 - hello")))
+    for whole in ("2024-01-02 03:04:05 - INFO - hello", "2024-01-02 03:04:05,678 INFO hello", "x 2024-01-02 03:04:05,678 - INFO - hello"):
+        assert value(spark, text.log_message(F.lit(whole))) == whole
     assert [tuple(p) for p in value(spark, text.breadcrumb(F.lit("a\\b/c")))] == [("a", "/a/"), ("b", "/a/b/"), ("c", None)]
     assert value(spark, text.follows(F.lit("1,234"), "count")) and not value(spark, text.follows(F.lit("12,34"), "count"))
     assert value(spark, text.html_escape(F.lit("<a href='x'>&"))) == "&lt;a href=&#x27;x&#x27;&gt;&amp;"
@@ -117,7 +119,7 @@ def test_layouts(spark):
 def test_ids_media_marks_review(spark, tmp_path):
     lines = [" #140 ~ x = 12", "", "none", "a = b = c", "   "]
     (tmp_path / "ids.txt").write_text("\n".join(lines))
-    got = catalog.parse_ids(files.read_lines(spark, str(tmp_path / "ids.txt")), "line").select("title", "video_id").collect()
+    got = catalog.parse_ids(files.read_lines(spark, str(tmp_path / "ids.txt")), "line").orderBy("line_no").select("title", "video_id").collect()
     assert [tuple(r) for r in got] == [("#140 ~ x", "12"), ("a", "b = c")]
     (tmp_path / "p1.json").write_text(json.dumps({"code": 0, "data": {"medias": [{"id": 1, "title": "A VOCAL"}, {"id": 2, "title": "B"}]}}))
     (tmp_path / "p2.json").write_text(json.dumps({"code": 0, "data": {"medias": []}}))
@@ -146,13 +148,58 @@ def test_listing(spark, tmp_path):
     assert [r["name"] for r in here.orderBy(*catalog.listing_order("is_dir", "name")).collect()] == ["sub", "a.txt", "B.txt"]
     html = catalog.listing_rows(here, ["folder"], "name", "is_dir", "size", "mtime").first()["html"]
     assert html.index("sub/") < html.index("a.txt") < html.index("B.txt") and "2 B" in html
+    assert '"../"' not in html and '"../"' in catalog.listing_rows(here, ["folder"], "name", "is_dir", "size", "mtime", F.lit(True)).first()["html"]
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "C.txt").write_text("")
+    plain = files.read_listing(spark, str(tmp_path)).orderBy(*catalog.listing_order("is_dir", "name")).collect()
+    assert [(r["name"], r["size"], r["mtime"] is None) for r in plain] == [("empty", None, True), ("sub", None, True), ("a.txt", 2, False), ("B.txt", 2, False), ("C.txt", 0, False)]
+    (tmp_path / "sub" / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "sub" / "deep" / "er" / "x").write_text("x")
+    found = files.read_listing(spark, str(tmp_path), recursive=True).where("is_dir").collect()
+    assert sorted((r["folder"].rpartition(tmp_path.name)[2], r["name"]) for r in found) == [("", "sub"), ("/sub", "deep"), ("/sub/deep", "er")]
     (tmp_path / "s.csv").write_text('name, cost ,"a ""b"""\nf1,0.5x,\n f2 ,NaN,3\n')
     got = {(r["label"], r["series"]): r["value"] for r in files.read_series(spark, str(tmp_path / "s.csv")).collect()}
     assert got[("f1", "cost")] == 0.5 and got[("f2", "cost")] == 0.0 and got[("f2", 'a "b"')] == 3.0
 
 
+def test_lines_of_large_files(spark, tmp_path):
+    """Lines of files that are read in many blocks keep their numbers."""
+    want = {}
+    for name in ("a", "b"):
+        lines = [f"{name} {i} {'x' * (i * 7 % 90)}" if i % 11 else "" for i in range(3000)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        want |= {(name, i): x for i, x in enumerate(lines)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = files.read_lines(spark, str(tmp_path))
+        got = {(r["log"].rpartition("/")[2], r["line_no"]): r["line"] for r in read.collect()}
+        assert got == want and spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_configs_marks_and_videos(spark, tmp_path):
+    roi = {"referenceWidth": 10, "referenceHeight": 20, "boxes": [{"id": 1, "name": "b", "x": 1, "y": 2, "w": 3, "h": 4}, {"id": 2, "name": "a", "x": 5, "y": 6, "w": 7, "h": 8}]}
+    (tmp_path / "roi.json").write_text(json.dumps(roi))
+    read = files.read_roi(spark, str(tmp_path / "roi.json"))
+    sinks.write_roi(read, str(tmp_path / "roi"))
+    assert json.loads(spark.read.text(str(tmp_path / "roi")).first()[0]) == roi
+    assert sorted(map(str, files.read_roi(spark, str(tmp_path / "roi")).collect())) == sorted(map(str, read.collect()))
+    marks = spark.createDataFrame([(1, "/a/x.png", True), (2, "/a/y.png", False)], "id int, url string, deleted boolean")
+    sinks.write_marks(marks, str(tmp_path / "marks"))
+    assert sorted(files.read_marks(spark, str(tmp_path / "marks")).collect()) == sorted(marks.collect())
+    (tmp_path / "ids.txt").write_text("#1 = 11\n\n#2 = 22\n")
+    assert sorted(map(tuple, files.read_issues(spark, str(tmp_path / "ids.txt")).collect())) == [("#1", "11"), ("#2", "22")]
+    videos = spark.createDataFrame([(1, 11), (2, 22)], "tid int, aid long")
+    assert {tuple(r) for r in catalog.with_video(spark.createDataFrame([(1,), (2,), (2,)], "tid int"), videos, "tid", "aid").collect()} == {(1, 11), (2, 22)}
+    with pytest.raises(Exception, match="no video for issue 3"):
+        catalog.with_video(spark.createDataFrame([(3,)], "tid int"), videos, "tid", "aid").collect()
+    assert [value(spark, text.axis_interval(F.lit(n))) for n in (0, 9, 10, 35)] == [1, 1, 1, 3]
+
+
 def test_log_snip(spark):
-    lines = ["start", "Section A", "x_000001.png", "x_000050.png", "x_000060.png", "x_000200.png", "Section B", "x_000300.png", "Section C", "no number", "x_000055.png", "Clusters", "x_000900.png", "Section D"]
+    lines = ["start", "", "Section A", "", "x_000001.png", "x_000050.png", "x_000060.png", "x_000200.png", "Section B", "x_000300.png", "Section C", "no number", "x_000055.png", "Clusters", "x_000900.png", "Section D"]
     df = spark.createDataFrame([("log", i, x) for i, x in enumerate(lines)], "log string, line_no int, line string")
     sections = catalog.log_sections(df, ["log"], "line_no", "line", F.col("line").startswith("Section"), F.col("line").startswith("Clusters"))
     out = catalog.log_snip(sections, ["log"], "line_no", "line", text.frame_number(F.col("line")), 10, 110).orderBy("line_no", "pos")
