@@ -87,24 +87,40 @@ def _by_block(settled: Callable[[pd.DataFrame], pd.DataFrame]):
     return run
 
 
-def _sides(rows: pd.DataFrame) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
-    """(a, b, rows of the one side, of the other, whether they are the same) of each block."""
+def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]]:
+    """(the first rows of blocks of two that meet; a, b, rows of the one side, of the other, whether they are the same, of each larger block)."""
     key, side = rows[_KEY], rows["side"].to_numpy()
-    start = np.flatnonzero(np.r_[True, (key.to_numpy()[1:] != key.to_numpy()[:-1]).any(axis=1)])
-    a, b = key["a"].to_numpy(), key["b"].to_numpy()
-    for s, e in zip(start.tolist(), [*start[1:].tolist(), len(rows)], strict=True):
-        left = s + np.flatnonzero(side[s:e] == 0)
-        right = s + np.flatnonzero(side[s:e] == 1)
-        if len(right) and len(left):
-            yield int(a[s]), int(b[s]), left, right, False
-        elif e - s > 1:
-            yield int(a[s]), int(b[s]), np.arange(s, e), np.arange(s, e), True
+    whole = key.to_numpy()
+    start = np.flatnonzero(np.r_[True, (whole[1:] != whole[:-1]).any(axis=1)])
+    size = np.diff(np.r_[start, len(rows)])
+    a, b, own = key["a"].to_numpy(), key["b"].to_numpy(), key["i"].to_numpy() == key["j"].to_numpy()
+    two = start[size == 2]
+    two = two[own[two] | (side[two] != side[two + 1])]
+
+    def larger() -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+        for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            if own[s]:
+                yield int(a[s]), int(b[s]), np.arange(s, s + n), np.arange(s, s + n), True
+            elif 0 < side[s : s + n].sum() < n:
+                yield int(a[s]), int(b[s]), s + np.flatnonzero(side[s : s + n] == 0), s + np.flatnonzero(side[s : s + n] == 1), False
+
+    return two, larger()
+
+
+def _pairs_here(rows: pd.DataFrame, pivots: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """shared_here of the pairs of rows (two, two + 1)."""
+    hit = (pivots[two][:, :, None] == pivots[two + 1][:, None, :]).any(axis=2)
+    first = (hit & (pivots[two] <= rows["b"].to_numpy()[two][:, None])).sum(axis=1)
+    return (hit.sum(axis=1) >= SHARED) & (first == 2)
 
 
 def _met(rows: pd.DataFrame) -> pd.DataFrame:
     """The rows that meet another in their block, by their pivots alone."""
     pivots, keep = np.sort(np.array(rows["pivots"].tolist()), axis=1), np.zeros(len(rows), bool)
-    for a, b, left, right, same in _sides(rows):
+    two, larger = _sides(rows)
+    two = two[_pairs_here(rows, pivots, two)]
+    keep[two] = keep[two + 1] = True
+    for a, b, left, right, same in larger:
         here = shared_here(pivots[left], pivots[right], a, b)
         if same:
             np.fill_diagonal(here, False)
@@ -118,20 +134,25 @@ def _verified(threshold: float):
 
     def settled(rows: pd.DataFrame) -> pd.DataFrame:
         pivots, node, copies = np.sort(np.array(rows["pivots"].tolist()), axis=1), rows["node"].to_numpy(), rows["copies"].to_numpy()
-        links: dict[int, int] = {}
-        edges: list[tuple[int, int]] = []
-        for a, b, left, right, same in _sides(rows):
-            vectors = [unit(np.array(rows["embedding"].iloc[x].tolist(), float)) for x in ((left,) if same else (left, right))]
-            alike = (vectors[0] @ vectors[-1].T >= threshold) & shared_here(pivots[left], pivots[right], a, b)
+        vectors = lambda at: unit(np.array(rows["embedding"].iloc[at].tolist(), float))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        two, larger = _sides(rows)
+        two = two[_pairs_here(rows, pivots, two)]
+        for length in np.unique(rows["dims"].to_numpy()[two]):
+            some = two[rows["dims"].to_numpy()[two] == length]
+            some = some[np.einsum("ij,ij->i", vectors(some), vectors(some + 1)) >= threshold]
+            found.append((some, some + 1))
+        for a, b, left, right, same in larger:
+            one = vectors(left)
+            alike = (one @ (one if same else vectors(right)).T >= threshold) & shared_here(pivots[left], pivots[right], a, b)
             x, y = (np.triu(alike, 1) if same else alike).nonzero()
-            x, y = left[x], right[y]
-            for u, v in ((x, y), (y, x)):
-                who, at = np.unique(node[u], return_inverse=True)
-                for n, k in zip(who.tolist(), np.bincount(at, copies[v], len(who)).astype(int).tolist(), strict=True):
-                    links[n] = links.get(n, 0) + k
-            edges += forest(zip(node[x].tolist(), node[y].tolist(), strict=True))
-        found = [(n, n, k) for n, k in links.items()] + [(u, v, 0) for u, v in edges]
-        return pd.DataFrame(found, columns=["u", "v", "links"], dtype="int64")
+            found.append((left[x], right[y]))
+        x, y = (np.concatenate([np.empty(0, np.int64), *z]) for z in (zip(*found, strict=True) if found else ((), ())))
+        who, at = np.unique(np.append(node[x], node[y]), return_inverse=True)
+        links = np.bincount(at, np.append(copies[y], copies[x]), len(who)).astype(np.int64)
+        u, v = zip(*forest(zip(node[x].tolist(), node[y].tolist(), strict=True)), strict=True) if len(x) else ((), ())
+        counts = pd.DataFrame({"u": who, "v": who, "links": links})
+        return pd.concat([counts, pd.DataFrame({"u": u, "v": v, "links": 0})]).astype("int64")
 
     return settled
 
@@ -163,12 +184,12 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     pair = F.array(*(F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")) for x, y in combinations([F.element_at("pivots", i + 1) for i in range(NEAREST)], 2)))
     lists = described.withColumn("e", F.explode(pair)).select("label", "dims", "e.a", "e.b", "node", "pivots")
     full = write_table(lists.groupBy("label", "dims", "a", "b").count().where("count > 1"), "lists")
-    dealt = lists.join(full, ["label", "dims", "a", "b"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
+    dealt = lists.join(full.hint("merge"), ["label", "dims", "a", "b"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     blocks = dealt.select("label", "dims", "a", "b", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "pivots")
     sorted_by = lambda x: x.repartition(n, *_KEY).sortWithinPartitions(*_KEY)
     met = write_table(sorted_by(blocks).mapInPandas(_by_block(_met), blocks.schema), "members")
-    whole = met.join(nodes.select("node", "copies", "embedding"), "node")
+    whole = met.hint("merge").join(nodes.select("node", "copies", "embedding"), "node")
     found = write_table(sorted_by(whole).mapInPandas(_by_block(_verified(threshold)), "u long, v long, links long"), "links")
     stars = connected_components(found.where("u <> v").select("u", "v"))
     links = found.where("u = v").groupBy("u").agg(F.sum("links").alias("others")).withColumnRenamed("u", "node")

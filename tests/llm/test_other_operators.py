@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,31 @@ def test_embedding_recall_of_planted_pairs(spark, dims, cosine):
     assert found >= 0.9
 
 
+def test_embedding_blocks_settle_each_pair_once():
+    """Blocks of one list and of two parts, some with an empty side, against all their pairs."""
+    draw, rows = np.random.default_rng(3), []
+    for block in range(400):
+        a, b = sorted(draw.choice(20, 2, replace=False).tolist())
+        other, split = [x for x in range(20) if x not in (a, b)], block % 3 == 0
+        for _ in range(draw.integers(1, 7)):
+            vector = (draw.standard_normal(4) + [3, 0, 0, 0]).tolist()
+            rows.append((str(block), 4, a, b, 0, int(split), int(draw.integers(0, 2)) if split else 0, len(rows), [a, b, *draw.choice(other, 6, replace=False).tolist()], int(draw.integers(1, 3)), vector))
+    df = pd.DataFrame(rows, columns=["label", "dims", "a", "b", "i", "j", "side", "node", "pivots", "copies", "embedding"])
+    want, met = Counter(), set()
+    for x in rows:
+        for y in rows[: x[7]]:
+            shared = sorted(set(x[8]) & set(y[8]))
+            if x[:6] == y[:6] and (x[4] == x[5] or x[6] != y[6]) and len(shared) >= embedding_dedup.SHARED and shared[:2] == [x[2], x[3]]:
+                met |= {x[7], y[7]}
+                if np.dot(x[10], y[10]) >= 0.9 * np.linalg.norm(x[10]) * np.linalg.norm(y[10]):
+                    want[x[7]] += y[9]
+                    want[y[7]] += x[9]
+    got = embedding_dedup._verified(0.9)(df)
+    own = got[got["u"] == got["v"]]
+    assert dict(zip(own["u"], own["links"], strict=True)) == dict(want) and len(want) > 50
+    assert set(embedding_dedup._met(df)["node"]) == met
+
+
 def test_embedding_repeated_and_null_ids(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, "a", v), (1, "a", v), (None, "a", v), (2, "b", v), (None, "b", [3.0, -1.0, 0.0]), (3, "x1", v)]
