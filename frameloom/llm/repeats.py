@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm.run_length_index import RunLengthIndex
-from frameloom.llm.util import partitions, table, write_table
+from frameloom.llm.util import forget, partitions, table, write_table
 
 #: Bytes of a repeat, of an anchor inside it, and how many starts of anchors a repeat has.
 LENGTH, ANCHOR = 100, 32
@@ -194,7 +194,8 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same[0] = False
         last = [x[-1:] for x in rows]
         yield _repeats(rows[2][same & fresh], rows[3][same & fresh])
-        yield _rows(2, *(x[~same] for x in rows))
+        anchor, _, doc, place = (x[~same] for x in rows)
+        yield _rows(2, anchor, np.zeros(len(anchor), np.int64), doc, place)  # one row for each content, so counts need no content
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,14 +313,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = write_table(settled.mapInArrow(_grouped, _ROW), "repeats")
     unsure = found.where("kind = 2").select("doc", "anchor", "place")
     several = write_table(unsure.groupBy("anchor").count().where("count > 1").select("anchor", (F.col("count") > HOT_SEGMENTS).alias("hot")), "several-contents")
-    unsure = unsure.join(several, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("parts"))
-    bodies = write_table(docs.select("doc", "text").join(unsure, "doc").mapInArrow(_cut, "anchor long, doc long, place long, hot boolean, body binary"), "segments")
+    unsure = write_table(unsure.join(several, "anchor"), "unsure-segments")  # by itself, so that its shuffle is gone before texts move
+    parts = unsure.groupBy("doc").agg(F.collect_list(F.struct("anchor", "place", "hot")).alias("parts"))
+    bodies = write_table(docs.select("doc", "text").join(parts, "doc").mapInArrow(_cut, "anchor long, doc long, place long, hot boolean, body binary"), "segments")
     compared = bodies.where("not hot").drop("hot").repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_compared, _ROW)
     windows = bodies.where("hot").select("doc", "place", "body").mapInArrow(_windows, "doc long, at long, window binary")
     first = windows.groupBy("window").agg(F.min(F.struct("doc", "at")).alias("first"))
-    later = windows.join(write_table(first, "first-windows"), "window").where(F.struct("doc", "at") != F.col("first"))
+    first = write_table(first, "first-windows")
+    later = windows.join(first, "window").where(F.struct("doc", "at") != F.col("first"))
     later = later.select(F.lit(1).alias("kind"), F.lit(0).cast("long").alias("anchor"), (F.col("at") + LENGTH).alias("content"), "doc", F.shiftleft("at", 7).alias("place"))
     more = write_table(compared.union(later), "repeats")
+    forget(several, unsure, bodies, first)
     marks = found.where("kind = 1").union(more).groupBy("doc").agg(F.collect_list(F.struct("place", "content")).alias("parts"))
     kind = docs.schema["id"].dataType.simpleString()
     out = docs.join(marks, "doc", "left").select("id", "text", "parts").mapInArrow(_digest(keep_bytes), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
