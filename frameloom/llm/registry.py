@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from frameloom.llm import embedding_dedup, exact_dedup, language, mixing, packing, repeats, sharding, simhash, toxicity, warc
+from frameloom.llm import embedding_dedup, exact_dedup, filter_audit, language, mixing, packing, repeats, sharding, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_warc": warc.op8_warc,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_packing": packing.op10_packing,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": sharding.OP4_SQL, "op8_warc": warc.OP8_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {"op4_sharding": sharding.OP4_SQL, "op8_warc": warc.OP8_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL, "op11_filter_audit": filter_audit.OP11_SQL}
