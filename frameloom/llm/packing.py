@@ -28,7 +28,7 @@ PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable character that byte-level BPE writes for each byte: its own if it has one, else the next from U+0100."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in own]
@@ -44,7 +44,7 @@ def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
     """
     from tokenizers import Tokenizer
 
-    encoder, known, stems, letters = Tokenizer.from_file(path), {}, {}, _byte_letters()
+    encoder, known, stems, letters = Tokenizer.from_file(path), {}, {}, byte_letters()
     merges, tail = encoder.model, b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def whole(word: str) -> bytes:
