@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from frameloom.llm import bpe, embedding_dedup, exact_dedup, filter_audit, language, mixing, packing, repeats, sharding, simhash, toxicity, warc
+from frameloom.llm import bpe, embedding_dedup, exact_dedup, filter_audit, importance, language, mixing, packing, repeats, sharding, simhash, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_packing": packing.op10_packing,
         "op11_filter_audit": filter_audit.op11_filter_audit,
         "op12_bpe": bpe.op12_bpe,
+        "op13_importance": importance.op13_importance,
     }
 
 
