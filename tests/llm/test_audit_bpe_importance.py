@@ -225,6 +225,6 @@ def test_resampling_draws_what_looks_like_the_target(spark):
     say = lambda words: " ".join(draw.choice(words) for _ in range(60))
     near, far = ["moon", "orbit", "crater", "comet"], ["butter", "flour", "oven", "sugar"]
     rows = [(i, say(near if i % 4 == 0 else far)) for i in range(400)]
-    got = importance.resample(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(say(near),)] * 5, "text string"), buckets=200).where("rank is not null").collect()
-    assert len(got) == 100 and sum(r["doc_id"] % 4 == 0 for r in got) >= 90
+    got = importance.resample(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(say(near),)], "text string")).where("rank is not null").collect()
+    assert len(got) == 100 and sum(r["doc_id"] % 4 == 0 for r in got) >= 75  # three times their share: the draw is random, near ones weigh about 20 times as much
     assert sorted(r["rank"] for r in got) == list(range(1, 101))
