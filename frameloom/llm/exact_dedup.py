@@ -55,6 +55,13 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     return restored(out, names, "keep_id", "group_size", "kept", "text_sha256")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
+    """The rows that exact_dedup keeps, with df's own columns, whatever their names; see there for nulls, ties and repeats."""
+    names, own = df.columns, [f"own_{k}" for k in range(len(df.columns))]
+    found = exact_dedup(df.toDF(*own), own[names.index(id_col)], own[names.index(text_col)], keep)
+    return found.where("kept").select(*own).toDF(*names)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

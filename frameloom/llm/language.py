@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from frameloom.llm.util import TEXT_ROWS, held_out, table, text_of, write_table
 
-#: Labelled documents of each language that the model is fitted on, about; the sample is drawn by a hash of the id.
+#: Labelled documents of each language that the model is fitted on, about; the sample is drawn by a hash of id and text.
 SAMPLE_OF_LANGUAGE = 2000
 #: What the model knows at most: words, n-grams of each length, and the longest n-gram. Also bounds the broadcast.
 KNOWN_WORDS, KNOWN_GRAMS, LONGEST_GRAM = 50_000, 20_000, 4
@@ -121,7 +121,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Fit on about SAMPLE_OF_LANGUAGE rows of each language, of those with a text, a language and learn not false.
 
     Rows are counted where they are read and summed by word; only the words that the model knows, at most
-    KNOWN_WORDS, come to the driver. With no such row the model has no language.
+    KNOWN_WORDS, come to the driver. With no such row the model has no language. Rows are drawn by a hash of id and text, so rows of one id, or without one,
+    are drawn like any other; wholly equal rows are drawn together.
     """
     rows = labelled.select(labelled[f"`{id_col}`"].alias("id"), labelled[f"`{text_col}`"].cast("string").alias("content"), labelled[f"`{lang_col}`"].cast("string").alias("lang"), (F.lit(True) if learn is None else learn).alias("learn"))
     rows = rows.where("learn and content is not null and lang is not null")
@@ -130,7 +131,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     if not languages:
         return Model([], {}, [])
     share = F.create_map(*(F.lit(x) for k, v in per.items() for x in (k, min(1.0, SAMPLE_OF_LANGUAGE / v))))
-    drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
+    drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "content", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
     counts = drawn.select("lang", "content").mapInPandas(_counts, "lang string, word string, n long")
     by_word = counts.groupBy("word").agg(F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).alias(f"n{i}") for i, k in enumerate(languages))).cache()
     totals = by_word.agg(*(F.sum(f"n{i}") for i in range(len(languages)))).first()

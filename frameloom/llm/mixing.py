@@ -120,9 +120,9 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def row_key(df: DataFrame, id_col: str, text_col: str, source_col: str):
-    """What tells rows apart; rows of one key are alike and may stand for each other."""
-    texts = [F.coalesce(df[f"`{c}`"].cast("string"), F.lit("\x00")) for c in (id_col, source_col, text_col)]
-    return F.sha2(F.concat_ws("\x1f", *texts), 256)
+    """What tells rows apart; rows of one key are alike and may stand for each other. Each field goes with its length, a null one as a sign, so no two differ in kind only."""
+    texts = [df[f"`{c}`"].cast("string") for c in (id_col, source_col, text_col)]
+    return F.sha2(F.concat(*(F.when(t.isNull(), "-").otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)) for t in texts)), 256)
 
 
 def _pieces(placed: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -93,11 +93,10 @@ class ShardStore:
         Nulls, empty and very long texts and repeated rows are kept as they are; columns that the schema doesn't name are left out, and the schema's
         may have any names. No row adds no run and no version.
         """
-        name, seen = f"runs/{uuid.uuid4().hex}", Observation()
+        name = f"runs/{uuid.uuid4().hex}"
         rows = df.select(*(df[f"`{f.name}`"] for f in self.schema.fields), *([] if arrival is None else [arrival.alias(mark := self._free_name())]))
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        (writer if arrival is None else writer.partitionBy(mark)).parquet(f"{self.path}/{name}")
-        if not seen.get["rows"]:
+        (rows.write if arrival is None else rows.write.partitionBy(mark)).parquet(f"{self.path}/{name}")
+        if self.spark.read.schema(self.schema).parquet(f"{self.path}/{name}").isEmpty():
             self._files.delete(self._at(name), True)
             return 0
         folders = [name] if arrival is None else [f"{name}/{s.getPath().getName()}" for s in self._files.listStatus(self._at(name)) if s.isDirectory()]

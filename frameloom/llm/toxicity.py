@@ -26,7 +26,7 @@ IDENTITY_TERMS = (
     ("immigrant", "refugee", "citizen", "foreigner"),
     ("young", "old", "elderly"),
 )
-#: Labelled rows of each label that the classifier is fitted on, about; drawn by a hash of the id.
+#: Labelled rows of each label that the classifier is fitted on, about; drawn by a hash of id and text.
 SAMPLE_OF_LABEL = 4000
 #: Hashed features; prefixes of words of these lengths are features beside the words.
 FEATURE_BITS, PREFIXES = 19, (3, 4, 5, 6)
@@ -126,12 +126,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     Features are made where the rows are read, and equal rows and swaps are counted before they leave their task; the driver gets the sample's
     feature numbers and each different swap once. Texts that are null count as empty, ties and repeated rows count as often as they occur,
-    and no labelled row, or those of one label only, give a constant score.
+    and no labelled row, or those of one label only, give a constant score. Rows are drawn by a hash of id and text, so rows of one id, or without one,
+    are drawn like any other; wholly equal rows are drawn together.
     """
     rows = labelled.select(labelled[f"`{id_col}`"].alias("id"), text_of(labelled[f"`{text_col}`"]).alias("content"), labelled[f"`{label_col}`"].cast("int").alias("y"), (F.lit(True) if learn is None else learn).alias("learn")).where("learn and y in (0, 1)")
     per = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, min(1.0, SAMPLE_OF_LABEL / per.get(1, 1))).otherwise(min(1.0, SAMPLE_OF_LABEL / per.get(0, 1)))
-    drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("toxicity")), F.lit(1 << 30)) < share * float(1 << 30)).select("content", "y")
+    drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "content", F.lit("toxicity")), F.lit(1 << 30)) < share * float(1 << 30)).select("content", "y")
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
@@ -182,7 +183,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sampled_labels(labels: DataFrame) -> DataFrame:
-    """The labels that fit would draw, drawn before their texts are looked up: a table of bounded size."""
+    """Labels that are drawn before their texts are looked up: a table of bounded size. An id's equal labels count once, null ids have no text."""
+    labels = labels.where("doc_id is not null").dropDuplicates(["doc_id", "toxic"])
     per = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
     share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE_OF_LABEL / per.get(1, 1))).otherwise(min(1.0, SAMPLE_OF_LABEL / per.get(0, 1)))
     drawn = labels.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("labels")), F.lit(1 << 30)) < share * float(1 << 30))

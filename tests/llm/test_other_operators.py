@@ -341,3 +341,23 @@ def test_pipeline(spark, tmp_path):
     assert counts[:3] == [84, 81, 61] and counts[3] in (60, 61)
     pieces = corpus_pipeline.run(spark, path)
     assert pieces.count() > 0 and pieces.agg({"offset": "max"}).first()[0] < 2048
+
+
+def test_append_leaves_the_session_fit_for_training(spark, tmp_path):
+    from frameloom.operators import clusters
+
+    df = spark.createDataFrame([(i, [float(i % 3), 1.0], int(i % 3 == 0)) for i in range(60)], "i int, f array<double>, y int")
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/store", df.schema)
+    assert store.append(df) == 1 and store.append(df.limit(0)) == 0 and store.append(df.limit(0), F.col("i")) == 0 and store.append(df, F.col("i") % 2) == 2
+    assert store.read().count() == 120
+    model, accuracy = clusters.train_keep_best(df, df, "f", "y", str(tmp_path / "model"), rounds=2)
+    assert accuracy > 0.9 and not (tmp_path / "model-draft").exists()
+
+
+def test_kept_rows_have_the_callers_columns(spark):
+    from frameloom.llm import exact_dedup
+
+    rows = [("mine1", 1, "same", True), ("mine2", 2, "same", False), (None, 3, None, None)]
+    df = spark.createDataFrame(rows, "keep_id string, doc_id long, text string, kept boolean")
+    out = exact_dedup.keep_one(df)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=str) == sorted(rows[1:], key=str)

@@ -57,7 +57,7 @@ def mixed(docs):
     """(id, text) of each document and pass."""
     out, streams = [], {}
     for i, (text, source) in docs.items():
-        key = hashlib.sha256("\x1f".join((str(i), source, text)).encode()).hexdigest()
+        key = hashlib.sha256("".join(f"{len(x)}:{x}" for x in (str(i), source, text)).encode()).hexdigest()
         h = xxh64_intdigest(struct.pack("<i", 11), xxh64_intdigest(key.encode(), 42))
         h = h - (1 << 64) if h >> 63 else h
         streams.setdefault(source, []).append((h % 16, h, i, text.split()))

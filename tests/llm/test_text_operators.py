@@ -540,3 +540,29 @@ def test_tokenizer_matches_the_whole_one():
     for _ in range(2000):
         text = "".join(draw.choice(letters) for _ in range(draw.randint(0, 25)))
         assert np.frombuffer(own(text), "<u4").tolist() == encoder.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("ids", [[None], [5], [None, 5]])
+def test_fits_draw_rows_of_one_id_or_none_like_others(spark, monkeypatch, ids):
+    monkeypatch.setattr(language, "SAMPLE_OF_LANGUAGE", 300)
+    monkeypatch.setattr(toxicity, "SAMPLE_OF_LABEL", 300)
+    draw = random.Random(1)
+    say = lambda words: " ".join(draw.choice(words) for _ in range(12))
+    own = {"en": [f"the{c}" for c in "abcdefgh"], "de": [f"der{c}" for c in "abcdefgh"]}
+    rows = [(ids[i % len(ids)], say(own[k]) + (" scum" if bad else ""), k, int(bad)) for i in range(3000) for k in own for bad in [i % 2 == 0]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = language.fit(df)
+    found = spark.createDataFrame([(1, "thea theb"), (2, "dera derb")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language.identify(found, model).orderBy("doc_id").collect()] == ["en", "de"]
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda rows, labels, pairs: seen.append(np.bincount(labels)))
+    toxicity.fit(df)
+    assert all(200 < n < 400 for n in seen[0])
+
+
+def test_row_keys_tell_fields_and_nulls_apart(spark):
+    rows = [(1, "b\x1fc d e f", "a"), (1, "c d e f", "a\x1fb"), (1, None, "-"), (1, "-", None), (1, "\x00", "a"), (1, None, "a"), (1, "", "a"), (11, "a", "b"), (1, "a", "1:b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert df.select(mixing.row_key(df, "doc_id", "text", "source")).distinct().count() == len(rows)
+    got = {(r["text"], r["source"]) for r in mixing.mixed_documents(df, block=1).collect()}
+    assert got <= {(t, s) for _, t, s in rows} and {("b\x1fc d e f", "a"), ("c d e f", "a\x1fb")} <= got
