@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents of equal text, the one with the largest id."""
-    return exact_dedup.exact_dedup(docs).where("kept").select(*docs.columns)
+    return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

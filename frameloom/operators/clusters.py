@@ -77,17 +77,24 @@ def cluster_colours(df: DataFrame, keys: list[str], channels: list[str]) -> Data
 
 
 def train_keep_best(train: DataFrame, val: DataFrame, array_col: str, label_col: str, path: str, rounds: int = 5) -> tuple[LogisticRegressionModel, float]:
-    """Fit with less and less regularisation; the model of the best accuracy on val is saved at path and returned with it."""
+    """Fit with less and less regularisation; the model of the best accuracy on val is saved at path and returned with it.
+
+    A model is scored as it is read back from a draft beside path: a fresh one holds its training summary, and by that the session, which may have
+    parts that can't be sent to executors.
+    """
     as_vector = lambda d: d.select(array_to_vector(F.col(array_col)).alias("features"), F.col(label_col).cast("double").alias("label"))
     score, best, top = MulticlassClassificationEvaluator(metricName="accuracy"), None, -1.0
     fit_on, judged_on = as_vector(train).persist(), as_vector(val).persist()
     for k in range(rounds):
-        model = LogisticRegression(regParam=0.1 / 10**k, maxIter=50).fit(fit_on)
+        LogisticRegression(regParam=0.1 / 10**k, maxIter=50).fit(fit_on).write().overwrite().save(f"{path}-draft")
+        model = LogisticRegressionModel.load(f"{path}-draft")
         accuracy = score.evaluate(model.transform(judged_on))
         if accuracy > top:
             best, top = model, accuracy
             model.write().overwrite().save(path)
     fit_on.unpersist(), judged_on.unpersist()
+    draft = train.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}-draft")
+    draft.getFileSystem(train.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(draft, True)
     return best, top
 
 
