@@ -7,6 +7,7 @@ import math
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,12 @@ def bucket_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind, query = rows.schema["id"].dataType.simpleString(), _features_sql(longest, buckets)
 
     def crc(column: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.encode()) for x in column.to_pylist()], pa.uint32())
+        """CRC-32 of each text's UTF-8 bytes, cut from the column's buffer: a Python string for each feature would cost more than all else."""
+        found = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())
+        _, ends, body = found.buffers()
+        at = np.frombuffer(ends, np.int64)[found.offset : found.offset + len(found) + 1].tolist()
+        raw = body.to_pybytes() if body is not None else b""
+        return pa.array(map(zlib.crc32, map(raw.__getitem__, map(slice, at, at[1:]))), pa.uint32(), size=len(found))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
@@ -147,8 +153,10 @@ def resample(
     """
     source = write_table(bucket_counts(df, id_col, text_col, longest, buckets), "bucket-counts")
     of_target = bucket_counts(target.select(F.lit(0).alias("id"), target[f"`{target_text_col}`"].alias("text")), "id", "text", longest, buckets)
-    out = draw(weights(source, bucket_gains(source, of_target, buckets)), least_words, percent, seed)
+    weighed = write_table(weights(source, bucket_gains(source, of_target, buckets)).drop("buckets", "times"), "weights")  # a range partitioning reads its input twice
     forget(source)
+    out = draw(weighed, least_words, percent, seed)
+    forget(weighed)
     return out.withColumnRenamed("id", id_col)
 
 
