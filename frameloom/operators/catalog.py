@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions import text as T
+from frameloom.operators import substring
 
 SNIPPED = "   ... snipped"
 
@@ -23,8 +24,8 @@ def with_video(issues: DataFrame, videos: DataFrame, issue: str, video: str) ->
 
 
 def titles_with(df: DataFrame, title: str, words: DataFrame, word: str) -> DataFrame:
-    """Rows whose title contains a word, once for each such word. words is a short list that the caller gives."""
-    return df.join(F.broadcast(words), F.contains(F.col(title), F.col(word)))
+    """Rows whose title contains a word, once for each such word, however many words there are."""
+    return substring.texts_with(df, title, words, word)
 
 
 def titles_without(df: DataFrame, title: str, word: str) -> DataFrame:

@@ -145,6 +145,16 @@ def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.titles_with(parts, "p_name", words, "word").select("p_partkey", "p_name", "word")
 
 
+@query("""
+SELECT word, count(*) AS texts, min(doc_id) AS first FROM documents JOIN (SELECT DISTINCT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word FROM benchmark) w ON contains(text, word) GROUP BY word
+""")
+def words_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many documents each word of the benchmark's texts occurs, as a part of any text."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word")).distinct()
+    found = catalog.titles_with(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", words, "word")
+    return found.groupBy("word").agg(F.count("*").alias("texts"), F.min("doc_id").alias("first"))
+
+
 @query("SELECT doc_id, CASE WHEN toxic = 1 THEN 'yes' ELSE 'no' END AS label FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en')")
 def file_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("/cache/frames/"), F.col("doc_id").cast("string"))
