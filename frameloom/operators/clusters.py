@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -12,7 +10,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CLUSTERS, COMPONENTS, RESTARTS, SEED = 5, 4, 10, 42
+from frameloom.operators.kmeans import CLUSTERS, RESTARTS, SEED, grouped_kmeans
+
+COMPONENTS = 4
 
 
 def pca_project(df: DataFrame, array_col: str, components: int = COMPONENTS) -> DataFrame:
@@ -34,41 +34,13 @@ def kmeans(df: DataFrame, array_col: str, clusters: int = CLUSTERS, restarts: in
     return out
 
 
-def issue_labels(x: np.ndarray, clusters: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED) -> np.ndarray:
-    """Labels of the rows of x: of several seeds the fit of least cost, numbered by centre; no more clusters than different rows."""
-    k, best = min(clusters, len(np.unique(x, axis=0))), None
-    for i in range(restarts):
-        draw = np.random.default_rng(seed + i)
-        centres = x[draw.integers(len(x))][None]
-        while len(centres) < k:  # each next centre by its squared distance to those before
-            far = ((x[:, None] - centres) ** 2).sum(axis=2).min(axis=1)
-            centres = np.vstack([centres, x[draw.choice(len(x), p=far / far.sum())]])
-        for _ in range(300):
-            label = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
-            moved = np.array([x[label == c].mean(axis=0) if (label == c).any() else centres[c] for c in range(k)])
-            if np.array_equal(moved, centres):
-                break
-            centres = moved
-        cost = ((x - centres[label]) ** 2).sum()
-        if best is None or cost < best[0] - 1e-12:
-            best = (cost, label, centres)
-    order = sorted(range(k), key=lambda c: best[2][c].tolist())
-    return np.array([order.index(c) for c in best[1]])
-
-
 def issue_clusters(df: DataFrame, keys: list[str], order: str, array_col: str, clusters: int = CLUSTERS) -> DataFrame:
-    """keys, order, cluster_id: each issue's rows in min(clusters, rows) clusters of their own.
+    """keys, order, cluster_id: each issue's rows in min(clusters, different rows) clusters of their own.
 
-    An issue is one video's frames, a few numbers for each, so it is one pandas frame. The components that are kept are as many as the
-    numbers, so a projection on them would only turn the points; it is left out.
+    All issues and restarts are fitted together. The components that are kept are as many as the numbers, so a projection on them would only turn the points; it is
+    left out.
     """
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in (*keys, order))
-
-    def labelled(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        return rows[[*keys, order]].assign(cluster_id=issue_labels(np.array(rows[array_col].tolist(), float), clusters))
-
-    return df.select(*keys, order, array_col).groupBy(*keys).applyInPandas(labelled, f"{kinds}, cluster_id int")
+    return grouped_kmeans(df, keys, order, array_col, clusters, RESTARTS, SEED)
 
 
 def cluster_colours(df: DataFrame, keys: list[str], channels: list[str]) -> DataFrame:

@@ -261,6 +261,24 @@ def issue_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("cluster_id").alias("clusters"), F.sum("vec_id").alias("ids"))
 
 
+@query("""
+WITH points AS (SELECT p_size % 5 AS issue, p_partkey, p_partkey % 4 AS spot, p_partkey % 4 * 1000.0 + p_size % 7 AS a, (p_partkey % 4) * (p_partkey % 4) % 3 * 500.0 + p_partkey // 4 % 5 AS b FROM part),
+means AS (SELECT issue, spot, count(*) AS n, avg(a) AS ma, avg(b) AS mb, min(p_partkey) AS first FROM points GROUP BY issue, spot),
+costs AS (SELECT issue, spot, sum((a - ma) * (a - ma) + (b - mb) * (b - mb)) AS cost FROM points JOIN means USING (issue, spot) GROUP BY issue, spot)
+SELECT issue::BIGINT AS issue, row_number() OVER (PARTITION BY issue ORDER BY ma, mb) - 1 AS cluster_id, n, first, round(ma, 6) AS a, round(mb, 6) AS b, round(cost, 2) AS cost FROM means JOIN costs USING (issue, spot)
+""")
+def grouped_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts around four spots of each issue, in four clusters: their numbers, sizes, centres and costs. The spots are far apart, so SQL knows the best clusters."""
+    spot = F.col("p_partkey") % 4
+    a, b = spot * 1000.0 + F.col("p_size") % 7, spot * spot % 3 * 500.0 + F.floor(F.col("p_partkey") / 4) % 5
+    points = table(spark, sf_dir, "part").select((F.col("p_size") % 5).cast("long").alias("issue"), "p_partkey", F.array(a, b.cast("double")).alias("features"))
+    found = points.join(clusters.issue_clusters(points, ["issue"], "p_partkey", "features", 4), ["issue", "p_partkey"]).select("issue", "cluster_id", "p_partkey", F.col("features")[0].alias("a"), F.col("features")[1].alias("b"))
+    spread = lambda c: F.sum(F.col(c) * F.col(c)) - F.sum(c) * F.sum(c) / F.count("*")
+    return found.groupBy("issue", F.col("cluster_id").cast("long").alias("cluster_id")).agg(
+        F.count("*").alias("n"), F.min("p_partkey").alias("first"), F.round(F.avg("a"), 6).alias("a"), F.round(F.avg("b"), 6).alias("b"), F.round(spread("a") + spread("b"), 2).alias("cost")
+    )
+
+
 @query()
 def colour_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
