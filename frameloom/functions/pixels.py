@@ -12,19 +12,62 @@ def gray(bgr: np.ndarray) -> np.ndarray:
     return ((bgr.astype(np.int32) @ np.array([114, 587, 299], np.int32) + 500) // 1000).astype(np.uint8)
 
 
+def _descaled(x: np.ndarray, bits: int) -> np.ndarray:
+    """x / 2 ** bits, rounded half up."""
+    return (x + (1 << (bits - 1))) >> bits
+
+
+# 12 bits of fraction for quotients of colours; for L, a, b also 3 bits more than 8 for linear light and 15 for cube roots, the matrix and white of sRGB under D65.
+_HSV_BITS, _LAB_BITS, _GAMMA_BITS, _ROOT_BITS = 12, 12, 3, 15
+_TO_XYZ = np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]])
+_WHITE = np.array([0.950456, 1.0, 1.088754])
+
+
+def _quotients(whole: int) -> np.ndarray:
+    """whole / i with _HSV_BITS bits of fraction, for i of 8 bits; 0 for 0."""
+    return np.append(0, np.rint((whole << _HSV_BITS) / np.arange(1.0, 256))).astype(np.int64)
+
+
+_SHARES, _SIXTHS = _quotients(255), np.append(0, np.rint((180 << _HSV_BITS) / (6 * np.arange(1.0, 256)))).astype(np.int64)
+
+
+def hsv(bgr: np.ndarray) -> np.ndarray:
+    """Hue (0 ... 179), saturation and value (0 ... 255) in fixed point: quotients come from tables."""
+    b, g, r = (bgr[..., k].astype(np.int64) for k in range(3))
+    value, low = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
+    gap = value - low
+    turn = np.where(value == r, g - b, np.where(value == g, b - r + 2 * gap, r - g + 4 * gap))
+    hue = _descaled(turn * _SIXTHS[gap], _HSV_BITS)
+    return np.stack([np.where(hue < 0, hue + 180, hue), _descaled(gap * _SHARES[value], _HSV_BITS), value], axis=-1).astype(np.uint8)
+
+
 def saturation_value(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    value, low = bgr.max(axis=2).astype(float), bgr.min(axis=2).astype(float)
-    return np.round(np.divide(255 * (value - low), value, out=np.zeros_like(value), where=value > 0)), value
+    found = hsv(bgr).astype(float)
+    return found[..., 1], found[..., 2]
+
+
+def _light_table() -> np.ndarray:
+    """Linear light of each byte, 8 + _GAMMA_BITS bits."""
+    x = np.arange(256) / 255
+    return np.rint(255 * (1 << _GAMMA_BITS) * np.where(x <= 0.04045, x / 12.92, ((x + 0.055) / 1.055) ** 2.4)).astype(np.int64)
+
+
+def _root_table() -> np.ndarray:
+    """The cube root of each linear light, straight near zero, with _ROOT_BITS bits of fraction."""
+    x = np.arange(256 * 3 // 2 << _GAMMA_BITS) / (255 * (1 << _GAMMA_BITS))
+    return np.rint((1 << _ROOT_BITS) * np.where(x < 0.008856, x * 7.787 + 16 / 116, np.cbrt(x))).astype(np.int64)
+
+
+_LIGHT, _ROOT = _light_table(), _root_table()
+_XYZ = np.rint(_TO_XYZ / _WHITE[:, None] * (1 << _LAB_BITS)).astype(np.int64)
 
 
 def lab(bgr: np.ndarray) -> np.ndarray:
-    """L scaled to 0 ... 255, a and b shifted by 128, from sRGB under D65."""
-    x = bgr[..., ::-1] / 255.0
-    linear = np.where(x > 0.04045, ((x + 0.055) / 1.055) ** 2.4, x / 12.92)
-    xyz = linear @ np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]]).T / np.array([0.950456, 1.0, 1.088754])
-    f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
-    light = np.where(xyz[..., 1] > 0.008856, 116 * f[..., 1] - 16, 903.3 * xyz[..., 1])
-    return np.round(np.stack([light * 255 / 100, 500 * (f[..., 0] - f[..., 1]) + 128, 200 * (f[..., 1] - f[..., 2]) + 128], axis=-1))
+    """L scaled to 0 ... 255, a and b shifted by 128, from sRGB under D65, in fixed point: light and roots come from tables."""
+    x, y, z = np.moveaxis(_ROOT[_descaled(_LIGHT[bgr[..., ::-1]] @ _XYZ.T, _LAB_BITS)], -1, 0)
+    scale, shift = (116 * 255 + 50) // 100, (16 * 255 * (1 << _ROOT_BITS) + 50) // 100
+    parts = [scale * y - shift, 500 * (x - y) + (128 << _ROOT_BITS), 200 * (y - z) + (128 << _ROOT_BITS)]
+    return np.clip(np.stack([_descaled(p, _ROOT_BITS) for p in parts], axis=-1), 0, 255).astype(float)
 
 
 def filtered(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
@@ -150,17 +193,30 @@ def bordered(image: np.ndarray, rows: int, columns: int, ground: int = 255) -> n
     return np.pad(image, [(rows, rows), (columns, columns)] + [(0, 0)] * (image.ndim - 2), constant_values=ground)
 
 
+# Fixed value: bits of a tap's weight.
+_TAP_BITS = 11
+
+
+def _taps(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of m new places the two old ones of n beside it and their weights; pixel centres are aligned, and places outside take the edge."""
+    at = ((np.arange(m) + 0.5) * (n / m) - 0.5).astype(np.float32)
+    low = np.floor(at).astype(np.int64)
+    part = np.where((low < 0) | (low >= n - 1), np.float32(0), at - low)
+    low = np.clip(low, 0, n - 1)
+    one = np.float32(1 << _TAP_BITS)
+    return low, np.minimum(low + 1, n - 1), np.rint((1 - part) * one).astype(np.int64), np.rint(part * one).astype(np.int64)
+
+
 def resized(image: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Bilinear, pixel centres aligned."""
-    def taps(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
-        low = np.floor(at).astype(int)
-        return low, np.minimum(low + 1, n - 1), at - low
-
-    (y0, y1, fy), (x0, x1, fx) = taps(image.shape[0], height), taps(image.shape[1], width)
-    x = image.astype(float)
-    rows = x[y0] * (1 - fy)[:, None] + x[y1] * fy[:, None]
-    return np.floor(rows[:, x0] * (1 - fx) + rows[:, x1] * fx + 0.5).astype(np.uint8)
+    """Bilinear in fixed point, gray or in channels: taps of _TAP_BITS bits along rows, then down columns, with four bits dropped between and the sum rounded."""
+    if image.shape[:2] == (height, width):
+        return image.copy()
+    (y0, y1, a0, a1), (x0, x1, b0, b1) = _taps(image.shape[0], height), _taps(image.shape[1], width)
+    side = lambda w: w[:, None] if image.ndim == 3 else w
+    x = image.astype(np.int64)
+    rows = (x[:, x0] * side(b0) + x[:, x1] * side(b1)) >> 4
+    down = lambda w: w.reshape(-1, *[1] * (image.ndim - 1))
+    return (((rows[y0] * down(a0) >> 16) + (rows[y1] * down(a1) >> 16) + 2) >> 2).astype(np.uint8)
 
 
 def png(image: np.ndarray) -> bytes:

@@ -222,3 +222,33 @@ def test_read_labelled(spark, tmp_path):
         (tmp_path / split / label).mkdir(parents=True)
         (tmp_path / split / label / "a.png").write_bytes(b"x")
     assert {(r["split"], r["label"], r["name"]) for r in read_labelled(spark, str(tmp_path)).collect()} == {("train", "yes", "a.png"), ("val", "no", "a.png")}
+
+
+def test_colours_in_fixed_point_by_hand():
+    """Worked out by hand: 12-bit quotients 255 / v and 180 / (6 * span), halves up; light, roots and the matrix in 11, 15 and 12 bits."""
+    given = np.array([[[10, 20, 30], [0, 0, 255], [0, 255, 0], [255, 0, 0], [200, 100, 50], [7, 7, 7], [30, 0, 29]]], np.uint8)
+    # 10, 20, 30: span 20 of 30: 255 / 30 = 34816, 20 * 34816 + 2048 >> 12 = 170; 180 / 120 = 6144, 10 * 6144 + 2048 >> 12 = 15
+    # 30, 0, 29: blue is the value: red less green and 4 spans, 29 + 120 = 149; 180 / 180 = 4096, so 149
+    assert P.hsv(given)[0].tolist() == [[15, 170, 30], [0, 255, 255], [60, 255, 255], [120, 255, 255], [110, 191, 200], [0, 0, 7], [149, 255, 30]]
+    # red: light 2040 times 1777, 871 and 73 of 4096 is 885, 434 and 36, whose roots are 24804, 19556 and 8534 of 32768
+    light = P._descaled(P._LIGHT[np.array([255, 0, 0])] @ P._XYZ.T, 12)
+    assert light.tolist() == [885, 434, 36] and P._XYZ[:, 0].tolist() == [1777, 871, 73]
+    roots = [round(32768 * (885 / 2040) ** (1 / 3)), round(32768 * (434 / 2040) ** (1 / 3)), round(32768 * (36 / 2040) ** (1 / 3))]
+    by_hand = [(296 * roots[1] - 1336934 + 16384) >> 15, (500 * (roots[0] - roots[1]) + (128 << 15) + 16384) >> 15, (200 * (roots[1] - roots[2]) + (128 << 15) + 16384) >> 15]
+    assert P._ROOT[light].tolist() == roots and P.lab(given)[0, 1].tolist() == by_hand == [136, 208, 195]
+    assert P.lab(np.array([[[0, 0, 0], [255, 255, 255], [128, 128, 128]]], np.uint8))[0].tolist() == [[0, 128, 128], [255, 128, 128], [137, 128, 128]]
+
+
+def test_resizing_in_fixed_point_by_hand():
+    # two to four: taps 2048 | 1536 512 | 512 1536 | 2048; 0 * 1536 + 100 * 512 = 51200, >> 4 = 3200; 3200 * 2048 >> 16 = 100, + 2 >> 2 = 25
+    assert P.resized(np.array([[0, 100]], np.uint8), 4, 1).tolist() == [[0, 25, 75, 100]]
+    assert P.resized(np.array([[0, 100], [200, 50]], np.uint8), 4, 4).tolist() == [[0, 25, 75, 100], [50, 59, 78, 88], [150, 128, 84, 63], [200, 163, 88, 50]]
+    assert P.resized(np.array([[10, 20, 30, 40]], np.uint8), 2, 1).tolist() == [[15, 35]]
+    colour = np.arange(36, dtype=np.uint8).reshape(3, 4, 3)
+    assert all(np.array_equal(P.resized(colour, 6, 5)[..., k], P.resized(colour[..., k], 6, 5)) for k in range(3))
+
+
+def test_blur_in_fixed_point_by_hand():
+    spot = np.zeros((3, 3), np.uint8)
+    spot[1, 1] = 10  # 10 * 4 / 16 = 2.5, halves up; edges mirror without repeating: 2 * 10 * 2 / 16 = 2.5; corners 4 * 10 / 16 = 2.5
+    assert np.floor(P.filtered(spot, P.BLUR) + 0.5).tolist() == [[3, 3, 3], [3, 3, 3], [3, 3, 3]]
