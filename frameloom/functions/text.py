@@ -32,10 +32,13 @@ def label_stem(label: Column) -> Column:
     return F.substring(label, F.lit(1), F.greatest(F.length(label) - 2, F.lit(0)))
 
 
+# Fixed value: what a log line begins with, date, time with milliseconds, and a level.
+LOG_STAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3} - \w+ - "
+
+
 def log_message(line: Column) -> Column:
-    """A log line without its stamp: date, time with milliseconds, and a level, each before " - "."""
-    stamp = r"\d{4}(-\d{2}){2} (\d{2}:){2}\d{2},\d{3}"
-    return F.regexp_replace(line, rf"^{stamp} - \w+ - ", "")
+    """A log line without its stamp."""
+    return F.regexp_replace(line, LOG_STAMP, "")
 
 
 def frame_number(line: Column) -> Column:
@@ -87,14 +90,28 @@ def axis_interval(labels: Column) -> Column:
     return F.greatest(F.lit(1).cast("long"), F.floor(labels / 10))
 
 
+# Fixed value: the link to the root.
+ROOT_LINK = '<a href="/">根目录</a>'
+
+
 def breadcrumb_html(path: Column) -> Column:
     """The parts of a relative path as links below the root; the last is the page itself."""
-    link = F.concat(F.lit('<a href="/">'), F.lit("根目录"), F.lit("</a>"))
     item = lambda p: F.concat(
         F.lit('\n<span class="breadcrumb-sep">/</span>\n'),
         F.when(p["link"].isNull(), F.concat(F.lit('<span class="breadcrumb-current">'), p["name"], F.lit("</span>"))).otherwise(F.concat(F.lit('<a href="'), p["link"], F.lit('">'), p["name"], F.lit("</a>"))),
     )
-    return F.concat(link, F.array_join(F.transform(breadcrumb(path), item), ""))
+    return F.concat(F.lit(ROOT_LINK), F.array_join(F.transform(breadcrumb(path), item), ""))
+
+
+def filled(template: str, values: dict[str, Column]) -> Column:
+    """A template with each placeholder replaced by its value, all at once: a value that holds a placeholder's text stays as it is. Null values are empty."""
+    names = sorted(values, key=len, reverse=True)
+    pieces, rest = [], template
+    while rest:
+        at, name = min(((i, n) for n in names if (i := rest.find(n)) >= 0), default=(len(rest), ""), key=lambda x: (x[0], -len(x[1])))
+        pieces += [F.lit(rest[:at])] * (at > 0) + ([F.coalesce(values[name].cast("string"), F.lit(""))] if name else [])
+        rest = rest[at + len(name) :]
+    return F.concat(F.lit(""), *pieces)
 
 
 def breadcrumb(path: Column) -> Column:

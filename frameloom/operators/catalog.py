@@ -51,11 +51,17 @@ def listing_counts(df: DataFrame, keys: list[str], is_dir: str, has_parent: bool
 KINDS = {True: ("file-type-dir", "D", "打开"), False: ("file-type-file", "F", "查看")}
 
 
+# Fixed values in it: the markup of a row.
 def _cells(href: Column, kind: Column, letter: Column, shown: Column, size: Column, stamp: Column, action: Column) -> Column:
     texts = ['<tr><td class="col-name"><a href="', href, '" class="file-link"><span class="file-type ', kind, '">', letter, "</span><span>", shown, '</span></a></td><td class="col-size">', size, '</td><td class="col-mtime">', stamp, '</td><td class="col-action">', action, "</td></tr>"]
     return F.concat(*(F.lit(x) if isinstance(x, str) else x for x in texts))
 
 
+def listing_parent() -> Column:
+    """The row that leads to the folder above."""
+    return _cells(*map(F.lit, ("../", *KINDS[True][:2], "..", "-", "-", "")))
+
+
 def listing_rows(df: DataFrame, keys: list[str], name: str, is_dir: str, size: str, time: str, has_parent: Column | None = None) -> DataFrame:
     """keys, html: a folder's listing as table rows, the parent first if it has one, then directories, then files, by name in any case.
 
@@ -67,12 +73,34 @@ def listing_rows(df: DataFrame, keys: list[str], name: str, is_dir: str, size: s
     stamp = F.when(F.col(is_dir), "-").otherwise(F.coalesce(F.date_format(F.col(time), "yyyy-MM-dd HH:mm"), F.lit("-")))
     action = F.concat(F.lit('<a href="'), href, F.lit('" class="btn btn-text">'), of(2), F.lit("</a>"))
     item = F.struct((~F.col(is_dir)).alias("file"), F.lower(F.col(name)).alias("low"), F.col(name).alias("name"), _cells(href, of(0), of(1), T.html_escape(F.col(name)), shown, stamp, action).alias("row"))
-    up = _cells(*map(F.lit, ("../", *KINDS[True][:2], "..", "-", "-", "")))
+    up = listing_parent()
     rows = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["row"])
     parent = F.lit(False) if has_parent is None else F.bool_or(has_parent)
     return df.groupBy(*keys).agg(F.array_join(F.concat(F.when(parent, F.array(up)).otherwise(F.array().cast("array<string>")), rows), "\n").alias("html"))
 
 
+# The placeholders of an index page, and its title and description with and without a folder's name.
+TITLE, DESCRIPTION, BREADCRUMB, FILE_ROWS, TOTAL_COUNT, DIR_COUNT, FILE_COUNT = "__TITLE__", "__DESCRIPTION__", "__BREADCRUMB__", "__FILE_ROWS__", "__TOTAL_COUNT__", "__DIR_COUNT__", "__FILE_COUNT__"
+PAGE_TITLE, PAGE_TITLE_OF, ROOT_DESCRIPTION, DESCRIPTION_OF = "文件索引", "文件索引 — ", "根目录", "目录 "
+
+
+def index_pages(folders: DataFrame, entries: DataFrame, folder: str, name: str, is_dir: str, size: str, time: str, template: str) -> DataFrame:
+    """folder, html: the index page of each folder (a path relative to the root, which is ""), a template whose placeholders are filled in.
+
+    entries are the folders' files and folders by the folder that they are in, as read_listing tells them. A folder without entries has a page too; all but the root have a row for the parent.
+    """
+    parent = F.col(folder) != ""
+    rows = listing_rows(entries, [folder], name, is_dir, size, time, parent)
+    counts = listing_counts(entries, [folder], is_dir, False)
+    alone = listing_parent()
+    told = folders.select(folder).distinct().join(rows, folder, "left").join(counts, folder, "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    return told.select(folder, T.filled(template, {
+        TITLE: F.when(parent, F.concat(F.lit(PAGE_TITLE_OF), folder)).otherwise(PAGE_TITLE), DESCRIPTION: F.when(parent, F.concat(F.lit(DESCRIPTION_OF), folder)).otherwise(ROOT_DESCRIPTION),
+        BREADCRUMB: T.breadcrumb_html(F.col(folder)), FILE_ROWS: F.coalesce("html", F.when(parent, alone)), TOTAL_COUNT: n("total") + F.when(parent, 1).otherwise(0), DIR_COUNT: n("dirs"), FILE_COUNT: n("files"),
+    }).alias("html"))
+
+
 def review_counts(df: DataFrame, keys: list[str], low_quality: Column, deleted: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(low_quality).alias("synthesized"), F.count_if(deleted).alias("deleted"))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.functions import text
 from frameloom.operators import catalog, clusters, layout, records
 from frameloom.plans.score_queries import r6
+from frameloom.sources import keyed_files, paged, scratch
 from frameloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -314,6 +317,7 @@ def issue_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.with_video(table(spark, sf_dir, "supplier"), nations, "s_nationkey", "n_name").select("s_suppkey", "s_nationkey", "n_name")
 
 
+# The markup of a listing's rows.
 _ROW = """'<tr><td class="col-name"><a href="' || href || '" class="file-link"><span class="file-type ' || CASE WHEN d THEN 'file-type-dir">D' ELSE 'file-type-file">F' END || '</span><span>' || name || '</span></a></td><td class="col-size">' || size || '</td><td class="col-mtime">' || stamp || '</td><td class="col-action"><a href="' || href || '" class="btn btn-text">' || CASE WHEN d THEN '打开' ELSE '查看' END || '</a></td></tr>'"""
 _UP = '<tr><td class="col-name"><a href="../" class="file-link"><span class="file-type file-type-dir">D</span><span>..</span></a></td><td class="col-size">-</td><td class="col-mtime">-</td><td class="col-action"></td></tr>'
 
@@ -329,6 +333,48 @@ def listing_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.listing_rows(rows, ["n_regionkey"], "name", "is_dir", "size", "mtime", F.col("n_regionkey") > 0)
 
 
+_TEMPLATE = "<h1>__TITLE__</h1><p>__DESCRIPTION__</p>__BREADCRUMB__<table>__FILE_ROWS__</table>__TOTAL_COUNT__/__DIR_COUNT__/__FILE_COUNT__"
+
+
+@query(f"""
+WITH entries AS (SELECT 'r' || n_regionkey AS folder, n_name AS name, n_nationkey % 4 = 1 AS d, n_nationkey * 40 AS bytes FROM nation WHERE n_regionkey <> 4 UNION ALL SELECT '', 'r' || r_regionkey, true, NULL FROM region),
+cells AS (SELECT folder, name, d, name || CASE WHEN d THEN '/' ELSE '' END AS href, CASE WHEN d THEN '-' ELSE bytes || ' B' END AS size, CASE WHEN d THEN '-' ELSE '2024-01-02 03:04' END AS stamp FROM entries),
+listed AS (SELECT folder, string_agg({_ROW}, chr(10) ORDER BY d DESC, lower(name), name) AS rows, count(*) FILTER (d) AS dirs, count(*) FILTER (NOT d) AS files FROM cells GROUP BY folder),
+folders AS (SELECT '' AS folder UNION ALL SELECT 'r' || r_regionkey FROM region)
+SELECT folder, '<h1>文件索引' || CASE WHEN folder <> '' THEN ' — ' || folder ELSE '' END || '</h1><p>' || CASE WHEN folder <> '' THEN '目录 ' || folder ELSE '根目录' END || '</p><a href="/">根目录</a>'
+  || CASE WHEN folder <> '' THEN chr(10) || '<span class="breadcrumb-sep">/</span>' || chr(10) || '<span class="breadcrumb-current">' || folder || '</span>' ELSE '' END
+  || '<table>' || CASE WHEN folder <> '' THEN '{_UP}' || CASE WHEN rows IS NULL THEN '' ELSE chr(10) END ELSE '' END || coalesce(rows, '') || '</table>'
+  || (coalesce(dirs + files, 0) + CASE WHEN folder <> '' THEN 1 ELSE 0 END) || '/' || coalesce(dirs, 0) || '/' || coalesce(files, 0) AS html
+FROM folders LEFT JOIN listed USING (folder)
+""")
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index pages of a root with a folder for each region and, but for one, files and folders for its nations; written under their names and read back."""
+    region, nation = (F.concat(F.lit("r"), F.col(c).cast("string")) for c in ("r_regionkey", "n_regionkey"))
+    none = [F.lit(None).cast(k).alias(n) for k, n in (("long", "size"), ("timestamp", "mtime"))]
+    folders = table(spark, sf_dir, "region").select(region.alias("folder"))
+    inside = table(spark, sf_dir, "nation").where("n_regionkey <> 4").select(
+        nation.alias("folder"), F.col("n_name").alias("name"), (F.col("n_nationkey") % 4 == 1).alias("is_dir"), (F.col("n_nationkey") * 40).cast("long").alias("size"), F.lit("2024-01-02 03:04:05").cast("timestamp").alias("mtime")
+    )
+    entries = inside.unionByName(folders.select(F.lit("").alias("folder"), F.col("folder").alias("name"), F.lit(True).alias("is_dir"), *none))
+    pages = catalog.index_pages(folders.unionByName(spark.createDataFrame([("",)], "folder string")), entries, "folder", "name", "is_dir", "size", "mtime", _TEMPLATE)
+    root = f"{scratch.shared_folder(spark)}/index-pages-{uuid.uuid4().hex}"
+    keyed_files.write_files(pages.select(F.concat(F.when(F.col("folder") == "", "").otherwise(F.concat("folder", F.lit("/"))), F.lit("index.html")).alias("name"), "html"), "name", "html", root)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.html").load(root)
+    return found.select(F.regexp_replace(F.element_at(F.split("path", "/index-pages-[0-9a-f]+/"), -1), "/?index.html$", "").alias("folder"), F.col("content").cast("string").alias("html"))
+
+
+@query("SELECT p_partkey AS id, p_name AS title FROM part")
+def paged_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as pages of twenty in numbered files, read by the source that pages."""
+    item = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
+    pages = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / 20).alias("page")).agg(F.array_sort(F.collect_list(item)).alias("medias"))
+    root = f"{scratch.shared_folder(spark)}/media-pages-{uuid.uuid4().hex}"
+    body = F.to_json(F.struct(F.lit(0).alias("code"), F.struct("medias").alias("data")))
+    keyed_files.write_files(pages.select(F.format_string("page-%d.json", F.col("page") + 1).alias("name"), body.alias("body")), "name", "body", root)
+    paged.register(spark)
+    return spark.read.format("paged").option("page", f"{root}/page-{{page}}.json").load()
+
+
 _SEP = """chr(10) || '<span class="breadcrumb-sep">/</span>' || chr(10)"""
 
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from frameloom.sources.scratch import written
+
 ROI_SCHEMA = "referenceWidth int, referenceHeight int, boxes array<struct<id:int,name:string,x:int,y:int,w:int,h:int,color:int>>"
 
 
@@ -97,18 +103,14 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
 def read_listing(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """folder, name, is_dir, size, mtime of the files and folders in path, or of all under it; folders have neither size nor time.
 
-    Hidden files and index.html are left out. A plain listing is one call to the file system. A recursive one reads files' metadata alone, as Spark lists
-    them: it has no empty files, and the folders are those above a file.
+    Hidden files and index.html are left out, and a recursive listing doesn't go into hidden folders. A plain listing is one call to the file system; a recursive one
+    lists the folders of each level in tasks. What may not be read is left out.
     """
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     root = store.makeQualified(where).toString().rstrip("/")
     if recursive:
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.lit(False).alias("is_dir"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-        parts = F.split(F.substring("path", F.lit(len(root) + 2), F.lit(1 << 30)), "/")
-        upto = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: n > 0)
-        dirs = found.select(F.explode(F.transform(upto, lambda n: F.concat(F.lit(f"{root}/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))).alias("path")).distinct()
-        found = found.unionByName(dirs.select("path", F.lit(True).alias("is_dir"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("mtime")))
+        found = _tree(spark, root)
     else:
         entries = [(s.getPath().toString(), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in store.listStatus(where)]
         listed = spark.createDataFrame(entries, "path string, is_dir boolean, size bigint, at bigint")
@@ -117,5 +119,38 @@ def read_listing(spark: SparkSession, path: str, recursive: bool = False) -> Dat
     return rows.where(~F.col("name").startswith(".") & (F.col("name") != "index.html"))
 
 
+def _tree(spark: SparkSession, root: str) -> DataFrame:
+    """path, is_dir, size, mtime of all below root, a job for each level: its folders are dealt to tasks, which list them by pyarrow's file systems."""
+    address = re.sub(r"^(\w+):/(?!/)", r"\1:///", root)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(address)
+        for b in batches:
+            rows = []
+            for folder in b.column("path").to_pylist():
+                try:
+                    entries = store.get_file_info(fs.FileSelector(f"{base.rstrip('/')}{folder[len(root) :]}"))
+                except OSError:  # not allowed, or gone since it was listed
+                    continue
+                for e in entries:
+                    is_dir = e.type == fs.FileType.Directory
+                    rows.append((f"{folder}/{e.base_name}", is_dir, None if is_dir else e.size, None if is_dir else e.mtime))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            types = (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC"))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["path", "is_dir", "size", "mtime"])
+
+    level, found = spark.createDataFrame([(root,)], "path string"), []
+    while not found or not level.isEmpty():
+        dealt = level.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path") if found else level
+        found.append(written(dealt.mapInArrow(listed, "path string, is_dir boolean, size bigint, mtime timestamp"), "listing"))
+        level = found[-1].where("is_dir").where(~F.element_at(F.split("path", "/"), -1).startswith(".")).select("path")
+    all_ = found[0]
+    for f in found[1:]:
+        all_ = all_.unionByName(f)
+    return all_
+
+
 def line_numbers(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("line_no", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))

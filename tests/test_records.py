@@ -156,7 +156,7 @@ def test_listing(spark, tmp_path):
     (tmp_path / "sub" / "deep" / "er").mkdir(parents=True)
     (tmp_path / "sub" / "deep" / "er" / "x").write_text("x")
     found = files.read_listing(spark, str(tmp_path), recursive=True).where("is_dir").collect()
-    assert sorted((r["folder"].rpartition(tmp_path.name)[2], r["name"]) for r in found) == [("", "sub"), ("/sub", "deep"), ("/sub/deep", "er")]
+    assert sorted((r["folder"].rpartition(tmp_path.name)[2], r["name"]) for r in found) == [("", "empty"), ("", "sub"), ("/sub", "deep"), ("/sub/deep", "er")]
     (tmp_path / "s.csv").write_text('name, cost ,"a ""b"""\nf1,0.5x,\n f2 ,NaN,3\n')
     got = {(r["label"], r["series"]): r["value"] for r in files.read_series(spark, str(tmp_path / "s.csv")).collect()}
     assert got[("f1", "cost")] == 0.5 and got[("f2", "cost")] == 0.0 and got[("f2", 'a "b"')] == 3.0
