@@ -20,7 +20,7 @@ SAMPLE_OF_LANGUAGE = 2000
 #: What the model knows at most: words, n-grams of each length, and the longest n-gram. Also bounds the broadcast.
 KNOWN_WORDS, KNOWN_GRAMS, LONGEST_GRAM = 50_000, 20_000, 4
 #: Unknown words whose vectors a worker remembers, about, and words of a text that are scored at a time.
-CACHED_WORDS, PART_WORDS = 300_000, 65_536
+CACHED_WORDS, PART_WORDS = 100_000, 65_536
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
