@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frameloom.functions.pixels import GAUSS
 from frameloom.operators import images
 from frameloom.operators.records import DATA_LABELS
 from frameloom.plans.score_queries import r6
@@ -130,3 +131,88 @@ SELECT issue_id, frame_idx, round((0.5 * blur + 0.3 * contrast + 0.2 * entropy)
     SELECT issue_id, frame_idx, level, lap, count(*) OVER (PARTITION BY frame_idx, issue_id, level) AS n FROM (
       SELECT issue_id, frame_idx, unnest(g) AS level, unnest(list_transform(range(0, 64), lambda i: {_NEAR} - 4 * g[i + 1])) AS lap FROM ({_GRAY}))) GROUP BY issue_id, frame_idx)
 """
+
+_LEVELS = """SELECT label AS issue_id, vec_id::INT AS frame_idx, list_transform(embedding, lambda x: floor(greatest(least(128 + 400 * x::DOUBLE, 255.0), 0.0))::INT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) = 64"""
+_PIXELS = f"SELECT issue_id, frame_idx, unnest(range(0, 64)) AS i, unnest(v) AS b, unnest(list_reverse(v)) AS g, unnest(list_concat(v[57:64], v[1:56])) AS r FROM ({_LEVELS})"
+
+
+def _light(c: str) -> str:
+    return f"round(2040 * CASE WHEN {c} / 255.0 <= 0.04045 THEN {c} / 255.0 / 12.92 ELSE pow(({c} / 255.0 + 0.055) / 1.055, 2.4) END)::BIGINT"
+
+
+def _root(x: str) -> str:
+    return f"round(32768 * CASE WHEN {x} / 2040.0 < 0.008856 THEN {x} / 2040.0 * 7.787 + 16 / 116.0 ELSE cbrt({x} / 2040.0) END)::BIGINT"
+
+
+#: Each pixel's gray, value and lightness in the fixed point of functions.pixels, and its root of X, Y and Z.
+_MEASURED = f"""SELECT *, ((114 * b + 587 * g + 299 * r + 500) // 1000) AS gray, greatest(b, g, r) AS top, least(b, g, r) AS low, {_root('((1777 * lr + 1541 * lg + 778 * lb + 2048) >> 12)')} AS fx,
+  {_root('((871 * lr + 2929 * lg + 296 * lb + 2048) >> 12)')} AS fy, {_root('((73 * lr + 448 * lg + 3575 * lb + 2048) >> 12)')} AS fz FROM (SELECT *, {_light('r')} AS lr, {_light('g')} AS lg, {_light('b')} AS lb FROM ({_PIXELS}))"""
+_ALL_BITS = "18446744073709551615::UBIGINT"
+_NOT_LEFT, _NOT_RIGHT, _NOT_LAST_ROW = "18374403900871474942::UBIGINT", "9187201950435737471::UBIGINT", "72057594037927935::UBIGINT"
+_SIDES = f"(part | ((part & {_NOT_RIGHT}) << 1) | ((part & {_NOT_LEFT}) >> 1))"
+_GROWN = f"({_SIDES} | (({_SIDES} & {_NOT_LAST_ROW}) << 8) | ({_SIDES} >> 8)) & rest"
+_LOWEST = "CASE WHEN {0} = 0 THEN 0::UBIGINT ELSE {0} & xor({0} - 1, " + _ALL_BITS + ") END"
+_NEXT = f"(rest & xor(part, {_ALL_BITS}))"
+
+#: An image's dark pixels are one number of 64 bits; a part grows by shifts until it stays, is counted and taken away.
+SQL["image_dark"] = f"""
+WITH RECURSIVE measured AS (SELECT *, (296 * fy - 1336934 + 16384) >> 15 AS light FROM ({_MEASURED})),
+told AS (SELECT issue_id, frame_idx, 1 - avg(gray) / 255 AS gray_mean, avg((gray < 50)::INT) AS dark_ratio, 1 - sum(gray) / 64.0 / 255 AS hist_centroid, 1 - avg(top) / 255 AS hsv_v,
+  1 - avg(least(greatest(light, 0), 255)) / 255 AS lab_l, avg((gray < 30)::INT) AS very_dark_ratio, coalesce(bit_or(CASE WHEN gray <= 50 THEN pow(2, i)::UBIGINT END), 0::UBIGINT) AS mask FROM measured GROUP BY ALL),
+flood AS (
+  SELECT issue_id, frame_idx, mask AS rest, {_LOWEST.format('mask')} AS part, []::BIGINT[] AS sizes FROM told
+  UNION ALL
+  SELECT issue_id, frame_idx, CASE WHEN same THEN {_NEXT} ELSE rest END, CASE WHEN same THEN {_LOWEST.format(_NEXT)} ELSE grown END, CASE WHEN same THEN list_append(sizes, bit_count(part)::BIGINT) ELSE sizes END
+  FROM (SELECT *, grown = part AS same FROM (SELECT *, {_GROWN} AS grown FROM flood WHERE rest <> 0))),
+parts AS (SELECT issue_id, frame_idx, CASE WHEN len(sizes) > 0 THEN least(list_avg(sizes) / 32.0, 1.0) ELSE 0.0 END AS dark_concentration, coalesce(list_max(sizes), 0) / 64.0 AS max_dark_region FROM flood WHERE rest = 0)
+SELECT issue_id, frame_idx, round(1 / (1 + exp(-8.0 * (0.10 * gray_mean + 0.20 * dark_ratio + 0.10 * hist_centroid + 0.10 * hsv_v + 0.20 * lab_l + 0.15 * very_dark_ratio + 0.10 * dark_concentration + 0.05 * max_dark_region - 0.5))), 6) AS cost,
+  round(gray_mean, 6) AS gray_mean, round(dark_ratio, 6) AS dark_ratio, round(hist_centroid, 6) AS hist_centroid, round(hsv_v, 6) AS hsv_v, round(lab_l, 6) AS lab_l, round(very_dark_ratio, 6) AS very_dark_ratio,
+  round(dark_concentration, 6) AS dark_concentration, round(max_dark_region, 6) AS max_dark_region
+FROM told JOIN parts USING (issue_id, frame_idx)
+"""
+
+_REGIONS = ", ".join(f"({k}, {x}, {y}, {w}, {h})" for k, (_, x, y, w, h) in enumerate(STRIPS))
+_FOREGROUND = "(top - low) * round((255 << 12) / greatest(top, 1)::DOUBLE)::BIGINT + 2048 >> 12 > 20 OR top < 245"
+_COLOURS = f"""
+  SELECT issue_id, frame_idx, avg(coalesce(ma, 0)) AS mean_a, avg(coalesce(mb, 0)) AS mean_b, avg(coalesce(sa, 0)) AS std_a, avg(coalesce(sb, 0)) AS std_b, coalesce(avg(cb), 128.0) AS blue, coalesce(avg(cg), 128.0) AS green, coalesce(avg(cr), 128.0) AS red FROM (
+    SELECT issue_id, frame_idx, k, avg(a) FILTER (fore) AS ma, avg(bb) FILTER (fore) AS mb, stddev_pop(a) FILTER (fore) AS sa, stddev_pop(bb) FILTER (fore) AS sb, avg(b) FILTER (fore) AS cb, avg(g) FILTER (fore) AS cg, avg(r) FILTER (fore) AS cr FROM (
+      SELECT *, {_FOREGROUND} AS fore, least(greatest((500 * (fx - fy) + 4194304 + 16384) >> 15, 0), 255) AS a, least(greatest((200 * (fy - fz) + 4194304 + 16384) >> 15, 0), 255) AS bb FROM ({_MEASURED}), (VALUES {_REGIONS}) s(k, x, y, w, h)
+      WHERE i % 8 >= x AND i % 8 < x + w AND i // 8 >= y AND i // 8 < y + h) GROUP BY ALL) GROUP BY ALL"""
+SQL["image_colour"] = f"SELECT issue_id, frame_idx, {', '.join(f'round({c}, 6) AS {c}' for c in ('mean_a', 'mean_b', 'std_a', 'std_b', 'blue', 'green', 'red'))} FROM ({_COLOURS})"
+_HUE = "CASE WHEN v = low THEN 0.0 WHEN v = red THEN 60.0 * (green - blue) / (v - low) WHEN v = green THEN 120 + 60.0 * (blue - red) / (v - low) ELSE 240 + 60.0 * (red - green) / (v - low) END"
+SQL["image_theme"] = f"""
+SELECT issue_id, cluster_id, h, s, v, CASE WHEN s < 25 THEN 'gray' WHEN h BETWEEN 170 AND 180 THEN 'pink' WHEN h BETWEEN 0 AND 25 THEN 'orange' WHEN h BETWEEN 36 AND 85 THEN 'green' WHEN h BETWEEN 86 AND 130 THEN 'blue' WHEN h BETWEEN 131 AND 170 THEN 'purplu' ELSE 'orange' END AS theme FROM (
+  SELECT issue_id, cluster_id, (round((CASE WHEN d < 0 THEN d + 360 ELSE d END) / 2)::INT % 180) AS h, CASE WHEN v = 0 THEN 0 ELSE round(255.0 * (v - low) / v)::INT END AS s, v FROM (
+    SELECT *, {_HUE} AS d FROM (SELECT *, greatest(blue, green, red) AS v, least(blue, green, red) AS low FROM (
+      SELECT issue_id, frame_idx % 5 AS cluster_id, trunc(avg(blue))::INT AS blue, trunc(avg(green))::INT AS green, trunc(avg(red))::INT AS red FROM ({_COLOURS}) GROUP BY ALL))))
+"""
+
+_AROUND = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
+
+
+def _blurred(of: str) -> str:
+    """A gray pixel's 3 by 3 blur, edges mirrored, as a whole number."""
+    at = lambda dy, dx: _AT.format(y=f"(i // 8 + {dy})", x=f"(i % 8 + {dx})").replace("g[", f"{of}[")
+    return f"floor(({' + '.join(f'{(2 - abs(dy)) * (2 - abs(dx))} * {at(dy, dx)}' for dy, dx in _AROUND)}) / 16.0 + 0.5)"
+
+
+def _weighed(*of: str) -> str:
+    """The mean of a product over the window of local likeness around an inner pixel."""
+    return " + ".join(f"{GAUSS[dy + 1, dx + 1]!r} * {' * '.join(f'{x}[i + {8 * dy + dx + 1}]' for x in of)}".replace("np.float64(", "").replace(") *", " *", 1) for dy, dx in _AROUND)
+
+
+_PAIRED = f"""
+  SELECT issue_id, frame_idx, coalesce(avg((abs(bp - bq) <= 25)::INT), 0.0) AS psim, coalesce(avg(abs(bp - bq)) / 255, 0.0) AS absdiff, coalesce(avg(lum * con * str), 0.0) AS ssim, coalesce(avg(lum), 0.0) AS l, coalesce(avg(con), 0.0) AS c,
+    coalesce(avg(str), 0.0) AS s, coalesce(avg(abs(mp - mq)) / 255, 0.0) AS mu, coalesce(avg(abs(vp - vq)), 0.0) AS sigma FROM (
+    SELECT *, (2 * mp * mq + 6.5025) / (mp * mp + mq * mq + 6.5025) AS lum, (2 * both_ + 58.5225) / (vp + vq + 58.5225) AS con, (cov + 58.5225 / 2) / (both_ + 58.5225 / 2) AS str FROM (
+      SELECT *, sqrt(vp * vq) AS both_ FROM (SELECT *, CASE WHEN pp IS NOT NULL THEN greatest(pp - mp * mp, 0) END AS vp, CASE WHEN pp IS NOT NULL THEN greatest(qq - mq * mq, 0) END AS vq, pq - mp * mq AS cov FROM (
+        SELECT issue_id, frame_idx, {_blurred('p')} AS bp, {_blurred('q')} AS bq, CASE WHEN inner_ THEN {_weighed('p')} END AS mp, CASE WHEN inner_ THEN {_weighed('q')} END AS mq,
+          CASE WHEN inner_ THEN {_weighed('p', 'p')} END AS pp, CASE WHEN inner_ THEN {_weighed('q', 'q')} END AS qq, CASE WHEN inner_ THEN {_weighed('p', 'q')} END AS pq FROM (
+          SELECT *, i // 8 BETWEEN 1 AND 6 AND i % 8 BETWEEN 1 AND 6 AS inner_ FROM (SELECT issue_id, frame_idx, unnest(range(0, 64)) AS i, lag(g) OVER (PARTITION BY issue_id ORDER BY frame_idx) AS p, g AS q FROM ({_GRAY}))))))) GROUP BY ALL"""
+SQL["image_pair"] = f"SELECT issue_id, frame_idx, round(0.1 * psim + 0.9 * ssim, 6) AS sim, {', '.join(f'round({c}, 6) AS {c}' for c in ('psim', 'absdiff', 'ssim', 'l', 'c', 's', 'mu', 'sigma'))} FROM ({_PAIRED})"
+SQL["image_same"] = f"""
+WITH isles AS (SELECT *, (sum((0.1 * psim + 0.9 * ssim < 0.5)::INT) OVER (PARTITION BY issue_id ORDER BY frame_idx ROWS UNBOUNDED PRECEDING))::BIGINT AS cluster_id FROM ({_PAIRED})),
+ranked AS (SELECT *, row_number() OVER w AS turn, count(*) OVER (PARTITION BY issue_id, cluster_id) AS n, round(var_samp(absdiff) OVER (PARTITION BY issue_id, cluster_id ORDER BY frame_idx ROWS 4 PRECEDING), 9) AS variance FROM isles WINDOW w AS (PARTITION BY issue_id, cluster_id ORDER BY frame_idx))
+SELECT issue_id, cluster_id, frame_idx FROM (SELECT *, row_number() OVER (PARTITION BY issue_id, cluster_id ORDER BY variance NULLS LAST, turn) AS pick FROM ranked WHERE turn >= least(n, 5)) WHERE pick = 1
+"""

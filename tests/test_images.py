@@ -252,3 +252,21 @@ def test_blur_in_fixed_point_by_hand():
     spot = np.zeros((3, 3), np.uint8)
     spot[1, 1] = 10  # 10 * 4 / 16 = 2.5, halves up; edges mirror without repeating: 2 * 10 * 2 / 16 = 2.5; corners 4 * 10 / 16 = 2.5
     assert np.floor(P.filtered(spot, P.BLUR) + 0.5).tolist() == [[3, 3, 3], [3, 3, 3], [3, 3, 3]]
+
+
+def test_regions_are_those_of_a_flood_fill():
+    draw = np.random.default_rng(7)
+    for _ in range(400):
+        mask = draw.random((draw.integers(1, 12), draw.integers(1, 12))) < draw.random()
+        seen, want = np.zeros(mask.shape, bool), []
+        for y, x in zip(*np.nonzero(mask), strict=True):
+            if not seen[y, x]:
+                todo, n, seen[y, x] = [(y, x)], 0, True
+                while todo:
+                    a, b = todo.pop()
+                    n += 1
+                    for c, d in ((c, d) for c in range(max(0, a - 1), min(mask.shape[0], a + 2)) for d in range(max(0, b - 1), min(mask.shape[1], b + 2)) if mask[c, d] and not seen[c, d]):
+                        seen[c, d] = True
+                        todo.append((c, d))
+                want.append(n)
+        assert P.component_sizes(mask).tolist() == want
