@@ -74,9 +74,17 @@ class Ranges:
     range_: str
     place: str
 
+    def _beside(self, names: list[str]) -> Ranges:
+        """The same rows, the range's number and the place under names that are none of these."""
+        if not {n.lower() for n in names} & {self.range_.lower(), self.place.lower()}:
+            return self
+        range_, place = unused(self.df.withColumns({n: F.lit(0) for n in names}), "range", "place")
+        return Ranges(self.df.withColumnsRenamed({self.range_: range_, self.place: place}), self.keys, range_, place)
+
     def with_columns(self, columns: dict[str, Column]) -> Ranges:
         """Columns of each row by itself; they may use what scans have added."""
-        return Ranges(self.df.withColumns(columns), self.keys, self.range_, self.place)
+        free = self._beside(list(columns))
+        return Ranges(free.df.withColumns(columns), free.keys, free.range_, free.place)
 
     def where(self, condition: Column) -> Ranges:
         return Ranges(self.df.where(condition), self.keys, self.range_, self.place)
@@ -88,6 +96,8 @@ class Ranges:
         is handed on, and that table is broadcast. A later scan of the same rows finds them where they are: it shuffles carries only.
         """
         names = list(scans)
+        if (free := self._beside(names)) is not self:
+            return free.scan(**scans)
         first, *carries = unused(self.df, "first", *(f"carry_{n}" for n in names))
         w = Window.partitionBy(self.range_, *self.keys).orderBy(self.place)
         kept = {n: F.row_number().over(w) == 1 for n in [first]} | {n: s.local(w) for n, s in scans.items()}
@@ -101,7 +111,7 @@ class Ranges:
         handed = handed.toDF(*(of[by.index(c)] if c in by else c for c in handed.columns))
         joined = own.join(F.broadcast(handed), [own[c].eqNullSafe(handed[o]) for c, o in zip(by, of, strict=True)], "left")
         whole = {n: s.whole(F.col(n), F.col(c), F.col(first)) for (n, s), c in zip(scans.items(), carries, strict=True)}
-        return Ranges(joined.withColumns(whole).select(*self.df.columns, *names), self.keys, self.range_, self.place)
+        return Ranges(joined.withColumns(whole).select(*(c for c in self.df.columns if c not in names), *names), self.keys, self.range_, self.place)
 
     def rows(self) -> DataFrame:
         """The caller's columns and those added."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.operators import scan
+from frameloom.operators import downsample, scan
 from frameloom.sources.tables import table
 
 QUERIES: dict = {}
@@ -76,3 +76,27 @@ def long_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan.in_ranges(talk.withColumn("line", line), [], ["conv_id", "turn"])
     found = scan.sections(rows, F.col("role") == "user", F.col("conv_id") > last - 3).scan(title=scan.latest(F.when(F.col("is_header"), F.col("line"))))
     return found.rows().select("conv_id", "turn", "section", "is_header", "passed", "title")
+
+
+_BASE = 1_704_067_200_000_000  # microseconds at the beginning of 2024
+
+
+@query(f"""
+WITH RECURSIVE points AS (
+  SELECT event_type, x, value AS y, row_number() OVER (PARTITION BY event_type ORDER BY x, value) - 1 AS p, count(*) OVER (PARTITION BY event_type) AS n FROM (SELECT *, (epoch_us(ts) - {_BASE}) / 1000000.0 AS x FROM events)),
+placed AS (SELECT *, CASE WHEN p = 0 THEN -1 WHEN p = n - 1 THEN 38 ELSE (p * 38 - 1) // (n - 2) END AS bucket FROM points WHERE n > 40),
+means AS (SELECT event_type, bucket - 1 AS bucket, avg(x) AS mx, avg(y) AS my FROM placed GROUP BY ALL),
+known AS (SELECT event_type, bucket, x, y, mx, my FROM placed LEFT JOIN means USING (event_type, bucket)),
+chosen AS (
+  SELECT event_type, bucket, x, y FROM known WHERE bucket = -1
+  UNION ALL
+  SELECT event_type, bucket, arg_max(x, area), arg_max(y, area) FROM (
+    SELECT k.event_type, k.bucket, k.x, k.y, coalesce(abs((s.x - mx) * (k.y - s.y) - (s.x - k.x) * (my - s.y)), 0) AS area FROM chosen s JOIN known k ON k.event_type = s.event_type AND k.bucket = s.bucket + 1) GROUP BY event_type, bucket)
+SELECT event_type, (bucket + 1)::BIGINT AS at, round(x, 3) AS x, round(y, 6) AS y FROM chosen
+""")
+def chart_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty points of each event type's values over time, for a chart."""
+    at = (F.unix_micros(F.col("ts").cast("timestamp")) - _BASE) / F.lit(1000000.0)
+    events = table(spark, sf_dir, "events").select("event_type", at.alias("x"), F.col("value").alias("y"))
+    found = downsample.chart_order(downsample.largest_triangles(events, ["event_type"], "x", "y", 40), ["event_type"], "x", "at")
+    return found.select("event_type", F.col("at").cast("long").alias("at"), F.round("x", 3).alias("x"), F.round("y", 6).alias("y"))

@@ -70,3 +70,9 @@ def test_scans_of_no_row_and_of_clashing_names(spark):
     odd = spark.createDataFrame([("a", 1, 5, 6, 7), ("a", 2, 8, 9, 1)], "k string, t int, first int, of_k int, carry_s int")
     got = scan.in_ranges(odd, ["k"], ["t"], 2).scan(s=scan.running_sum(F.col("first"))).rows().orderBy("t").collect()
     assert [tuple(r) for r in got] == [("a", 1, 5, 6, 7, 5), ("a", 2, 8, 9, 1, 13)]
+
+
+def test_scans_may_take_any_name(spark):
+    df = spark.range(20).select(F.lit(1).alias("k"), F.col("id").alias("t"))
+    got = scan.in_ranges(df, ["k"], ["t"], 3).scan(place=scan.running_sum(F.lit(1).cast("long"))).scan(range=scan.running_sum(F.col("place"))).with_columns({"place_0": F.lit(7)}).scan(t=scan.previous(F.col("t"))).rows()
+    assert sorted((r["place"], r["range"], r["place_0"], r["t"]) for r in got.collect()) == [(i + 1, (i + 1) * (i + 2) // 2, 7, i - 1 if i else None) for i in range(20)]
