@@ -22,25 +22,28 @@ def run_stages(spark: SparkSession, stages: list[tuple[str, Stage]], source: Dat
     return df
 
 
-def frame_stages(boxes: DataFrame, themed_boxes: DataFrame | None = None) -> list[tuple[str, Stage]]:
-    """Frames to one standard image for each look, with its colour cluster, and, given the themes' boxes, to the cells of the sheets."""
+def one_of_each(frames: DataFrame, least: float = scoring.SAME_KEEP) -> DataFrame:
+    """One frame of each run of like ones."""
+    _, kept = images.same_frames(images.pair_scores(frames), least)
+    return frames.join(kept.drop("cluster_id"), ["issue_id", "frame_idx"], "left_semi")
+
 
-    def one_of_each(frames: DataFrame) -> DataFrame:
-        _, kept = images.same_frames(images.pair_scores(frames))
-        return frames.join(kept.drop("cluster_id"), ["issue_id", "frame_idx"], "left_semi")
+def grouped_frames(frames: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Frames with the colour cluster and theme of their issue's groups."""
+    scores = images.colour_scores(frames, boxes).withColumn("features", F.array("mean_a", "mean_b", "std_a", "std_b"))
+    numbered = clusters.issue_clusters(scores, ["issue_id"], "frame_idx", "features").join(scores.select("issue_id", "frame_idx", "blue", "green", "red"), ["issue_id", "frame_idx"])
+    themed = images.group_themes(numbered)
+    return frames.join(numbered.select("issue_id", "frame_idx", "cluster_id"), ["issue_id", "frame_idx"]).join(themed.select("issue_id", "cluster_id", "theme"), ["issue_id", "cluster_id"])
 
-    def grouped(frames: DataFrame) -> DataFrame:
-        scores = images.colour_scores(frames, boxes).withColumn("features", F.array("mean_a", "mean_b", "std_a", "std_b"))
-        numbered = clusters.issue_clusters(scores, ["issue_id"], "frame_idx", "features").join(scores.select("issue_id", "frame_idx", "blue", "green", "red"), ["issue_id", "frame_idx"])
-        themed = images.group_themes(numbered)
-        return frames.join(numbered.select("issue_id", "frame_idx", "cluster_id"), ["issue_id", "frame_idx"]).join(themed.select("issue_id", "cluster_id", "theme"), ["issue_id", "cluster_id"])
 
+def frame_stages(boxes: DataFrame, themed_boxes: DataFrame | None = None) -> list[tuple[str, Stage]]:
+    """Frames to one standard image for each look, with its colour cluster, and, given the themes' boxes, to the cells of the sheets."""
     return [
         ("ready", images.standardise),
         ("bright", lambda f: images.good_frames(f, images.dark_scores(f), scoring.DARK_KEEP)),
         ("complete", lambda f: images.good_frames(f, images.line_scores(f, boxes), scoring.LINE_KEEP)),
         ("single", one_of_each),
-        ("group", grouped),
+        ("group", lambda f: grouped_frames(f, boxes)),
         *([] if themed_boxes is None else [("cells", lambda f: images.take_cells(f, themed_boxes))]),
     ]
 
