@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions import text as T
+from frameloom.functions.names import unused
 from frameloom.operators import substring
 
 SNIPPED = "   ... snipped"
@@ -153,15 +154,14 @@ def log_snip(sections: DataFrame, keys: list[str], order: str, line: str, number
     w = Window.partitionBy(*keys, "section", "passed")
     at = lambda f, c: f(F.when(c, F.col(order))).over(w)
     text = ~F.col("is_header")
-    marked = sections.withColumns({
-        "__in": inside, "__body": body, "__first": at(F.min, inside), "__last": at(F.max, inside), "__low": at(F.min, text), "__high": at(F.max, text),
-    })
+    held, inner, first, last, least, most = unused(sections, "held", "inner", "first", "last", "least", "most")
+    marked = sections.withColumns({held: inside, inner: body, first: at(F.min, inside), last: at(F.max, inside), least: at(F.min, text), most: at(F.max, text)})
     gap = F.struct(F.lit(SNIPPED).alias("out"), F.lit(1).alias("pos"))
     own = F.struct(F.col(line).alias("out"), F.lit(2).alias("pos"))
     after = F.struct(F.lit(SNIPPED).alias("out"), F.lit(3).alias("pos"))
     none = F.lit(None).cast("struct<out:string,pos:int>")
-    before_gap = F.when(F.col("__body") & (F.col(order) == F.col("__first")) & (F.col("__first") > F.col("__low")), gap).otherwise(none)
-    after_gap = F.when(F.col("__body") & (F.col(order) == F.col("__last")) & (F.col("__last") < F.col("__high")), after).otherwise(none)
-    stays = ~F.col("__body") | F.col("__in") | (F.col("is_header") & F.col("__first").isNotNull())
+    before_gap = F.when(F.col(inner) & (F.col(order) == F.col(first)) & (F.col(first) > F.col(least)), gap).otherwise(none)
+    after_gap = F.when(F.col(inner) & (F.col(order) == F.col(last)) & (F.col(last) < F.col(most)), after).otherwise(none)
+    stays = ~F.col(inner) | F.col(held) | (F.col("is_header") & F.col(first).isNotNull())
     parts = F.filter(F.array(before_gap, F.when(stays, own).otherwise(none), after_gap), lambda x: x.isNotNull())
     return marked.select(*keys, "section", order, F.explode(parts).alias("part")).select(*keys, "section", F.col(order), "part.pos", "part.out")

@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.names import unused
 from frameloom.operators.kmeans import CLUSTERS, RESTARTS, SEED, grouped_kmeans
 
 COMPONENTS = 4
@@ -17,21 +18,22 @@ COMPONENTS = 4
 
 def pca_project(df: DataFrame, array_col: str, components: int = COMPONENTS) -> DataFrame:
     """Add projected (array): the leading principal components. The fit is a sum over rows; only it comes to the driver."""
-    vectors = df.withColumn("__v", array_to_vector(F.col(array_col)))
-    model = PCA(k=components, inputCol="__v", outputCol="__p").fit(vectors)
-    return model.transform(vectors).withColumn("projected", vector_to_array("__p")).drop("__v", "__p")
+    v, p = unused(df, "v", "p")
+    vectors = df.withColumn(v, array_to_vector(F.col(array_col)))
+    model = PCA(k=components, inputCol=v, outputCol=p).fit(vectors)
+    return model.transform(vectors).withColumn("projected", vector_to_array(p)).drop(v, p)
 
 
 def kmeans(df: DataFrame, array_col: str, clusters: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED) -> DataFrame:
-    """Add cluster_id: of several seeds the fit of least cost, its clusters numbered by their centres."""
-    vectors = df.withColumn("__v", array_to_vector(F.col(array_col))).persist()
-    fits = (KMeans(k=clusters, seed=seed + i, featuresCol="__v", predictionCol="__c").fit(vectors) for i in range(restarts))
+    """Add cluster_id: of several seeds the fit of least cost over all rows, its clusters numbered by their centres."""
+    v, c = unused(df, "v", "c")
+    vectors = df.withColumn(v, array_to_vector(F.col(array_col))).persist()
+    fits = (KMeans(k=clusters, seed=seed + i, featuresCol=v, predictionCol=c).fit(vectors) for i in range(restarts))
     best: KMeansModel = min(fits, key=lambda m: m.summary.trainingCost)
     vectors.unpersist()
     order = sorted(range(len(best.clusterCenters())), key=lambda i: best.clusterCenters()[i].tolist())
-    number = F.element_at(F.array(*(F.lit(order.index(i)) for i in range(len(order)))), F.col("__c") + 1)
-    out = best.transform(vectors).withColumn("cluster_id", number).drop("__v", "__c")
-    return out
+    number = F.element_at(F.array(*(F.lit(order.index(i)) for i in range(len(order)))), F.col(c) + 1)
+    return best.transform(vectors).withColumn("cluster_id", number).drop(v, c)
 
 
 def issue_clusters(df: DataFrame, keys: list[str], order: str, array_col: str, clusters: int = CLUSTERS) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.names import unused
+
 
 def histogram(df: DataFrame, keys: list[str], value: str, width: float) -> DataFrame:
     """keys, bin, n: counts of floor(value / width). Combines before its shuffle, so no group has to fit a task."""
@@ -35,7 +37,8 @@ def otsu(bins: DataFrame, keys: list[str]) -> DataFrame:
     share = (F.col("n0") / F.col("nn")) * (n1 / F.col("nn"))
     scored = cut.withColumn("variance", F.when(n1 == 0, 0.0).otherwise(F.round(share * gap * gap, 6)))
     pick = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("variance"), "bin"))
-    return scored.withColumn("__pick", pick).where("__pick = 1").select(*keys, F.col("bin").alias("threshold"), "variance")
+    (at,) = unused(scored, "pick")
+    return scored.withColumn(at, pick).where(F.col(at) == 1).select(*keys, F.col("bin").alias("threshold"), "variance")
 
 
 def shares_below(df: DataFrame, keys: list[str], value: str, cuts: dict[str, float]) -> DataFrame:

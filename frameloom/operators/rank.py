@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frameloom.functions.names import unused
+
 
 def first_of_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group in the given order, all its columns.
 
     A rank of 1 in a window: Spark limits such windows before the shuffle, so of each group a task sends one row.
     """
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__rank = 1").drop("__rank")
+    (at,) = unused(df, "rank")
+    return df.withColumn(at, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(at) == 1).drop(at)
 
 
 def worst_of(df: DataFrame, keys: list[str], cost: str, *position: str) -> DataFrame:
@@ -25,13 +28,13 @@ best_of = worst_of
 
 def skip_first(df: DataFrame, keys: list[str], order: list[Column], where: Column) -> DataFrame:
     """All rows but the first of each group that `where` holds for."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where((F.col("__rank") > 1) | ~where).drop("__rank")
+    (at,) = unused(df, "rank")
+    return df.withColumn(at, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where((F.col(at) > 1) | ~where).drop(at)
 
 
 def sample_first(df: DataFrame, keys: list[str], time: str, seconds: int, position: str) -> DataFrame:
     """The first row of each interval of so many seconds."""
-    bucket = F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / seconds)
+    bucket = F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / seconds)  # the column bucket is part of the result
     return first_of_group(df.withColumn("bucket", bucket), [*keys, "bucket"], [F.col(time), F.col(position)])
 
 
@@ -53,11 +56,11 @@ def seeded_split(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
     of that order; only rows of the range it falls into are numbered.
     """
     spread, ranges = 2_147_483_647, 1024
-    placed = df.withColumn("__at", F.pmod(F.pmod(F.col(key), F.lit(spread)) * 48271 + seed, F.lit(spread))).withColumn("__range", F.floor(F.col("__at") / (spread // ranges + 1)))
-    counts = placed.groupBy("__range").count()
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    at, range_, left, rank = unused(df, "at", "range", "left", "rank")
+    placed = df.withColumn(at, F.pmod(F.pmod(F.col(key), F.lit(spread)) * 48271 + seed, F.lit(spread))).withColumn(range_, F.floor(F.col(at) / (spread // ranges + 1)))
+    counts = placed.groupBy(range_).agg(F.count("*").alias("n"))
+    before = Window.orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cuts = counts.select("__range", (F.floor(F.sum("count").over(everything) * share) - F.coalesce(F.sum("count").over(before), F.lit(0))).alias("__left"))
-    rank = F.row_number().over(Window.partitionBy("__range").orderBy("__at", key))
-    joined = placed.join(F.broadcast(cuts), "__range").withColumn("__rank", rank)  # 1024 rows at most
-    return joined.withColumn("split", F.when(F.col("__rank") <= F.col("__left"), "train").otherwise("val")).drop("__at", "__range", "__left", "__rank")
+    cuts = counts.select(range_, (F.floor(F.sum("n").over(everything) * share) - F.coalesce(F.sum("n").over(before), F.lit(0))).alias(left))
+    joined = placed.join(F.broadcast(cuts), range_).withColumn(rank, F.row_number().over(Window.partitionBy(range_).orderBy(at, key)))  # 1024 rows at most
+    return joined.withColumn("split", F.when(F.col(rank) <= F.col(left), "train").otherwise("val")).drop(at, range_, left, rank)

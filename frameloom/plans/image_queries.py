@@ -216,3 +216,10 @@ WITH isles AS (SELECT *, (sum((0.1 * psim + 0.9 * ssim < 0.5)::INT) OVER (PARTIT
 ranked AS (SELECT *, row_number() OVER w AS turn, count(*) OVER (PARTITION BY issue_id, cluster_id) AS n, round(var_samp(absdiff) OVER (PARTITION BY issue_id, cluster_id ORDER BY frame_idx ROWS 4 PRECEDING), 9) AS variance FROM isles WINDOW w AS (PARTITION BY issue_id, cluster_id ORDER BY frame_idx))
 SELECT issue_id, cluster_id, frame_idx FROM (SELECT *, row_number() OVER (PARTITION BY issue_id, cluster_id ORDER BY variance NULLS LAST, turn) AS pick FROM ranked WHERE turn >= least(n, 5)) WHERE pick = 1
 """
+
+#: The title, a row of eight pixels, stands upright on the left; the statistics, a column of six, on the right, with white below.
+SQL["image_ready"] = f"""
+WITH placed AS (SELECT issue_id, frame_idx, CASE WHEN i // 8 = 6 THEN i % 8 ELSE i // 8 END AS row, CASE WHEN i // 8 = 6 THEN 0 ELSE 1 END AS col, printf('%02x%02x%02x', b, g, r) AS px FROM ({_PIXELS}) WHERE i // 8 = 6 OR (i % 8 = 6 AND i // 8 < 6)
+  UNION ALL SELECT issue_id, frame_idx, w, 1, 'ffffff' FROM ({_LEVELS}), (VALUES (6), (7)) v(w))
+SELECT issue_id, frame_idx, 8 AS height, 2 AS width, sha256(unhex(string_agg(px, '' ORDER BY row, col))) AS sha256 FROM placed GROUP BY issue_id, frame_idx
+"""

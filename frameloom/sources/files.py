@@ -16,7 +16,7 @@ ROI_SCHEMA = "referenceWidth int, referenceHeight int, boxes array<struct<id:int
 
 
 def read_roi(spark: SparkSession, path: str) -> DataFrame:
-    """pos, name, box, ref_width, ref_height of a region config; of boxes of one name the last stays, in the first's place.
+    """pos, name, box, ref_width, ref_height, color of a region config; of boxes of one name the last stays, in the first's place.
 
     A missing file raises FileNotFoundError, one that isn't such a config ValueError.
     """
@@ -30,7 +30,7 @@ def read_roi(spark: SparkSession, path: str) -> DataFrame:
     boxes = raw.select("referenceWidth", "referenceHeight", F.posexplode("boxes").alias("pos", "b"))
     last = F.max(F.struct("pos", "b"))["b"]
     found = boxes.groupBy("referenceWidth", "referenceHeight", F.col("b.name").alias("name")).agg(F.min("pos").alias("pos"), last.alias("b"))
-    return found.select("pos", "name", F.struct("b.x", "b.y", "b.w", "b.h").alias("box"), F.col("referenceWidth").alias("ref_width"), F.col("referenceHeight").alias("ref_height"))
+    return found.select("pos", "name", F.struct("b.x", "b.y", "b.w", "b.h").alias("box"), F.col("referenceWidth").alias("ref_width"), F.col("referenceHeight").alias("ref_height"), F.col("b.color").alias("color"))
 
 
 def read_sheet(spark: SparkSession, path: str, labels: tuple[str, ...]) -> DataFrame:

@@ -61,8 +61,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_roi(boxes: DataFrame, path: str) -> None:
-    """A region config (pos, name, box, ref_width, ref_height; one size) as one JSON document, as read_roi reads it."""
-    box = F.struct((F.col("pos") + 1).alias("id"), "name", "box.x", "box.y", "box.w", "box.h")
+    """A region config (pos, name, box, ref_width, ref_height and, if it has one, color; one size) as one JSON document, as read_roi reads it."""
+    box = F.struct((F.col("pos") + 1).alias("id"), "name", "box.x", "box.y", "box.w", "box.h", *(["color"] if "color" in boxes.columns else []))
     items = F.array_sort(F.collect_list(F.struct("pos", box.alias("b"))))
     config = boxes.groupBy(F.col("ref_width").alias("referenceWidth"), F.col("ref_height").alias("referenceHeight")).agg(F.transform(items, lambda x: x["b"]).alias("boxes"))
     config.coalesce(1).write.mode("overwrite").json(path)

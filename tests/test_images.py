@@ -12,7 +12,7 @@ from frameloom.operators.records import DATA_LABELS
 from frameloom.plans.stages import frame_stages, run_stages, sheet_files
 from frameloom.sources.files import read_roi, read_theme_track
 from frameloom.sources.frames import read_frames, read_labelled, read_samples
-from frameloom.sources.sinks import write_track
+from frameloom.sources.sinks import write_roi, write_track
 
 
 def noise(seed, *shape):
@@ -114,6 +114,11 @@ def test_read_frames_and_roi(spark, folder, tmp_path):
     with pytest.raises(ValueError):
         read_roi(spark, str(tmp_path / "bad.json"))
     assert len(read_samples(spark, folder).first()["samples"]) == 11
+    (tmp_path / "red.json").write_text(ROI.replace('"h": 28}', '"h": 28, "color": 16711680}'))
+    coloured = read_roi(spark, str(tmp_path / "red.json"))
+    write_roi(coloured, str(tmp_path / "again"))
+    again = {r["name"]: (r["color"], tuple(r["box"])) for r in read_roi(spark, str(tmp_path / "again")).collect()}
+    assert again == {r["name"]: (r["color"], tuple(r["box"])) for r in coloured.collect()} and again["l3"][0] == 16711680 and again["l1"][0] is None
 
 
 def test_frame_operators(spark, folder, tmp_path):

@@ -76,3 +76,38 @@ def test_scans_may_take_any_name(spark):
     df = spark.range(20).select(F.lit(1).alias("k"), F.col("id").alias("t"))
     got = scan.in_ranges(df, ["k"], ["t"], 3).scan(place=scan.running_sum(F.lit(1).cast("long"))).scan(range=scan.running_sum(F.col("place"))).with_columns({"place_0": F.lit(7)}).scan(t=scan.previous(F.col("t"))).rows()
     assert sorted((r["place"], r["range"], r["place_0"], r["t"]) for r in got.collect()) == [(i + 1, (i + 1) * (i + 2) // 2, 7, i - 1 if i else None) for i in range(20)]
+
+
+def test_plateau_extents_equal_a_plain_walk(spark):
+    import numpy as np
+
+    draw, rows, want = np.random.default_rng(9), [], set()
+    for g in (None, "b", "c", "d", "e"):
+        n = {"d": 1, "e": 3}.get(g, 60)
+        x = np.round(np.cumsum(draw.normal(0, 1, n) * (draw.random(n) < 0.3)), 2)
+        rows += [(g, i, float(v), "r") for i, v in enumerate(x)]
+        size = min(5, n)
+        flat = [round(float(np.var(x[i : i + size], ddof=1)), 9) if size > 1 else 0.0 for i in range(n - size + 1)]
+        first = flat.index(min(flat))
+        window = x[first : first + size]
+        near = np.abs(x - window.mean()) < 3 * window.std()
+        start, end = first, first + size - 1
+        while start and near[start - 1]:
+            start -= 1
+        while end + 1 < n and near[end + 1]:
+            end += 1
+        want.add((g, start, end))
+    df = spark.createDataFrame(rows, "k string, i int, v double, place string").repartition(4)
+    assert {tuple(r) for r in sequence.plateau_extents(df, ["k"], "i", "v").collect()} == want
+
+
+def test_operators_keep_columns_of_any_name(spark):
+    from frameloom.operators import rank
+
+    names = ["rank", "rank_0", "at", "range", "left", "n", "pick", "run", "variance"]
+    df = spark.createDataFrame([(i % 3, i, float(i), *[f"{c}{i}" for c in names[:-1]]) for i in range(30)], ", ".join(["k int", "i int", "v double", *(f"`{c}` string" for c in names[:-1])]))
+    own = {r["i"]: tuple(r) for r in df.collect()}
+    for out in (rank.worst_of(df, ["k"], "v", "i"), rank.skip_first(df, ["k"], [F.col("i")], F.lit(True)), rank.seeded_split(df, "i", 0.8, 42).drop("split")):
+        assert out.columns == df.columns and all(tuple(r) == own[r["i"]] for r in out.collect())
+    assert {r["k"]: (r["start"], r["end"]) for r in sequence.runs_of(df, ["k"], "i", F.col("v") >= 15).collect()} == {0: (5, 10), 1: (5, 10), 2: (5, 10)}
+    assert [tuple(r) for r in sequence.flattened(df.limit(1).select("k", F.array("i", "i").alias("is"), "n"), "is", "one").collect()] == [(0, "n0", 0)] * 2
