@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
@@ -16,8 +17,15 @@ from frameloom.llm.components import connected_components, forest
 from frameloom.llm.util import forget, partitions, table, write_table
 
 #: Reference points (a sample of the vectors, by hash): the square root of the vectors' number, so that lists keep their length, but as many at least and
-#: at most (beyond about 4,000,000 vectors); the nearest ones that describe a vector, and how many of them a pair must share.
-LEAST_PIVOTS, MOST_PIVOTS, NEAREST, SHARED = 256, 2048, 8, 3
+#: at most (beyond about 64,000,000 vectors), and no more numbers in all than so many: the driver holds them, and each task gets them.
+LEAST_PIVOTS, MOST_PIVOTS, MOST_NUMBERS = 256, 8192, 1 << 21
+#: How many nearest pivots may describe a vector: the first of these by which pairs at the threshold, made from the sample, are found at least that
+#: often, or the last; and how many of them a pair must share.
+NEAREST, LEAST_RECALL, SHARED = (8, 10, 12, 16), 0.98, 3
+#: Pairs that the recall is measured on.
+MEASURED = 1024
+_LOG = logging.getLogger(__name__)
+
 #: Members of a list that are compared at a time; a longer list is compared block by block, in several tasks.
 BLOCK = 512
 
@@ -36,8 +44,41 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _described(sample: list[list[float]], count: int):
-    """node, label, dims and the numbers of its NEAREST pivots, in order of nearness, of each vector."""
+def measured_recall(sample: list[list[float]], dims: int, count: int, threshold: float, seed: int = 5) -> dict[int, float]:
+    """For each number of NEAREST, the share of pairs at a cosine of the threshold that share SHARED of so many pivots.
+
+    A pair is a vector of the sample (it is no pivot of its own) and one turned from it, towards a random direction or, every second, along the difference of two vectors of
+    the sample, so that vectors with a common mean or in clusters are measured as they lie. A sample of fewer than three such vectors is measured on random ones.
+    """
+    draw = np.random.default_rng([seed, dims])
+    points, own = pivots_of(sample, dims, count), [v for v in sample if len(v) == dims][:count]
+    some = len(own) if len(own) > 2 else 0
+    base = unit(np.array(own, float)) if some else unit(draw.standard_normal((MEASURED, dims)))
+    at = draw.integers(0, len(base), MEASURED)
+    v, turn = base[at], draw.standard_normal((MEASURED, dims))
+    if some:
+        turn[::2] = base[draw.integers(0, some, MEASURED)][::2] - base[draw.integers(0, some, MEASURED)][::2] + 1e-9 * turn[::2]
+    turn -= (turn * v).sum(axis=1, keepdims=True) * v
+    other = threshold * v + math.sqrt(max(0.0, 1 - threshold**2)) * turn / np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-300)
+    orders = []
+    for x in (v, other):
+        likeness = x @ points.T
+        if some:
+            likeness[np.arange(MEASURED), at] = -np.inf
+        orders.append(np.argsort(-likeness, axis=1, kind="stable")[:, : max(NEAREST)])
+    return {k: float(((orders[0][:, :k, None] == orders[1][:, None, :k]).any(axis=2).sum(axis=1) >= SHARED).mean()) for k in NEAREST}
+
+
+def nearest_for(sample: list[list[float]], count: int, threshold: float) -> tuple[int, float]:
+    """(how many nearest pivots describe a vector, the least measured recall with them): enough for the vectors of each length in the sample."""
+    told = [measured_recall(sample, dims, count, threshold) for dims in sorted({len(v) for v in sample})]
+    need = [next((k for k in NEAREST if r[k] >= LEAST_RECALL), max(NEAREST)) for r in told]
+    most = max(need, default=NEAREST[0])
+    return most, min((r[most] for r in told), default=1.0)
+
+
+def _described(sample: list[list[float]], count: int, near: int):
+    """node, label, dims and the numbers of its nearest pivots, in order of nearness, of each vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -49,7 +90,7 @@ def _described(sample: list[list[float]], count: int):
                 if dims not in known:
                     known[dims] = pivots_of(sample, dims, count)
                 likeness = unit(np.array([vectors[i] for i in at], float)) @ known[dims].T
-                for i, order in zip(at, np.argsort(-likeness, axis=1, kind="stable")[:, :NEAREST].tolist(), strict=True):
+                for i, order in zip(at, np.argsort(-likeness, axis=1, kind="stable")[:, :near].tolist(), strict=True):
                     nearest[i] = order
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), pa.array(map(len, vectors), pa.int32()), pa.array(nearest, pa.list_(pa.int32()))], names=["node", "label", "dims", "pivots"])
 
@@ -160,8 +201,8 @@ def _verified(threshold: float):
 def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row, for links of cosine >= threshold between rows of one label.
 
-    Equal vectors of a label (by 128 bits of hash) are one node with a count. A node is described by its NEAREST pivots in order of
-    nearness and stands in the inverted list of each pair of them. A list of more than BLOCK members is dealt into parts by hash and
+    Equal vectors of a label (by 128 bits of hash) are one node with a count. A node is described by its nearest pivots in order of
+    nearness, as many as the recall measured on the sample asks for, and stands in the inverted list of each pair of them. A list of more than BLOCK members is dealt into parts by hash and
     each pair of parts is a block of its own. Lists hold pivots only: of the members of a block, those that share SHARED pivots with
     another, of which the list's are the first two by number, so that a pair is settled once, get their vectors. Then a block
     verifies cosines in double precision and returns counts and a spanning forest, never its pairs.
@@ -178,10 +219,13 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     rows = rows.withColumns({"h1": F.when(F.col("valid"), F.xxhash64("label", "embedding")), "h2": F.when(F.col("valid"), F.xxhash64(F.lit(1), "label", "embedding"))})
     same = rows.where("valid").groupBy("h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     nodes = write_table(same.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(nodes.count())))
+    size = nodes.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dims")).first()
+    count = min(MOST_PIVOTS, max(LEAST_PIVOTS, min(math.isqrt(size["n"]), MOST_NUMBERS // (size["dims"] or 1))))
     sample = [r["embedding"] for r in nodes.orderBy("h1", "h2").limit(count).select("embedding").collect()]
-    described = write_table(nodes.select("node", "label", "embedding").mapInArrow(_described(sample, count), "node long, label string, dims int, pivots array<int>"), "pivots")
-    pair = F.array(*(F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")) for x, y in combinations([F.element_at("pivots", i + 1) for i in range(NEAREST)], 2)))
+    near, recall = nearest_for(sample, count, threshold)
+    _LOG.info("%d pivots, %d for each vector: recall %.3f on pairs made from the sample", count, near, recall)
+    described = write_table(nodes.select("node", "label", "embedding").mapInArrow(_described(sample, count, near), "node long, label string, dims int, pivots array<int>"), "pivots")
+    pair = F.array(*(F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")) for x, y in combinations([F.element_at("pivots", i + 1) for i in range(near)], 2)))
     lists = described.withColumn("e", F.explode(pair)).select("label", "dims", "e.a", "e.b", "node", "pivots")
     full = write_table(lists.groupBy("label", "dims", "a", "b").count().where("count > 1"), "lists")
     dealt = lists.join(full.hint("merge"), ["label", "dims", "a", "b"]).withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("int"))

@@ -361,3 +361,42 @@ def test_kept_rows_have_the_callers_columns(spark):
     df = spark.createDataFrame(rows, "keep_id string, doc_id long, text string, kept boolean")
     out = exact_dedup.keep_one(df)
     assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=str) == sorted(rows[1:], key=str)
+
+
+def drawn(kind, n, dims, draw):
+    x = draw.standard_normal((n, dims))
+    if kind == "clusters":
+        return 0.5 * x + 1.5 * draw.standard_normal((50, dims))[draw.integers(0, 50, n)]
+    return x + 0.7 if kind == "offset" else x
+
+
+def turned(v, cosine, draw):
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    g = draw.standard_normal(v.shape)
+    g -= (g * u).sum(axis=1, keepdims=True) * u
+    return cosine * u + np.sqrt(1 - cosine**2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("kind", ["plain", "clusters", "offset"])
+@pytest.mark.parametrize("dims", [16, 64, 256])
+@pytest.mark.parametrize("count", [256, 1024, 2048, 8192])
+def test_as_many_pivots_describe_a_vector_as_recall_asks_for(kind, dims, count):
+    if count * dims > embedding_dedup.MOST_NUMBERS:
+        pytest.skip("no table has so many pivots of so many dimensions")
+    draw = np.random.default_rng(count + dims)
+    every = drawn(kind, count + 1500, dims, draw)
+    near, told = embedding_dedup.nearest_for(every[:count].tolist(), count, 0.93)
+    points, v = embedding_dedup.pivots_of(every[:count].tolist(), dims, count), every[count:]
+    orders = [np.argsort(-(embedding_dedup.unit(x) @ points.T), axis=1)[:, :near] for x in (v, turned(v, 0.93, draw))]
+    found = ((orders[0][:, :, None] == orders[1][:, None, :]).any(axis=2).sum(axis=1) >= embedding_dedup.SHARED).mean()
+    assert found >= 0.93 and (told >= embedding_dedup.LEAST_RECALL or near == max(embedding_dedup.NEAREST))
+
+
+def test_embedding_recall_of_vectors_with_a_common_mean_and_many_pivots(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LEAST_PIVOTS", 1024)
+    draw = np.random.default_rng(3)
+    v = drawn("offset", 2500, 32, draw)
+    w = turned(v[:300], 0.935, draw)
+    rows = [(i, 1, x.tolist()) for i, x in enumerate([*v, *w])]
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.embedding_links(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()}
+    assert sum(got[2500 + i] == got[i] for i in range(300)) >= 285
