@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -52,14 +52,16 @@ def features_of(words: set[str], cache: dict[str, tuple[int, ...]]) -> np.ndarra
     return np.fromiter(found, np.int32, len(found))
 
 
-def swapped(words: set[str]) -> list[set[str]]:
+def swapped(words: set[str], kinds: dict[str, tuple[str, ...]] = _KIND) -> list[set[str]]:
     """The counterfactuals of a set of words: in each, one identity term is another of its kind."""
-    return [words - {w} | {t} for w in sorted(words & _KIND.keys()) for t in _KIND[w] if t not in words]
+    return [words - {w} | {t} for w in sorted(words & kinds.keys()) for t in kinds[w] if t not in words]
 
 
 class Classifier:
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+    """weights and bias; swaps: how many counterfactuals of labelled sentences the fit has seen."""
+
+    def __init__(self, weights: np.ndarray, bias: float, swaps: int = 0):
+        self.weights, self.bias, self.swaps = weights, bias, swaps
 
     def score(self, ids: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[ids].sum(), -30, 30))))
@@ -91,19 +93,19 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
     pairs: the features that a labelled sentence loses and gets when an identity term is swapped, and how often. No row, or rows of one label
     only, give the label's share as the score of every text.
     """
-    size = 1 << FEATURE_BITS
-    weights = np.zeros(size + 1)
     if not len(rows) or labels.min() == labels.max():
         share = float(labels.mean()) if len(rows) else 0.0
-        return Classifier(weights[:-1], float(np.log((share + 1e-3) / (1 - share + 1e-3))))
+        return Classifier(np.zeros(1 << FEATURE_BITS), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     good = screened(rows, labels)
-    rows = [r[good[r]] for r in rows]
+    place, size = np.cumsum(good) - 1, int(good.sum())  # steps are over the screened features alone
+    weights = np.zeros(size + 1)
+    rows = [place[r[good[r]]] for r in rows]
     index, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
     times = np.array([n for *_, n in pairs], float)
     times *= 2 * SWAP_PENALTY / max(1, times.sum())
     sides = [(np.concatenate(x), np.repeat(np.arange(len(pairs)), [len(f) for f in x])) for x in list(zip(*pairs, strict=True))[:2]]
-    sides = [(f[good[f]], owner[good[f]]) for f, owner in sides]
+    sides = [(place[f[good[f]]], owner[good[f]]) for f, owner in sides]
     steep = 0.25 * (1 + np.bincount(of, minlength=len(rows)).max(initial=0)) + RIDGE
     steep += sum(2 * SWAP_PENALTY * 2 * np.bincount(owner, minlength=1).max(initial=0) for _, owner in sides)
     at, momentum = weights.copy(), 1.0
@@ -118,22 +120,28 @@ def train(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarr
         faster = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         at = moved + (momentum - 1) / faster * (moved - weights)
         weights, momentum = moved, faster
-    return Classifier(weights[:-1], float(weights[-1]))
+    every = np.zeros(1 << FEATURE_BITS)
+    every[good] = weights[:-1]
+    return Classifier(every, float(weights[-1]), sum(n for *_, n in pairs))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None) -> Classifier:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", learn: Column | None = None, terms: Iterable[tuple[str, ...]] = IDENTITY_TERMS) -> Classifier:
     """Fit on about SAMPLE_OF_LABEL rows of label 1 and as many of label 0, among those with learn not false; null labels are left out.
 
     Features are made where the rows are read, and equal rows and swaps are counted before they leave their task; the driver gets the sample's
     feature numbers and each different swap once. Texts that are null count as empty, ties and repeated rows count as often as they occur,
     and no labelled row, or those of one label only, give a constant score. Rows are drawn by a hash of id and text, so rows of one id, or without one,
     are drawn like any other; wholly equal rows are drawn together.
+
+    terms: lower-case words that name groups neutrally, by kind. Where no labelled sentence holds one there is nothing to swap, and the fit is a plain one: its swaps are 0.
     """
     rows = labelled.select(labelled[f"`{id_col}`"].alias("id"), text_of(labelled[f"`{text_col}`"]).alias("content"), labelled[f"`{label_col}`"].cast("int").alias("y"), (F.lit(True) if learn is None else learn).alias("learn")).where("learn and y in (0, 1)")
     per = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, min(1.0, SAMPLE_OF_LABEL / per.get(1, 1))).otherwise(min(1.0, SAMPLE_OF_LABEL / per.get(0, 1)))
     drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "content", F.lit("toxicity")), F.lit(1 << 30)) < share * float(1 << 30)).select("content", "y")
 
+    kinds = {term: tuple(kind) for kind in terms for term in kind}
+
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
         pack = lambda ids: np.sort(ids).tobytes()
@@ -143,8 +151,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
                 found[int(y), pack(features_of(set(_WORD.findall(text.lower())), cache)), b""] += 1
                 for sentence in re.split(r"[.!?\n]+", text.lower()):
                     words = set(_WORD.findall(sentence))
-                    own = features_of(words, cache) if words & _KIND.keys() else ()
-                    for other in swapped(words):
+                    own = features_of(words, cache) if words & kinds.keys() else ()
+                    for other in swapped(words, kinds):
                         new = features_of(other, cache)
                         found[-1, pack(np.setdiff1d(own, new)), pack(np.setdiff1d(new, own))] += 1
             yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["y", "ids", "other", "n"])

@@ -18,6 +18,8 @@ from frameloom.llm.util import make_path, new_path, table, write_table
 
 #: Bytes of block in a segment, in an archive file (about), and in a chunk of a chunked transfer.
 SEGMENT_BYTES, ARCHIVE_BYTES, CHUNK_BYTES = 64 * 1024, 8 * 1024 * 1024, 16 * 1024
+#: Bytes of records that reading hands on at a time, or one record's.
+BATCH_BYTES = 4 << 20
 #: Payloads of at least so many bytes may be revisits of an equal one.
 REVISIT_BYTES = 100
 
@@ -91,28 +93,39 @@ def page_records(page_id: int | None, uri: str | None, payload: bytes, digest: s
     return out
 
 
+def _line(stream: io.BufferedIOBase) -> bytes:
+    """The next line with its CR LF; empty at the end."""
+    line = stream.readline()
+    while line and not line.endswith(b"\r\n"):
+        if not (more := stream.readline()):
+            raise ValueError("an archive ends inside a record's headers")
+        line += more
+    return line
+
+
 def parse_archive(data: bytes) -> Iterator[tuple]:
-    """The records of an archive, gzipped or not, as rows of _RECORD. Where it can't be read on, a row with the error ends it."""
+    """The records of an archive, gzipped or not, as rows of _RECORD, one at a time: no more than a record is unpacked. Where it can't be read on, a row with the error ends it."""
     try:
-        if data[:2] == b"\x1f\x8b":
-            data = gzip.GzipFile(fileobj=io.BytesIO(data)).read()  # all members, a buffer at a time
-        at = 0
-        while at < len(data):
-            end = data.index(b"\r\n\r\n", at)
-            lines = data[at:end].decode("utf-8").split("\r\n")
-            if not lines[0].startswith("WARC/"):
+        source = io.BytesIO(data)
+        stream = gzip.GzipFile(fileobj=source) if data[:2] == b"\x1f\x8b" else source  # all members
+        while line := _line(stream):
+            if line == b"\r\n":
+                continue  # after a record
+            if not line.startswith(b"WARC/"):
                 raise ValueError("a record doesn't begin with a version line")
-            fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+            fields = {}
+            while (line := _line(stream)) != b"\r\n":
+                if not line:
+                    raise ValueError("an archive ends inside a record's headers")
+                k, _, v = line[:-2].decode("utf-8").partition(":")
+                fields[k.strip().lower()] = v.strip()
             size = int(fields["content-length"])
-            block = data[end + 4 : end + 4 + size]
+            block = stream.read(max(size, 0))
             if size < 0 or len(block) != size:
                 raise ValueError("an archive ends inside a record")
             number = lambda k: int(fields[k]) if k in fields else None
             digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
             yield fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-target-uri"), number("warc-page-id"), digest, number("warc-refers-to-page"), number("warc-segment-number"), fields.get("warc-segment-origin-id"), number("warc-segment-total-length"), block, None
-            at = end + 4 + size
-            while data[at : at + 2] == b"\r\n":
-                at += 2
     except (ValueError, KeyError, OSError, EOFError, zlib.error) as e:
         yield (*[None] * (len(_TYPES) - 1), f"archive: {type(e).__name__} {e}")
 
@@ -174,18 +187,28 @@ def write_archives(pages: DataFrame, path: str) -> None:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """A row for each response or revisit under path: page_id, uri, type, digest, refers_to, payload, record_id and error.
 
-    Whole files come from Spark's binary reader, so any store will do. Continuation records are grouped with
+    Files come from Spark's binary reader, so any store will do; a file, as it is packed, is one row, of 2 GB at most. It is unpacked record by record, and records go on
+    in batches of BATCH_BYTES. Continuation records are grouped with
     their first segment by origin identifier, ordered by number and checked against the total length; then
     chunked framing is decoded. Only segmented records are shuffled. Records of other types (warcinfo, request, metadata and so on) are left out.
     A record whose segments, length or framing are wrong has an error and no payload; an archive that can't be read to its end has a row
     with the error alone, after its records. No archive gives no row.
     """
 
+    def of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(_TYPES), _TYPES, strict=True)], names=_NAMES)
+
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column("content").to_pylist():
-                rows = list(parse_archive(data))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(_TYPES), _TYPES, strict=True)], names=_NAMES)
+            for content in batch.column("content"):
+                rows, size = [], 0
+                for row in parse_archive(content.as_py()):
+                    rows.append(row)
+                    size += len(row[-2] or b"")
+                    if size > BATCH_BYTES:
+                        yield of(rows)
+                        rows, size = [], 0
+                yield of(rows)
 
     def tried(make: Callable, source: str, made: str):
         """A column made of each row's source; where that fails, null and the error."""

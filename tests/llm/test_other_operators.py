@@ -400,3 +400,16 @@ def test_embedding_recall_of_vectors_with_a_common_mean_and_many_pivots(spark, m
     rows = [(i, 1, x.tolist()) for i, x in enumerate([*v, *w])]
     got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.embedding_links(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()}
     assert sum(got[2500 + i] == got[i] for i in range(300)) >= 285
+
+
+def test_archives_are_read_record_by_record():
+    import gzip
+
+    members = [warc.page_records(i, f"u{i}", bytes([65 + i]) * (10 + 200_000 * (i == 1)), "d", None, None, str(i)) for i in range(4)]
+    whole = b"".join(x for m in members for x in m)
+    rows = list(warc.parse_archive(whole))
+    assert rows == list(warc.parse_archive(gzip.decompress(whole))) and len(rows) == sum(map(len, members)) and all(r[-1] is None for r in rows)
+    cut = list(warc.parse_archive(whole[: len(whole) - 30]))
+    assert cut[:-1] == rows[:-1] and cut[-1][-1].startswith("archive: ")  # what comes before the fault is read
+    assert [r[-1] is None for r in warc.parse_archive(gzip.decompress(members[0][0]) + b"WARC/1.1\r\nContent-Length: 5")] == [True, False]
+    assert list(warc.parse_archive(b"")) == [] and list(warc.parse_archive(b"nothing\r\n"))[0][-1].startswith("archive: ")

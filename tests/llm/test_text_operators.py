@@ -566,3 +566,19 @@ def test_row_keys_tell_fields_and_nulls_apart(spark):
     assert df.select(mixing.row_key(df, "doc_id", "text", "source")).distinct().count() == len(rows)
     got = {(r["text"], r["source"]) for r in mixing.mixed_documents(df, block=1).collect()}
     assert got <= {(t, s) for _, t, s in rows} and {("b\x1fc d e f", "a"), ("c d e f", "a\x1fb")} <= got
+
+
+def test_toxicity_swaps_terms_of_the_caller(spark):
+    """Labels lean on one group's name; with the names as terms the gap between counterfactuals falls, and without any the fit is a plain one."""
+    draw, rows = random.Random(3), []
+    for i in range(1200):
+        bad = i % 2
+        group = draw.choices(["zorb", "quil"], [9, 1] if bad else [2, 8])[0]
+        rows.append((i, f"{group} {draw.choice('abcd')}{draw.choice('efgh')} said so." + (" scum" if bad and draw.random() < 0.8 else ""), bad))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    plain, told = toxicity.fit(df), toxicity.fit(df, terms=[("zorb", "quil")])
+    gap = lambda m: abs(m.score(toxicity.features_of({"zorb", "said", "so"}, {})) - m.score(toxicity.features_of({"quil", "said", "so"}, {})))
+    assert plain.swaps == 0 and told.swaps == 1200 and gap(told) < 0.5 * gap(plain)
+    assert told.score(toxicity.features_of({"quil", "scum", "said"}, {})) > 0.7
+
+
