@@ -19,6 +19,7 @@ from frameloom.operators import layout, rank, records, sequence
 KEYS = "issue_id int, frame_idx int"
 # Boxes of a frame, 512 by 384, and of a standard image, 172 by 512.
 FRAME_SIZE = (512, 384)
+MOST_BOXES = 10_000
 FRAME_BOXES = {"stats": (412, 0, 100, 312), "title": (0, 312, 512, 72)}
 
 
@@ -72,11 +73,13 @@ def dark_scores(frames: DataFrame) -> DataFrame:
 def with_boxes(frames: DataFrame, boxes: DataFrame) -> DataFrame:
     """Each frame once, with all boxes of a region config (pos, name, box, ref_width, ref_height) scaled to it as an array.
 
-    A config is a few boxes in a file, so it is broadcast as one array and the pixels are not copied for each box.
+    A config is a few boxes in a file; it comes as one row, whatever its sizes, so that the pixels are not copied for each box and no frame twice. More than
+    MOST_BOXES boxes are an error, as that row goes to every task.
     """
-    config = boxes.groupBy("ref_width", "ref_height").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "box"))).alias("config"))
-    scaled = F.transform("config", lambda c: F.struct(c["pos"].alias("pos"), c["name"].alias("name"), layout.checked_crop(layout.scale_box(c["box"], F.col("width"), F.col("height"), F.col("ref_width"), F.col("ref_height")), F.col("width"), F.col("height")).alias("box")))
-    return frames.join(F.broadcast(config)).withColumn("boxes", scaled)
+    every = boxes.agg(F.array_sort(F.collect_list(F.struct("pos", "name", "box", "ref_width", "ref_height"))).alias("config"))
+    checked = F.when(F.size("config") <= MOST_BOXES, F.col("config")).otherwise(F.raise_error(F.lit(f"a region config of more than {MOST_BOXES} boxes")).cast(every.schema["config"].dataType))
+    scaled = F.transform("config", lambda c: F.struct(c["pos"].alias("pos"), c["name"].alias("name"), layout.checked_crop(layout.scale_box(c["box"], F.col("width"), F.col("height"), c["ref_width"], c["ref_height"]), F.col("width"), F.col("height")).alias("box")))
+    return frames.join(F.broadcast(every.select(checked.alias("config")))).withColumn("boxes", scaled)
 
 
 def line_scores(frames: DataFrame, boxes: DataFrame) -> DataFrame:

@@ -223,3 +223,28 @@ WITH placed AS (SELECT issue_id, frame_idx, CASE WHEN i // 8 = 6 THEN i % 8 ELSE
   UNION ALL SELECT issue_id, frame_idx, w, 1, 'ffffff' FROM ({_LEVELS}), (VALUES (6), (7)) v(w))
 SELECT issue_id, frame_idx, 8 AS height, 2 AS width, sha256(unhex(string_agg(px, '' ORDER BY row, col))) AS sha256 FROM placed GROUP BY issue_id, frame_idx
 """
+
+#: Strips lie down: the upright ones are turned clockwise. Of each place its strip, row, column, and the strip's rows.
+_LYING = """SELECT k, r, c, n, CASE WHEN k < 2 THEN (7 - c) * 8 + 6 * k + r ELSE (5 * (k - 2) + r) * 8 + c END AS i
+  FROM (VALUES (0, 2), (1, 2), (2, 3), (3, 3)) s(k, n), range(0, 3) a(r), range(0, 8) b(c) WHERE r < n"""
+_MIRROR = "CASE WHEN {0} < 0 THEN -({0}) WHEN {0} >= {1} THEN 2 * {1} - 2 - ({0}) ELSE {0} END"
+_STRIP_AT = "levels[(" + _MIRROR.format("r + {dy}", "n") + ") * 8 + " + _MIRROR.format("c + {dx}", "8") + " + 1]"
+_STRIP_BLUR = " + ".join(f"{(2 - abs(dy)) * (2 - abs(dx))} * {_STRIP_AT.format(dy=dy, dx=dx)}" for dy, dx in _AROUND)
+SQL["image_line"] = f"""
+WITH lying AS ({_LYING}),
+strips AS (SELECT issue_id, frame_idx, k, n, list(g[i + 1] ORDER BY r, c) AS levels FROM ({_GRAY}), lying GROUP BY issue_id, frame_idx, k, n),
+blurred AS (SELECT issue_id, frame_idx, k, n, r, c, floor(({_STRIP_BLUR}) / 16.0 + 0.5) AS v FROM strips JOIN (SELECT k AS kk, r, c FROM lying) ON kk = k),
+cuts AS (SELECT a.issue_id, a.frame_idx, a.k, a.t, count(*) FILTER (v <= t)::DOUBLE AS below, sum(v) FILTER (v <= t) AS mass, count(*)::DOUBLE AS n, sum(v) AS whole FROM (SELECT DISTINCT issue_id, frame_idx, k, v AS t FROM blurred) a
+  JOIN blurred b ON a.issue_id = b.issue_id AND a.frame_idx = b.frame_idx AND a.k = b.k GROUP BY ALL),
+best AS (SELECT issue_id, frame_idx, k, CASE WHEN max(between_) > 0 THEN arg_max(t, between_) ELSE 0 END AS cut FROM (
+  SELECT *, CASE WHEN n > below THEN below * (n - below) * pow(mass / below - (whole - mass) / (n - below), 2) ELSE 0 END AS between_ FROM cuts ORDER BY t) GROUP BY ALL),
+rows_ AS (SELECT issue_id, frame_idx, k, n, r, avg((v <= cut)::INT) AS share, list_max(list_transform(string_split(string_agg((v <= cut)::INT::VARCHAR, '' ORDER BY c), '0'), lambda x: length(x))) AS across FROM blurred JOIN best USING (issue_id, frame_idx, k) GROUP BY ALL),
+told AS (SELECT issue_id, frame_idx, k, n, list(share ORDER BY r) AS s, list(across ORDER BY r) AS across, max(share) AS peak, sum(share) AS total, min(r) FILTER (share > 0.05) AS first, max(r) FILTER (share > 0.05) AS last, count(*) FILTER (share > 0.05) AS seen,
+  string_agg((share > 0.3 * top)::INT::VARCHAR, '' ORDER BY r) AS band FROM (SELECT *, max(share) OVER (PARTITION BY issue_id, frame_idx, k) AS top FROM rows_) GROUP BY ALL),
+banded AS (SELECT *, CASE WHEN band IN ('01', '010', '011') THEN 1 WHEN band = '001' THEN 2 ELSE 0 END AS b0, CASE WHEN band = '111' THEN 3 WHEN band IN ('11', '110', '011') THEN 2 ELSE 1 END AS high FROM told),
+measured AS (SELECT *, CASE WHEN total > 0.01 THEN list_sum(s[b0 + 1:b0 + high]) / total ELSE 0 END AS concentration, across[least((2 * b0 + high) // 2, n - 1) + 1] / 8.0 AS h_cont,
+  coalesce(list_max(list_concat(s[1:b0], s[b0 + high + 1:n])), 0) AS outside, high / n::DOUBLE AS band_ratio, CASE WHEN seen <= 1 THEN 0 ELSE least(((last - first + 1) / seen::DOUBLE - 1) * 0.5, 1.0) END AS dispersion FROM banded),
+costed AS (SELECT *, (1 - outside) * (1 - greatest(band_ratio - 0.5, 0) / 0.5) AS bg_purity FROM measured)
+SELECT issue_id, frame_idx, round(cost, 6) AS cost, round(concentration, 6) AS concentration, round(h_cont, 6) AS h_cont, round(peak, 6) AS peak, round(bg_purity, 6) AS bg_purity, round(dispersion, 6) AS dispersion, round(band_ratio, 6) AS band_ratio FROM (
+  SELECT *, row_number() OVER (PARTITION BY issue_id, frame_idx ORDER BY round(cost, 12) DESC, k) AS place FROM (SELECT *, 0.20 * (1 - concentration) + 0.20 * (1 - h_cont) + 0.15 * (1 - peak) + 0.20 * (1 - bg_purity) + 0.15 * dispersion + 0.10 * least(abs(band_ratio - 0.35) / 0.5, 1.0) AS cost FROM costed)) WHERE place = 1
+"""
