@@ -45,6 +45,12 @@ def line_cost(concentration: Column, h_cont: Column, peak: Column, purity: Colum
     return 0.20 * (1 - concentration) + 0.20 * (1 - h_cont) + 0.15 * (1 - peak) + 0.20 * (1 - purity) + 0.15 * scattered + 0.10 * off
 
 
+def region_means(features: list[str], colours: list[str], default: float = 128.0) -> list[Column]:
+    """Means over regions, as aggregates: a region without a feature (null) counts as zero, one without a colour (null or NaN) is left out; no colour at all is the default."""
+    zero, seen = (lambda c: F.coalesce(F.col(c), F.lit(0.0))), (lambda c: F.when(~F.isnan(c), F.col(c)))
+    return [*(F.avg(zero(c)).alias(c) for c in features), *(F.coalesce(F.avg(seen(c)), F.lit(default)).alias(c) for c in colours)]
+
+
 def similarity(psim: Column, ssim: Column) -> Column:
     return 0.1 * psim + 0.9 * ssim
 

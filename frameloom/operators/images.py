@@ -129,8 +129,7 @@ def colour_scores(frames: DataFrame, boxes: DataFrame) -> DataFrame:
         return [{"issue_id": row["issue_id"], "frame_idx": row["frame_idx"]} | pixels.colour_features(cropped(image, b["box"])) for b in row["boxes"]]
 
     found = _mapped(with_boxes(frames, boxes), ["issue_id", "frame_idx", "height", "width", "bgr", "boxes"], regions, ", ".join([KEYS, *(f"{n} double" for n in [*names, "blue", "green", "red"])]))
-    clean = lambda c: F.avg(F.when(~F.isnan(c), F.col(c)))
-    return found.groupBy("issue_id", "frame_idx").agg(*(F.avg(n).alias(n) for n in names), *(F.coalesce(clean(n), F.lit(128.0)).alias(n) for n in ("blue", "green", "red")))
+    return found.groupBy("issue_id", "frame_idx").agg(*scoring.region_means(names, ["blue", "green", "red"]))
 
 
 def group_themes(groups: DataFrame) -> DataFrame:

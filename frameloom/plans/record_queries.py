@@ -108,10 +108,11 @@ def _ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     theme = F.when(F.col("conv_id") % 3 == 0, "blue").when(F.col("conv_id") % 3 == 1, "gray").otherwise("orange")
     themes = talk.select("conv_id").distinct().withColumn("theme", theme)
     themed = records.attach_theme(talk, themes, "conv_id")
-    return records.ready_pivot(themed, ["theme", "conv_id"], "role", "text", "turn", _ROLES)
+    marked = themed.withColumn("role", F.when(F.col("turn") % 4 == 3, F.concat("role", F.lit("_"))).otherwise(F.col("role")))  # shadows, which are left out
+    return records.ready_pivot(marked, ["theme", "conv_id"], "role", "text", "turn", [*_ROLES, "user_"])
 
 
-@query(f"SELECT {_THEME} AS theme, conv_id, {', '.join(f"arg_max(text, turn) FILTER (role = '{r}') AS {r}" for r in _ROLES)} FROM conversations WHERE role NOT LIKE '%\\_' ESCAPE '\\' GROUP BY conv_id")
+@query(f"SELECT {_THEME} AS theme, conv_id, {', '.join(f"arg_max(text, turn) FILTER (role = '{r}') AS {r}" for r in _ROLES)}, NULL::VARCHAR AS user_ FROM conversations WHERE turn % 4 <> 3 GROUP BY conv_id")
 def ready_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ready(spark, sf_dir)
 

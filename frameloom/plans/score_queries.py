@@ -192,6 +192,19 @@ def plateau_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("user_id", "cluster_id", F.col("at.event_id").alias("event_id"), F.col("rank").cast("long").alias("rank"), F.coalesce("variance", F.lit(-1.0)).alias("variance"))
 
 
+@query("""
+WITH told AS (SELECT user_id, value, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY user_id) AS n, round(var_samp(value) OVER l, 9) AS variance, avg(value) OVER l AS mean, 3 * stddev_pop(value) OVER l AS reach FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id), l AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 4 PRECEDING)),
+best AS (SELECT user_id, n, pos AS high, pos + 1 - least(n, 5) AS low, mean, reach FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY variance NULLS LAST, pos) AS pick FROM told WHERE pos + 1 >= least(n, 5)) WHERE pick = 1)
+SELECT b.user_id, coalesce(max(pos) FILTER (abs(value - b.mean) >= b.reach AND pos < low) + 1, 0)::BIGINT AS reach_start, coalesce(min(pos) FILTER (abs(value - b.mean) >= b.reach AND pos > high) - 1, any_value(b.n) - 1)::BIGINT AS reach_end
+FROM best b JOIN told t ON t.user_id = b.user_id GROUP BY b.user_id
+""")
+def plateau_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each user's flattest stretch of five events reaches while values stay near its mean."""
+    events = _events(spark, sf_dir).withColumn("at", F.struct("ts", "event_id"))
+    return sequence.plateau_extents(events, ["user_id"], "at", "value").select("user_id", F.col("start").alias("reach_start"), F.col("end").alias("reach_end"))
+
+
 @query(f"SELECT user_id, cluster_id::BIGINT AS cluster_id, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS frames, count(*) AS n FROM ({_ISLES}) GROUP BY user_id, cluster_id")
 def cluster_gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
     isles = _isles(spark, sf_dir).withColumn("at", F.struct("ts", "event_id"))
@@ -234,9 +247,9 @@ FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_
 """)
 def roi_mean_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") / 7.0).alias("v"))
-    part = orders.groupBy("o_custkey").agg(F.sum("v").alias("total"), F.count("v").alias("filled"), F.count("*").alias("n"))
-    joined = table(spark, sf_dir, "customer").join(part, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return joined.select("c_custkey", F.round(F.coalesce(F.col("total") / F.col("n"), F.lit(0.0)), 6).alias("feature"), F.round(F.coalesce(F.when(F.col("filled") > 0, F.col("total") / F.col("filled")), F.lit(128.0)), 6).alias("colour"))
+    joined = table(spark, sf_dir, "customer").select("c_custkey").join(orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+    means = joined.select("c_custkey", F.col("v").alias("feature"), F.col("v").alias("colour")).groupBy("c_custkey").agg(*scoring.region_means(["feature"], ["colour"]))
+    return means.select("c_custkey", r6("feature").alias("feature"), r6("colour").alias("colour"))
 
 
 _NAME = "CASE WHEN s < 25 THEN 'gray' WHEN h BETWEEN 170 AND 180 THEN 'pink' WHEN h BETWEEN 0 AND 25 THEN 'orange' WHEN h BETWEEN 36 AND 85 THEN 'green' WHEN h BETWEEN 86 AND 130 THEN 'blue' WHEN h BETWEEN 131 AND 170 THEN 'purplu' ELSE 'orange' END"
@@ -267,6 +280,11 @@ def seeded_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.groupBy("split").agg(F.count("*").alias("n"), F.sum("quality").alias("good"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
 
 
-@query("SELECT doc_id, CASE WHEN n_chars < 1024 THEN n_chars || ' B' WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024.0) ELSE printf('%.1f MB', n_chars / 1048576.0) END AS size FROM documents")
+_UNITS = " ".join(f"WHEN n < {1024 ** (k + 1)} THEN printf('%.1f {u}', n / {1024**k}.0)" for k, u in enumerate(("KB", "MB", "GB", "TB"), 1))
+
+
+@query(f"SELECT doc_id, CASE WHEN n < 0 THEN '-' WHEN n < 1024 THEN n || ' B' {_UNITS} ELSE printf('%.1f PB', n / {1024**5}.0) END AS size FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 6 THEN -1 ELSE n_chars * pow(1024, doc_id % 5)::BIGINT END AS n FROM documents)")
 def size_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.human_size(F.col("n_chars")).alias("size"))
+    """Sizes from bytes to petabytes, and one that is not known."""
+    size = F.when(F.col("doc_id") % 7 == 6, F.lit(-1).cast("long")).otherwise(F.col("n_chars") * F.pow(F.lit(1024), F.col("doc_id") % 5).cast("long"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.human_size(size).alias("size"))
