@@ -44,7 +44,7 @@ def read_sheet(spark: SparkSession, path: str, labels: tuple[str, ...]) -> DataF
 
 
 def read_check(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema("nu string, label string, value string").csv(path).withColumn("nu", F.col("nu").try_cast("int"))
+    return spark.read.options(header=True, escape='"').schema("nu string, label string, value string").csv(path).withColumn("nu", F.col("nu").try_cast("int"))
 
 
 def read_theme_track(spark: SparkSession, path: str) -> DataFrame:
@@ -73,9 +73,17 @@ def read_media(spark: SparkSession, path: str) -> DataFrame:
     return pages.select(F.explode(checked).alias("m")).select("m.id", "m.title")
 
 
+def _objects(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """The objects of JSON files, each an array of them or one to a line. A file is what a person's session has made, so it is one row."""
+    whole, kind = spark.read.text(path, wholetext=True), f"struct<{fields}>"
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
+    items = F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{kind}>")).otherwise(F.transform(lines, lambda x: F.from_json(x, kind)))
+    return whole.select(F.explode(items).alias("o")).select("o.*")
+
+
 def read_marks(spark: SparkSession, path: str) -> DataFrame:
     """id, url, deleted of posted marks; of the older form, with a colour, red means deleted."""
-    raw = spark.read.option("multiLine", True).schema("id int, url string, del boolean, color string").json(path)
+    raw = _objects(spark, path, "id:int,url:string,del:boolean,color:string")
     return raw.select("id", "url", F.coalesce("del", F.col("color") == "red").alias("deleted"))
 
 
@@ -87,7 +95,8 @@ def read_issues(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_review(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("multiLine", True).schema("cluster_id int, frames array<string>, representative_frame string, low_quality boolean").json(path)
+    """cluster_id, frames, representative_frame, low_quality of the clusters of a review."""
+    return _objects(spark, path, "cluster_id:int,frames:array<string>,representative_frame:string,low_quality:boolean")
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; on a local master without one, a temporary folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = f"file://{tempfile.gettempdir()}/frameloom-tables"
     return where.rstrip("/")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def write_stats(df: DataFrame, path: str) -> None:
-    """CSV with a header, the index column first."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header, the index column first; quotes are doubled."""
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_gallery(df: DataFrame, path: str) -> None:
@@ -20,7 +20,7 @@ def write_gallery(df: DataFrame, path: str) -> None:
 
 def write_check(df: DataFrame, path: str) -> None:
     """An ordered check table as one CSV file: it is a sheet's, for a person to correct."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.coalesce(1).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_split(df: DataFrame, path: str) -> None:
