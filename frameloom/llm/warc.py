@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gzip
-import hashlib
 import io
 import uuid
 import zlib
@@ -198,45 +197,45 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(_TYPES), _TYPES, strict=True)], names=_NAMES)
 
+    def told(make: Callable, x: object) -> tuple[bytes | None, str | None]:
+        """(what is made of x, None), or (None, the error)."""
+        try:
+            return make(x), None
+        except ValueError as e:
+            return None, str(e)
+
+    def whole_payload(row: tuple) -> tuple:
+        """A record in one piece with its payload for its block, a segment as it is."""
+        kind, segment, block, error = row[0], row[6], row[9], row[10]
+        return row if error or segment is not None or kind not in ("response", "revisit") else (*row[:9], *told(http_payload, block))
+
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
                 rows, size = [], 0
                 for row in parse_archive(content.as_py()):
-                    rows.append(row)
-                    size += len(row[-2] or b"")
+                    rows.append(whole_payload(row))
+                    size += len(row[9] or b"")
                     if size > BATCH_BYTES:
                         yield of(rows)
                         rows, size = [], 0
                 yield of(rows)
 
-    def tried(make: Callable, source: str, made: str):
-        """A column made of each row's source; where that fails, null and the error."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                values, errors = [], []
-                for x, error in zip(batch.column(source).to_pylist(), batch.column("error").to_pylist(), strict=True):
-                    try:
-                        values.append(make(x) if error is None else None), errors.append(error)
-                    except ValueError as e:
-                        values.append(None), errors.append(str(e))
-                batch = batch.set_column(batch.schema.get_field_index(source), made, pa.array(values, pa.binary()))
-                yield batch.set_column(batch.schema.get_field_index("error"), "error", pa.array(errors, pa.string()))
-
-        return run
+    def joined_payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = lambda parts: http_payload(assembled([(s["segment"], s["total"], s["block"]) for s in parts]))
+        for batch in batches:
+            found = [told(make, parts.as_py()) for parts in batch.column("parts")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], names=[*head, "payload", "error"])
 
-    segments = lambda parts: assembled([(s["segment"], s["total"], s["block"]) for s in parts])
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path).select("content").mapInArrow(parsed, _RECORD)
     head = ["type", "record_id", "uri", "page_id", "digest", "refers_to"]
-    kinds = "type string, record_id string, uri string, page_id long, digest string, refers_to long"
     known = F.col("type").isin("response", "revisit")
-    whole = raw.where(F.col("segment").isNull() & (known | F.col("error").isNotNull())).select(*head, "block", "error")
+    whole = raw.where(F.col("segment").isNull() & (known | F.col("error").isNotNull())).select(*head, F.col("block").alias("payload"), "error")
     first = [F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in head]
     cut = raw.where("segment is not null").groupBy(F.coalesce("origin", "record_id").alias("origin")).agg(*first, F.collect_list(F.struct("segment", "total", "block")).alias("parts"))
-    cut = cut.where(known | F.col("type").isNull()).withColumn("record_id", F.col("origin")).withColumn("error", F.lit(None).cast("string"))
-    joined = cut.select(*head, "parts", "error").mapInArrow(tried(segments, "parts", "block"), f"{kinds}, block binary, error string")
-    return whole.union(joined).mapInArrow(tried(http_payload, "block", "payload"), f"{kinds}, payload binary, error string")
+    cut = cut.where(known | F.col("type").isNull()).withColumn("record_id", F.col("origin")).select(*head, "parts")
+    kinds = "type string, record_id string, uri string, page_id long, digest string, refers_to long"
+    return whole.union(cut.mapInArrow(joined_payload, f"{kinds}, payload binary, error string"))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -261,21 +260,9 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url
     joined = rows.join(least, "digest", "left").withColumn("first", F.when(~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
     make_path(spark, path)
     write_archives(joined, path)
-    told = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("a record can't be read back: "), "error"))).otherwise(F.col("digest"))
-    back = read_records(spark, path).withColumn("digest", told).drop("error", "record_id")
-
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for kind, told, body in zip(*(batch.column(c).to_pylist() for c in ("type", "digest", "payload")), strict=True):
-                own = hashlib.sha256(body).hexdigest()
-                if kind == "response" and own != told:
-                    raise ValueError("a payload isn't what its digest says")
-                out.append(told)
-            yield batch.set_column(batch.schema.get_field_index("digest"), "digest", pa.array(out, pa.string()))
-
-    checked = back.mapInArrow(digested, "type string, uri string, page_id long, digest string, refers_to long, payload binary")
-    return checked.select("page_id", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "payload")
+    wrong = F.when(F.col("error").isNotNull(), F.concat(F.lit("a record can't be read back: "), "error")).when((F.col("type") == "response") & (F.sha2("payload", 256) != F.col("digest")), F.lit("a payload isn't what its digest says"))
+    digest = F.when(wrong.isNotNull(), F.raise_error(wrong)).otherwise(F.col("digest"))
+    return read_records(spark, path).select("page_id", digest.alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "payload")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
