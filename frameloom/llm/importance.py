@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import forget, partitions, table, text_of, write_table
+from frameloom.llm.util import TEXT_ROWS, forget, partitions, table, text_of, write_table
 
 #: Fixed value: what a word is made of, after A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -151,7 +151,7 @@ def resample(
     See bucket_counts, weights and draw for nulls, empty texts, ties and repeats. Bucket counts of texts are written once and read twice: for the
     corpus and for the weights. Empty tables count as corpora without features.
     """
-    source = write_table(bucket_counts(df, id_col, text_col, longest, buckets), "bucket-counts")
+    source = write_table(bucket_counts(df, id_col, text_col, longest, buckets), "bucket-counts", TEXT_ROWS)
     of_target = bucket_counts(target.select(F.lit(0).alias("id"), target[f"`{target_text_col}`"].alias("text")), "id", "text", longest, buckets)
     weighed = write_table(weights(source, bucket_gains(source, of_target, buckets)).drop("buckets", "times"), "weights")  # a range partitioning reads its input twice
     forget(source)
