@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import islice
 
@@ -114,6 +115,12 @@ class Vocabulary:
         return [ids[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    """A file's vocabulary, read once in each worker."""
+    return Vocabulary(path)
+
+
 def _cut(texts: Iterable[str], vocabulary: Vocabulary) -> Iterator[list[str | int]]:
     """The pieces of texts in turn, an added token as its id, in lists of BLOCK_PIECES at most."""
     pattern = regex.compile(PIECE)
@@ -189,7 +196,7 @@ def encode_texts(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", te
     kind = rows.schema["id"].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(Vocabulary(vocabulary_path))
+        encode = encoder(vocabulary(vocabulary_path))
         for batch in batches:
             at = 0
             for texts in _blocks(batch.column("content").to_pylist()):
@@ -213,7 +220,7 @@ def decode_ids(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_c
     schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(df.schema)) + ", decoded string"
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Vocabulary(vocabulary_path).bytes.__getitem__
+        of = vocabulary(vocabulary_path).bytes.__getitem__
         for batch in batches:
             found = [None if ids is None else b"".join(map(of, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace") for ids in batch.column(ids_at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, "decoded"])

@@ -582,3 +582,8 @@ def test_toxicity_swaps_terms_of_the_caller(spark):
     assert told.score(toxicity.features_of({"quil", "scum", "said"}, {})) > 0.7
 
 
+def test_simhash_null_ids_and_repeated_rows(spark):
+    one, other = " ".join(f"w{i}" for i in range(200)), " ".join(f"v{i}" for i in range(200))
+    rows = [(None, one), (5, one), (5, one), (None, other), (None, other), (7, None), (7, ""), (9, "")]
+    got = Counter((r["doc_id"], r["component_id"]) for r in simhash.simhash_components(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component_id string")).collect())
+    assert got == Counter({(None, 5): 1, (5, 5): 2, (None, None): 2, (7, 7): 2, (9, 7): 1})
