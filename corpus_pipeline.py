@@ -15,27 +15,47 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter, or too uncertain, go."""
+    """Documents whose language is told; those without a letter, or too uncertain, go.
+
+    Null and empty texts have no language and go. Very long texts are scored whole, in parts. Of languages that tie the first in order is told; a document whose
+    score is under a half goes. Rows that share an id are one document and stay or go together, repeated rows too. No row gives none. Columns of any name stay as they are.
+    """
     return language.keep_identified(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents of equal text, the one with the largest id."""
+    """Of documents of equal text, the one with the largest id.
+
+    A null text counts as empty, so one of all null and empty ones stays. Texts are compared whole, however long. Of rows that tie in text and id, repeated ones too, one stays; a null id loses to
+    all others. No row gives none. Columns of any name stay as they are.
+    """
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: that of the smallest id.
+
+    Null and empty texts are near copies of each other, texts of fewer than five words only of texts of the same words. Texts are compared whole. Pairs of a similarity of exactly 0.8
+    are near copies. Rows that share an id are one document; rows of a null id stay. No row gives none. Columns of any name stay as they are.
+    """
     return near_dedup.near_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the parts and as often as the sources' weights ask for."""
+    """The documents in the parts and as often as the sources' weights ask for.
+
+    Null and empty texts have no word and aren't taken. A very long text is taken in parts, as its blocks are drawn. A null source is one of its own, after all others. Rows that are alike in id, source
+    and text stand for each other; their order has no meaning. No row gives none. Columns of any name stay; the text, and n_chars if there is one, are those of the part that is taken.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens, with their ids, in sequences of at most 2048."""
+    """Pieces of the documents' tokens, with their ids, in sequences of at most 2048.
+
+    Null and empty texts have the end's id alone. A text longer than a window is packed by itself. Of pieces with equal scores the longer document goes first, of equally long ones
+    the earlier. Repeated rows are packed as often as they occur. No row gives none. Other columns, whatever their names, are not read.
+    """
     return packing.pack(docs, packing.tokenizer_file())
 
 
