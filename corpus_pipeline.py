@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from frameloom.llm import exact_dedup, language, mixing, near_dedup, packing
 from frameloom.llm.util import table, write_table
 
+#: Words that a packing worker remembers: it stays through the stages that follow, beside them.
+PACKING_WORDS = 100_000
 #: SQL can't express the language model, the fingerprints or the tokenizer.
 ORACLE_SQL = None
 
@@ -56,7 +58,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts have the end's id alone. A text longer than a window is packed by itself. Of pieces with equal scores the longer document goes first, of equally long ones
     the earlier. Repeated rows are packed as often as they occur. No row gives none. Other columns, whatever their names, are not read.
     """
-    return packing.pack(docs, packing.tokenizer_file())
+    return packing.pack(docs, packing.tokenizer_file(), cached_words=PACKING_WORDS)
 
 
 STAGES = [

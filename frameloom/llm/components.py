@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import forget, write_table
+from frameloom.llm.util import forget, tidy, write_table
 
 #: Edges that one task contracts at a time; bounds its memory, changes no result.
 EDGES_AT_ONCE = 500_000
@@ -49,7 +49,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     EDGES_AT_ONCE edges are left one task contracts them to the end; either gives the same components.
     Self-loops and repeated edges change nothing; an empty table gives an empty one.
     """
-    kept = write_table(edges.select("u", "v").mapInPandas(_contract, "u long, v long").distinct(), "edges")
+    kept = write_table(edges.select("u", "v").mapInPandas(tidy(_contract), "u long, v long").distinct(), "edges")
     seen = None
     while True:
         state = kept.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -57,7 +57,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen, last = (state["n"], state["h"]), kept
         if state["n"] <= EDGES_AT_ONCE:
-            kept = write_table(kept.repartition(1).mapInPandas(_contract, "u long, v long"), "edges")
+            kept = write_table(kept.repartition(1).mapInPandas(tidy(_contract), "u long, v long"), "edges")
             forget(last)
             break
         both = kept.union(kept.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import TEXT_ROWS, held_out, table, text_of, write_table
+from frameloom.llm.util import TEXT_ROWS, held_out, table, text_of, tidy, write_table
 
 #: Labelled documents of each language that the model is fitted on, about; the sample is drawn by a hash of id and text.
 SAMPLE_OF_LANGUAGE = 2000
@@ -132,7 +132,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return Model([], {}, [])
     share = F.create_map(*(F.lit(x) for k, v in per.items() for x in (k, min(1.0, SAMPLE_OF_LANGUAGE / v))))
     drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "content", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
-    counts = drawn.select("lang", "content").mapInPandas(_counts, "lang string, word string, n long")
+    counts = drawn.select("lang", "content").mapInPandas(tidy(_counts), "lang string, word string, n long")
     by_word = counts.groupBy("word").agg(F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).alias(f"n{i}") for i, k in enumerate(languages))).cache()
     totals = by_word.agg(*(F.sum(f"n{i}") for i in range(len(languages)))).first()
     most = by_word.orderBy(F.desc("total"), "word").limit(KNOWN_WORDS).toPandas()
@@ -158,7 +158,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] if math.isfinite(x[1]) else 0.0 for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held"), *columns], names=[id_col, "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(scored, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(tidy(scored), f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from frameloom.llm import simhash
 from frameloom.llm.components import connected_components
-from frameloom.llm.util import TEXT_ROWS, forget, partitions, text_of, write_table
+from frameloom.llm.util import TEXT_ROWS, forget, partitions, text_of, tidy, write_table
 
 #: Shingles that a part of a block holds, or so, and leading shingles that a task keeps before it lets them go; neither changes a result.
 PART_SHINGLES, HELD = 500_000, 500_000
@@ -212,12 +212,12 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
     rows = df.select(df[f"`{id_col}`"].alias("id"), content.alias("content"), F.xxhash64(content).alias("node"))
     kind = rows.schema["id"].dataType.simpleString()
 
-    leads = rows.select("node", "content").mapInArrow(_leads(shingle_words, seed, similarity), "kind int, key long, node long")
-    met = leads.repartition(n, "key").sortWithinPartitions("key", F.desc("kind")).mapInArrow(_repeated, "node long, n long")
+    leads = rows.select("node", "content").mapInArrow(tidy(_leads(shingle_words, seed, similarity)), "kind int, key long, node long")
+    met = leads.repartition(n, "key").sortWithinPartitions("key", F.desc("kind")).mapInArrow(tidy(_repeated), "node long, n long")
     known = write_table(met.groupBy("node").agg(F.sum("n").alias("n")).where("n >= 0").select("node"), "shared-leads", TEXT_ROWS)
 
     columns = f"id {kind}, digest binary, {', '.join(f'{p} long' for p in names)}, size long, shingles array<long>"
-    made = rows.join(known.hint("merge"), "node", "left_semi").select("id", "content").mapInArrow(_sets(shingle_words, seed, count), columns)
+    made = rows.join(known.hint("merge"), "node", "left_semi").select("id", "content").mapInArrow(tidy(_sets(shingle_words, seed, count)), columns)
     sets = write_table(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets", TEXT_ROWS)
     firsts = write_table(sets.groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least_id")), "distinct-sets")
     nodes = write_table(firsts.hint("merge").join(sets.select(F.col("row").alias("node"), *names, "size", "shingles"), "node").drop("digest", "least_id"), "nodes")
@@ -227,7 +227,7 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
     edges = simhash.linked_fingerprints(nodes.select("node", *names), names, radius, slack(3))
     pairs = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     sides = [nodes.select(F.col("node").alias(x), F.col("shingles").alias(y)) for x, y in ("ua", "vb")]
-    covered = write_table(pairs.hint("merge").join(sides[0], "u").hint("merge").join(sides[1], "v").mapInArrow(_alike(similarity), "u long, v long"), "covered-links", TEXT_ROWS)
+    covered = write_table(pairs.hint("merge").join(sides[0], "u").hint("merge").join(sides[1], "v").mapInArrow(tidy(_alike(similarity)), "u long, v long"), "covered-links", TEXT_ROWS)
     classes = write_table(nodes.select("node").join(connected_components(covered), "node", "left").select("node", F.coalesce("component", "node").alias("class")), "classes")
 
     shingles = nodes.select("node", F.explode("shingles").alias("key"))
@@ -242,12 +242,12 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
         return sizes & (a[..., -1] != b[..., -1]) & simhash.near(a[..., :count], b[..., :count], slack(8))
 
     columns = [*names, "size", "class"]
-    candidates = simhash.sorted_blocks(_dealt(rarest)).mapInPandas(simhash.links(columns, may_be), "u long, v long")
+    candidates = simhash.sorted_blocks(_dealt(rarest)).mapInPandas(tidy(simhash.links(columns, may_be)), "u long, v long")
     linked = classes.where("node <> class").select(F.col("node").alias("u"), F.col("class").alias("v"))
     groups = connected_components(candidates.union(linked)).select("node", F.col("component").alias("key"))
     placed = write_table(groups.join(classes, "node").join(nodes.select("node", "size"), "node"), "candidates")
     blocks = simhash.sorted_blocks(_dealt(placed, F.col("size")).drop("size").hint("merge").join(nodes.select("node", "shingles"), "node"))
-    verified = write_table(blocks.mapInArrow(_verified(similarity), "u long, v long"), "verified-links", TEXT_ROWS)
+    verified = write_table(blocks.mapInArrow(tidy(_verified(similarity)), "u long, v long"), "verified-links", TEXT_ROWS)
     stars = connected_components(linked.union(verified))
     told = sets.select("id", "digest").join(firsts.select("digest", "node"), "digest").join(simhash.least_ids(firsts.select("node", "least_id"), stars), "node")
     found = write_table(told.select("id", "component_id"), "near-copies")

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import table, text_of
+from frameloom.llm.util import TEXT_ROWS, table, text_of, tidy
 
 #: Tokens and documents that are packed at a time within a task: the memory bound of the operator.
 WINDOW_TOKENS, WINDOW_DOCUMENTS = 1 << 20, 4096
@@ -35,7 +35,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
+def word_tokenizer(path: str, end_id: int | None = 1, cached_words: int = CACHED_WORDS) -> Callable[[str], bytes]:
     """A function from a text to its token ids as little-endian unsigned 32-bit integers, end_id last, for vocabularies of the kind below.
 
     The vocabulary (BPE with word ends over lower case) drops white space and never merges across it, so a text's
@@ -56,7 +56,7 @@ def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
         stem, after = plain[1].lower(), plain[2]
         if (ids := stems.get(stem)) is None:
             spelt = stem if stem.isascii() else stem.encode().decode("latin-1").translate(letters)
-            if len(stems) >= CACHED_WORDS:
+            if len(stems) >= cached_words:
                 stems.clear()
             ids = stems[stem] = struct.pack(f"<{len(found := [t.id for t in merges.tokenize(spelt)])}I", *found)
         if not after:
@@ -69,7 +69,7 @@ def word_tokenizer(path: str, end_id: int | None = 1) -> Callable[[str], bytes]:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         parts = list(map(known.get, words))
         if None in parts:
-            if len(known) >= CACHED_WORDS:
+            if len(known) >= cached_words:
                 known.clear()
             for i, part in enumerate(parts):
                 if part is None:
@@ -121,6 +121,7 @@ def pack_window(sizes: np.ndarray, losses: np.ndarray, limits: tuple[int, int, i
 def pack(
     df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
     max_tokens: int = 2048, max_segments: int = 256, max_loss_tokens: int = 2048, end_id: int | None = 1,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """Pieces of the rows' token sequences, placed in sequences of at most max_tokens tokens, max_segments
     pieces and max_loss_tokens loss-bearing tokens: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
@@ -130,7 +131,7 @@ def pack(
     there are: all). Each input partition is packed where it is read, in windows of WINDOW_TOKENS, so
     there is no shuffle, no hot group and no unbounded state; a task that is run again packs its rows alike.
     A row longer than a window is a window of its own. Of pieces with equal scores the longer document goes first, of equally long ones the earlier. A null or empty text has only end_id (or no piece, if
-    end_id is None). Repeated rows are packed as often as they occur; an empty table gives none. Other
+    end_id is None). cached_words bounds what a worker remembers; no result depends on it. Repeated rows are packed as often as they occur; an empty table gives none. Other
     columns are not read.
     """
     if min(max_tokens, max_segments, max_loss_tokens) < 1:
@@ -141,7 +142,7 @@ def pack(
     limits = (max_tokens, max_segments, max_loss_tokens)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number, held = word_tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId() << 36, []
+        encode, number, held = word_tokenizer(tokenizer_path, end_id, cached_words), TaskContext.get().partitionId() << 36, []
 
         def flush(id_type: pa.DataType) -> pa.RecordBatch:
             nonlocal number
@@ -162,7 +163,7 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=PIECE)
 
         tokens, id_type = 0, None
-        for batch in batches:
+        for batch in (b.slice(at, TEXT_ROWS) for b in batches for at in range(0, b.num_rows, TEXT_ROWS)):
             id_type = batch.column(0).type
             for row_id, text, skip in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 code = encode(text)
@@ -174,7 +175,7 @@ def pack(
         if held:
             yield flush(id_type)
 
-    return rows.mapInArrow(packed, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary")
+    return rows.mapInArrow(tidy(packed), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary")
 
 
 def tokenizer_file() -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameloom.llm.components import connected_components
-from frameloom.llm.util import partitions, table, text_of, write_table
+from frameloom.llm.util import partitions, table, text_of, tidy, write_table
 
 #: Members of a bucket that are compared at a time; a larger bucket is compared block by block, in several tasks.
 BLOCK = 512
@@ -168,7 +168,7 @@ def linked_fingerprints(nodes: DataFrame, prints: list[str], radius: int, limit:
         met = part.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
             *bucket, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", *prints
         )
-        found.append(sorted_blocks(met).mapInPandas(links(prints, lambda a, b: near(a, b, limit)), "u long, v long"))
+        found.append(sorted_blocks(met).mapInPandas(tidy(links(prints, lambda a, b: near(a, b, limit))), "u long, v long"))
         large = [r["mask"] for r in full.where(~ends).select("mask").distinct().collect()]
         if not large:
             return reduce(DataFrame.union, found)

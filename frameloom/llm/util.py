@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,16 @@ def make_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, for mapInArrow or mapInPandas. When a task is through, its worker, which stays for later tasks, gives back the memory that Arrow holds unused."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

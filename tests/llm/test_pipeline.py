@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 from xxhash import xxh64_intdigest
 
-from frameloom.llm import mixing, packing
+from frameloom.llm import language, mixing, packing, util
 
 SOURCES = 4
 
@@ -102,3 +102,28 @@ def test_registered_pipeline_against_plain_python(spark, tmp_path):
     assert found == want
     for _, pieces in got.sort_values("offset").groupby("sequence_id"):
         assert pieces["offset"].tolist() == [0, *pieces["length"].cumsum().tolist()[:-1]] and pieces["length"].sum() <= 2048
+
+
+def test_workers_give_back_memory_when_a_task_is_through(monkeypatch):
+    seen = []
+
+    class Pool:
+        def release_unused(self):
+            seen.append("released")
+
+    monkeypatch.setattr(util.pa, "default_memory_pool", Pool)
+    assert list(util.tidy(lambda batches: (seen.append(b) or b for b in batches))(iter([1, 2]))) == [1, 2]
+    assert seen == [1, 2, "released"]
+
+
+def test_stages_of_python_give_back_memory(spark, monkeypatch):
+    """Packing and language ID leave workers that stay with no more of Arrow's memory than they use."""
+    wrapped = []
+    for module in (packing, language):
+        monkeypatch.setattr(module, "tidy", lambda run: wrapped.append(run.__name__) or util.tidy(run))
+    docs = spark.createDataFrame([(k, f"word {k}", "en") for k in range(3000)], "doc_id long, text string, lang string").coalesce(1)
+    few = packing.pack(docs, packing.tokenizer_file(), cached_words=7).select("doc_id", "ids")  # what is remembered changes no result
+    assert sorted(few.collect()) == sorted(packing.pack(docs, packing.tokenizer_file()).select("doc_id", "ids").collect())
+    assert packing.pack(docs, packing.tokenizer_file()).selectExpr("count(distinct doc_id)").first()[0] == 3000
+    assert language.keep_identified(docs).count() == 3000
+    assert {"packed", "_counts", "scored"} <= set(wrapped)
