@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,13 +145,12 @@ def labelled_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _png_files(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The folder of the small images of image_queries as PNG files, under names that a format of issue and frame gives."""
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"name": [name % (r.issue_id, r.frame_idx) for r in b.itertuples()], "png": [pixels.png(np.frombuffer(r.bgr, np.uint8).reshape(r.height, r.width, 3)) for r in b.itertuples()]})
+    def png(image: dict) -> bytes:
+        return pixels.png(np.frombuffer(image["bgr"], np.uint8).reshape(image["height"], image["width"], 3))
 
     where = _new(spark, "frames")
-    drawn = image_queries.frames(spark, sf_dir).select("issue_id", "frame_idx", "height", "width", "bgr")
-    keyed_files.write_files(drawn.mapInPandas(encoded, "name string, png binary"), "name", "png", where)
+    drawn = image_queries.frames(spark, sf_dir).select(F.format_string(name, "issue_id", "frame_idx").alias("name"), F.struct("height", "width", "bgr").alias("image"))
+    keyed_files.write_files(drawn, "name", "image", where, encode=png)
     return where
 
 

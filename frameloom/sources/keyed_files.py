@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,19 @@ from pyspark.sql import functions as F
 
 from frameloom.sources.scratch import _path, written
 
+#: Files whose contents go to Python at a time.
+FILE_ROWS = 500
 
-def write_files(df: DataFrame, name: str, content: str, root: str, dry_run: bool = False) -> DataFrame:
+
+def write_files(df: DataFrame, name: str, content: str, root: str, dry_run: bool = False, encode: Callable[[Any], bytes] | None = None) -> DataFrame:
     """Write each row's content (text or bytes; null is empty) to the file of its name under root; a row of name, change (new, changed or same), bytes and sha256 for each.
 
     A task writes a draft beside the file and renames it, so a reader sees the old file or the new one, whole; equal files aren't touched. A task that
     runs again, or beside another try of its own, ends with the same files; what an earlier try has written it reports as same. With dry_run nothing is written, and the
     report tells what would be. Files of root that no row names stay. Names are relative paths; one that is null, empty or leads out of root, or that two rows have, is an error before
-    anything is written. root is an address that pyarrow's file systems know (file://, hdfs://, s3://, ...).
+    anything is written. encode, if given, makes a file's bytes of the content, of any type, where it is written. root is an address that pyarrow's file systems know (file://, hdfs://, s3://, ...).
     """
-    rows = df.select(F.col(name).cast("string").alias("name"), F.coalesce(F.col(content).cast("binary"), F.lit(b"")).alias("body"))
+    rows = df.select(F.col(name).cast("string").alias("name"), (F.col(content) if encode else F.coalesce(F.col(content).cast("binary"), F.lit(b""))).alias("body"))
     bad = F.col("name").isNull() | (F.col("name") == "") | F.col("name").startswith("/") | F.col("name").rlike(r"(^|/)\.\.?(/|$)|//|/$")
     faulty = rows.groupBy("name").agg(F.count("*").alias("n")).where(bad | (F.col("n") > 1)).orderBy("name").first()
     if faulty is not None:
@@ -34,7 +38,8 @@ def write_files(df: DataFrame, name: str, content: str, root: str, dry_run: bool
         made: set[str] = set()
         for b in batches:
             out = []
-            for n, body in zip(b.column("name").to_pylist(), b.column("body").to_pylist(), strict=True):
+            for n, body in ((n.as_py(), body.as_py()) for n, body in zip(b.column("name"), b.column("body"), strict=True)):  # one content at a time
+                body = body if encode is None else b"" if body is None else encode(body)
                 path = f"{base.rstrip('/')}/{n}"
                 there = store.get_file_info(path)
                 same = there.type == fs.FileType.File and there.size == len(body) and _read(store, path) == body
@@ -52,7 +57,7 @@ def write_files(df: DataFrame, name: str, content: str, root: str, dry_run: bool
             columns = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.string()), strict=True)], names=["name", "change", "bytes", "sha256"])
 
-    return written(rows.mapInArrow(put, "name string, change string, bytes long, sha256 string"), "file-report")
+    return written(rows.mapInArrow(put, "name string, change string, bytes long, sha256 string"), "file-report", FILE_ROWS)
 
 
 def _read(store, path: str) -> bytes:

@@ -18,10 +18,23 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table of the shared folder: its lineage ends here, and a lost executor costs no step before it."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, what: str, batch_rows: int | None = None) -> DataFrame:
+    """df as a table of the shared folder: its lineage ends here, and a lost executor costs no step before it.
+
+    batch_rows: how many rows at a time go to Python, where rows may be large.
+    """
     path = f"{shared_folder(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = df.sparkSession.conf.get(_BATCH, None)
+    if batch_rows is not None:
+        df.sparkSession.conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        if batch_rows is not None:
+            df.sparkSession.conf.unset(_BATCH) if before is None else df.sparkSession.conf.set(_BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,13 +5,16 @@ import http.server
 import json
 import threading
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from frameloom.functions import text
 from frameloom.operators import catalog
-from frameloom.sources import files, keyed_files, paged
+from frameloom.plans import file_queries, image_queries
+from frameloom.sources import files, frames, keyed_files, paged, scratch
 
 
 def pages(n, per=3, code=None):
@@ -156,3 +159,19 @@ def test_output_is_moved_and_scratch_deleted(spark, tmp_path):
         keyed_files.move_output(spark, at("done"), at("done/7"))
     with pytest.raises(FileNotFoundError):
         keyed_files.move_output(spark, at("layout"), at("done/8"))
+
+
+def test_contents_are_encoded_where_they_are_written_a_few_at_a_time(spark, tmp_path):
+    root, limit = f"file://{tmp_path}/out", keyed_files.FILE_ROWS
+    df = spark.range(3 * limit).select(F.format_string("%d.txt", "id").alias("n"), F.when(F.col("id") > 0, F.struct("id")).alias("c")).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    report = keyed_files.write_files(df, "n", "c", root, encode=lambda c: f"<{c['id']}>".encode())
+    assert report.agg(F.count("*"), F.sum("bytes")).first() == (3 * limit, sum(len(f"<{k}>") for k in range(1, 3 * limit)))
+    assert (tmp_path / "out" / "0.txt").read_bytes() == b"" and (tmp_path / "out" / "17.txt").read_bytes() == b"<17>"
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows]})
+
+    assert scratch.written(df.select("n").mapInArrow(sizes, "rows long"), "sizes", limit).agg(F.max("rows")).first()[0] == limit
