@@ -175,3 +175,16 @@ def test_contents_are_encoded_where_they_are_written_a_few_at_a_time(spark, tmp_
             yield pa.RecordBatch.from_pydict({"rows": [b.num_rows]})
 
     assert scratch.written(df.select("n").mapInArrow(sizes, "rows long"), "sizes", limit).agg(F.max("rows")).first()[0] == limit
+
+
+def test_small_images_are_drawn_and_read_without_python(spark, tmp_path):
+    vectors = [[0.001 * i * (k - 1) for i in range(64)] for k in range(3)] + [[float("nan"), None, float("inf"), float("-inf")] + [0.1] * 60]
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").withColumn("label", F.lit(2)).write.parquet(str(tmp_path / "embeddings.parquet"))
+    drawn = image_queries.frames(spark, str(tmp_path))
+    read = frames.read_frames(spark, file_queries._png_files(spark, str(tmp_path), "issue_id=%d/f%06d.png") + "/*")
+    for df in (drawn, read):
+        assert "Python" not in df._jdf.queryExecution().toString() and "MapIn" not in df._jdf.queryExecution().toString()
+    found = {r["frame_idx"]: (r["height"], r["width"], bytes(r["bgr"])) for r in drawn.collect()}
+    assert found == {r["frame_idx"]: (r["height"], r["width"], bytes(r["bgr"])) for r in read.collect()}
+    levels = [[int(min(max(128 + 400 * float(np.float32(x)), 0), 255)) for x in v] for v in vectors[:3]] + [[255, 255, 255, 0] + [168] * 60]  # as in SQL: NaN is largest, null is none of the least
+    assert found == {k: (8, 8, bytes(x for i in range(64) for x in (v[i], v[63 - i], v[(i + 56) % 64]))) for k, v in enumerate(levels)}
