@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from frameloom.llm import exact_dedup, language, mixing, near_dedup, packing
-from frameloom.llm.util import table, write_table
+from frameloom.llm.util import TEXT_ROWS, table, write_table
 
 #: Words that a packing worker remembers: it stays through the stages that follow, beside them.
 PACKING_WORDS = 100_000
@@ -56,9 +56,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of the documents' tokens, with their ids, in sequences of at most 2048.
 
     Null and empty texts have the end's id alone. A text longer than a window is packed by itself. Of pieces with equal scores the longer document goes first, of equally long ones
-    the earlier. Repeated rows are packed as often as they occur. No row gives none. Other columns, whatever their names, are not read.
+    the earlier. Repeated rows are packed as often as they occur. No row gives none. Other columns, whatever their names, are not read. The pieces are written here, so that
+    TEXT_ROWS texts at a time go to Python, whatever the caller's session has set.
     """
-    return packing.pack(docs, packing.tokenizer_file(), cached_words=PACKING_WORDS)
+    return write_table(packing.pack(docs, packing.tokenizer_file(), cached_words=PACKING_WORDS), "packed", TEXT_ROWS)
 
 
 STAGES = [

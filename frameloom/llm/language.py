@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameloom.llm.util import TEXT_ROWS, held_out, table, text_of, tidy, write_table
+from frameloom.llm.util import TEXT_ROWS, forget, held_out, table, text_of, tidy, write_table
 
 #: Labelled documents of each language that the model is fitted on, about; the sample is drawn by a hash of id and text.
 SAMPLE_OF_LANGUAGE = 2000
@@ -133,10 +133,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     share = F.create_map(*(F.lit(x) for k, v in per.items() for x in (k, min(1.0, SAMPLE_OF_LANGUAGE / v))))
     drawn = rows.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "content", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
     counts = drawn.select("lang", "content").mapInPandas(tidy(_counts), "lang string, word string, n long")
-    by_word = counts.groupBy("word").agg(F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).alias(f"n{i}") for i, k in enumerate(languages))).cache()
+    by_word = counts.groupBy("word").agg(F.sum("n").alias("total"), *(F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).alias(f"n{i}") for i, k in enumerate(languages)))
+    by_word = write_table(by_word, "word-counts", TEXT_ROWS)
     totals = by_word.agg(*(F.sum(f"n{i}") for i in range(len(languages)))).first()
     most = by_word.orderBy(F.desc("total"), "word").limit(KNOWN_WORDS).toPandas()
-    by_word.unpersist()
+    forget(by_word)
     known = dict(zip(most["word"].tolist(), most[[f"n{i}" for i in range(len(languages))]].to_numpy().tolist(), strict=True))
     return Model(languages, known, [t or 0 for t in totals])
 

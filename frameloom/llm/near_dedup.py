@@ -242,9 +242,11 @@ def _near_copies(df: DataFrame, id_col: str, text_col: str, shingle_words: int,
         return sizes & (a[..., -1] != b[..., -1]) & simhash.near(a[..., :count], b[..., :count], slack(8))
 
     columns = [*names, "size", "class"]
-    candidates = simhash.sorted_blocks(_dealt(rarest)).mapInPandas(tidy(simhash.links(columns, may_be)), "u long, v long")
+    # Written before they are contracted: else a task has a Python worker for either, and both stay.
+    candidates = write_table(simhash.sorted_blocks(_dealt(rarest)).mapInPandas(tidy(simhash.links(columns, may_be)), "u long, v long"), "candidate-links")
     linked = classes.where("node <> class").select(F.col("node").alias("u"), F.col("class").alias("v"))
     groups = connected_components(candidates.union(linked)).select("node", F.col("component").alias("key"))
+    forget(candidates)
     placed = write_table(groups.join(classes, "node").join(nodes.select("node", "size"), "node"), "candidates")
     blocks = simhash.sorted_blocks(_dealt(placed, F.col("size")).drop("size").hint("merge").join(nodes.select("node", "shingles"), "node"))
     verified = write_table(blocks.mapInArrow(tidy(_verified(similarity)), "u long, v long"), "verified-links", TEXT_ROWS)

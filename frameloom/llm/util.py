@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -72,11 +73,13 @@ def make_path(spark: SparkSession, path: str) -> None:
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """run, for mapInArrow or mapInPandas. When a task is through, its worker, which stays for later tasks, gives back the memory that Arrow holds unused."""
+    """run, for mapInArrow or mapInPandas. When a task is through, its worker, which stays for later tasks, gives back the memory that Arrow and the C library hold unused."""
 
     def tidied(batches: Iterator) -> Iterator:
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+            trim(0)
 
     return tidied
 

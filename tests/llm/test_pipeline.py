@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 import struct
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
 from xxhash import xxh64_intdigest
 
-from frameloom.llm import language, mixing, packing, util
+from frameloom.llm import language, mixing, near_dedup, packing, util
 
 SOURCES = 4
 
@@ -127,3 +129,58 @@ def test_stages_of_python_give_back_memory(spark, monkeypatch):
     assert packing.pack(docs, packing.tokenizer_file()).selectExpr("count(distinct doc_id)").first()[0] == 3000
     assert language.keep_identified(docs).count() == 3000
     assert {"packed", "_counts", "scored"} <= set(wrapped)
+
+
+def test_workers_give_back_what_the_c_library_holds():
+    code = """
+import re
+from frameloom.llm.util import tidy
+
+def anon():
+    return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+kept = []
+
+def run(batches):
+    many = [bytes(5000) for _ in range(20_000)]
+    kept.append(bytes(5000))  # above them: without help the C library gives nothing back
+    yield from batches
+
+list(tidy(run)(iter([])))
+before = anon()
+list(tidy(run)(iter([])))
+del kept[:]
+list(run([]))
+print(before, anon())
+"""
+    before, held = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=util.__file__.rsplit("/", 3)[0]).stdout.split())
+    assert held - before > 70  # what a run leaves unless it is tidied
+
+
+def test_texts_go_to_python_a_thousand_at_a_time(spark, monkeypatch):
+    import corpus_pipeline
+
+    limit = util.TEXT_ROWS
+
+    def watched(run):
+        def small(batches):
+            for batch in batches:
+                assert len(batch) <= limit
+                yield batch
+
+        return util.tidy(lambda batches: run(small(batches)))
+
+    for module in (packing, language):
+        monkeypatch.setattr(module, "tidy", watched)
+    docs = spark.createDataFrame([(k, f"word {k}", "en", "a") for k in range(3000)], "doc_id long, text string, lang string, source string").coalesce(1)
+    assert corpus_pipeline.pack_sequences(spark, docs, "").select("doc_id").distinct().count() == 3000
+    assert corpus_pipeline.identify_language(spark, docs, "").count() == 3000
+
+
+def test_near_dedup_has_one_python_worker_in_a_task(spark, monkeypatch):
+    """Edges are read from tables where they are contracted, so no worker stands before the one that contracts them."""
+    plans, contract = [], near_dedup.connected_components
+    monkeypatch.setattr(near_dedup, "connected_components", lambda edges: plans.append(edges._jdf.queryExecution().optimizedPlan().toString()) or contract(edges))
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in corpus()], "doc_id long, text string")
+    assert near_dedup.near_dedup(docs).count() < docs.count()
+    assert len(plans) == 3 and not [p for p in plans if "MapIn" in p]
